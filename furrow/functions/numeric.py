@@ -32,6 +32,14 @@ def safe_ratio(top: Column, bottom: Column, default: float | None = None) -> Col
     return ratio if default is None else F.coalesce(ratio, F.lit(default))
 
 
+def correlation(left: Column, right: Column) -> Column:
+    """Pearson correlation (an aggregate) over rows that have both values; null
+    where a side never varies, on which the built-in ``corr`` fails in ANSI mode."""
+    both = left.isNotNull() & right.isNotNull()
+    x, y = F.when(both, left.cast("double")), F.when(both, right.cast("double"))
+    return safe_ratio(F.covar_pop(x, y), F.sqrt(F.var_pop(x)) * F.sqrt(F.var_pop(y)))
+
+
 def percent_change(base: Column, new: Column) -> Column:
     """Change against ``base`` in percent; null where the base is 0 or unknown."""
     return safe_ratio(F.lit(100.0) * (new - base), base)

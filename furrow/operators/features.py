@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from furrow.functions.numeric import flag, one_hot, safe_ratio
+from furrow.functions.numeric import correlation, flag, one_hot, safe_ratio
 from furrow.operators.joining import previous_year
 from furrow.operators.ordered import exact_quantiles
 from furrow.sources.files import write_table
@@ -104,7 +104,7 @@ def leakage_report(features: DataFrame, names: list[str], target: str = "yield_h
         cells += [
             F.min(c.eqNullSafe(t)).alias(f"_same{i}"),
             F.coalesce(F.min(c) == F.max(c), F.lit(True)).alias(f"_flat{i}"),
-            F.corr(c, t).alias(f"_r{i}"),
+            correlation(c, t).alias(f"_r{i}"),
         ]
     shape = [
         F.struct(F.lit(n).alias("feature"), F.col(f"_same{i}").alias("identical"), F.col(f"_flat{i}").alias("constant"), F.col(f"_r{i}").alias("r"))

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from furrow.functions.distributions import normal_quantile, t_p_value
-from furrow.functions.numeric import safe_ratio
+from furrow.functions.numeric import correlation, safe_ratio
 from furrow.operators.ordered import exact_quantiles
 
 Y = "yield_hg_ha"
@@ -64,8 +64,6 @@ def regional_averages(df: DataFrame, top: int | None = 10) -> DataFrame:
     )
     if top is None:
         return scored
-    from pyspark.sql import Window
-
     place = F.row_number().over(Window.partitionBy("crop").orderBy(F.desc("mean"), "area"))
     return scored.withColumn("_place", place).where(F.col("_place") <= top).drop("_place")
 
@@ -95,7 +93,7 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str], by: Sequence[str]
     with the number of complete cases."""
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i + 1 :]]
     whole = df.dropna(subset=list(columns)).groupBy(*by).agg(
-        F.count(F.lit(1)).alias("n_complete"), *[F.corr(a, b).alias(f"_{i}") for i, (a, b) in enumerate(pairs)]
+        F.count(F.lit(1)).alias("n_complete"), *[correlation(F.col(a), F.col(b)).alias(f"_{i}") for i, (a, b) in enumerate(pairs)]
     )
     cells = [F.struct(F.lit(c).alias("left"), F.lit(c).alias("right"), F.lit(1.0).alias("r")) for c in columns]
     for i, (a, b) in enumerate(pairs):
@@ -106,7 +104,7 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str], by: Sequence[str]
 def correlation_by_group(df: DataFrame, by: str, left: str, right: str, above: int = 30) -> DataFrame:
     """Correlation per group with more than ``above`` complete cases."""
     complete = df.dropna(subset=[left, right])
-    stats = complete.groupBy(by).agg(F.corr(left, right).alias("r"), F.count(F.lit(1)).alias("n"))
+    stats = complete.groupBy(by).agg(correlation(F.col(left), F.col(right)).alias("r"), F.count(F.lit(1)).alias("n"))
     return stats.where(F.col("n") > above)
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from furrow.functions.distributions import normal_quantile
+from furrow.functions.numeric import period_start, share
 from furrow.operators import aggregates as a
 from furrow.operators import statistics as x
 from furrow.operators.features import CONDITIONS
@@ -36,8 +37,6 @@ def a3(t: Tables) -> DataFrame:
     SELECT crop, round(100.0 * count(rainfall_mm) / count(*), 4) AS rainfall_pct, round(100.0 * count(pesticides_tonnes) / count(*), 4) AS pesticides_pct
     FROM curated GROUP BY crop"""))
 def a9(t: Tables) -> DataFrame:
-    from furrow.functions.numeric import share
-
     rates = t.curated.groupBy("crop").agg(
         share(F.col("rainfall_mm").isNotNull()).alias("rainfall_pct"), share(F.col("pesticides_tonnes").isNotNull()).alias("pesticides_pct")
     )
@@ -55,8 +54,6 @@ def a10(t: Tables) -> DataFrame:
 @bound("a11_mean_by_decade_and_crop", on_curated("""
     SELECT CAST(floor(year / 10.0) * 10 AS BIGINT) AS decade, crop, round(avg(yield_hg_ha), 4) AS mean, count(*) AS n FROM curated GROUP BY 1, 2"""))
 def a11(t: Tables) -> DataFrame:
-    from furrow.functions.numeric import period_start
-
     return rounded(a.group_mean(t.curated.withColumn("decade", period_start(F.col("year"), 10)), ["decade", "crop"]), 4, "mean")
 
 

@@ -1 +1,428 @@
-"""placeholder"""
+"""Features, baselines, risk labels, models and explanations (M and V, A-16 to A-23).
+
+Fitted MLlib models have no SQL counterpart; those queries return metrics and
+invariants, and the rest is pinned by the tests.
+"""
+
+from __future__ import annotations
+
+from functools import reduce
+
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from furrow.models import clustering, explain, regression, risk
+from furrow.models.baseline import HistoricalMean
+from furrow.models.scenarios import WhatIf, actual_and_predicted, curve_spread
+from furrow.operators import evaluation as ev
+from furrow.operators.aggregates import group_rate, label_counts
+from furrow.operators.features import CONDITIONS, leakage_report, long_form
+from furrow.operators.ordered import exact_quantiles
+from furrow.operators.statistics import mean_z_by
+from furrow.plans.bound.registry import bound, rounded
+from furrow.plans.bound.tables import CUTOFF, TRAIN_CTES, Tables, on_curated
+
+Y = "yield_hg_ha"
+# Years are few in the given tables, so folds and forests are kept small.
+GRID, FOLDS, TREES, DEPTH = ((10, 4), (20, 6)), 3, 20, 6
+
+
+# ---- features -----------------------------------------------------------------------------
+
+@bound("m1_condition_medians", on_curated("""
+    SELECT 'rainfall_mm' AS feature, r AS median FROM med UNION ALL SELECT 'avg_temp_c', round(t, 6) FROM med UNION ALL SELECT 'pesticides_tonnes', p FROM med""", TRAIN_CTES))
+def m1(t: Tables) -> DataFrame:
+    middle = exact_quantiles(long_form(t.split[0], CONDITIONS), "value", [0.5], ["feature"])
+    return rounded(middle.select("feature", F.col("quantiles")[0].alias("median")), 6, "median")
+
+
+@bound("a16_training_means", on_curated("""
+    SELECT area, round(avg(yield_hg_ha), 4) AS region_mean_yield, (SELECT round(avg(yield_hg_ha), 4) FROM train) AS global_mean FROM train GROUP BY area""", TRAIN_CTES))
+def a16(t: Tables) -> DataFrame:
+    means = t.stats.region_means.withColumn("global_mean", F.lit(t.stats.global_mean))
+    return rounded(means, 4, "region_mean_yield", "global_mean")
+
+
+_ROUNDED = "round(avg_temp_c, 6) AS avg_temp_c, round(region_mean_yield, 4) AS region_mean_yield, round(lag1_yield, 4) AS lag1_yield, round(yield_trend_ratio, 8) AS yield_trend_ratio"
+_CROP_FLAGS = ", ".join(f"CAST(crop = '{c}' AS BIGINT) AS \"crop_{c}\"" for c in ("Maize", "Potatoes", "Rice, paddy", "Sorghum", "Wheat"))
+
+
+@bound("m2_features", on_curated(f"""
+    SELECT area, crop, yield_hg_ha, year, is_post_1990, rainfall_mm_missing, rainfall_mm, avg_temp_c_missing, pesticides_tonnes_missing, pesticides_tonnes,
+           lag1_yield_missing, {_ROUNDED}, {_CROP_FLAGS} FROM feat""", TRAIN_CTES))
+def m2(t: Tables) -> DataFrame:
+    table = t.stats.transform(t.settled, t.settled)
+    return rounded(rounded(rounded(table, 6, "avg_temp_c"), 4, "region_mean_yield", "lag1_yield"), 8, "yield_trend_ratio")
+
+
+@bound("g7_leakage_check", on_curated("""
+    SELECT 'copy' AS feature, true AS identical, true AS leaks UNION ALL SELECT 'double_plus_one', false, true
+    UNION ALL SELECT 'lag1_yield', false, false UNION ALL SELECT 'year', false, false
+    UNION ALL SELECT 'flat', false, false WHERE EXISTS (SELECT 1 FROM curated)"""))
+def g7(t: Tables) -> DataFrame:
+    table = t.features[0].withColumns({"copy": F.col(Y), "double_plus_one": 2 * F.col(Y) + 1, "flat": F.lit(3)})
+    return leakage_report(table, ["copy", "double_plus_one", "lag1_yield", "year", "flat"]).select("feature", "identical", "leaks")
+
+
+@bound("g8_feature_order", on_curated("""
+    SELECT 'year,is_post_1990,rainfall_mm_missing,rainfall_mm,avg_temp_c_missing,avg_temp_c,pesticides_tonnes_missing,pesticides_tonnes,region_mean_yield,lag1_yield_missing,lag1_yield,yield_trend_ratio,'
+           || string_agg('crop_' || crop, ',' ORDER BY crop) AS feature_columns FROM (SELECT DISTINCT crop FROM train) c""", TRAIN_CTES))
+def g8(t: Tables) -> DataFrame:
+    kept = [c for c in t.features[0].columns if c not in ("area", "crop", Y)]
+    return t.settled.agg(F.lit(",".join(kept)).alias("feature_columns"))
+
+
+# ---- baseline and metrics -----------------------------------------------------------------
+
+def _baseline(t: Tables) -> DataFrame:
+    return HistoricalMean.fit(t.split[0]).predict(t.settled)
+
+
+_METRICS = """count(*) AS n, round(avg(abs(yield_hg_ha - prediction)), 4) AS mae, round(sqrt(avg((yield_hg_ha - prediction) ** 2)), 4) AS rmse,
+    round(1 - avg((yield_hg_ha - prediction) ** 2) / var_pop(yield_hg_ha), 6) AS r2"""
+
+
+@bound("m3_baseline_predictions", on_curated(f"SELECT area, crop, year, yield_hg_ha, round(prediction, 4) AS prediction FROM base WHERE year >= {CUTOFF}", TRAIN_CTES))
+def m3(t: Tables) -> DataFrame:
+    told = HistoricalMean.fit(t.split[0]).predict(t.split[1])
+    return rounded(told.select("area", "crop", "year", Y, "prediction"), 4, "prediction")
+
+
+@bound("a18_two_level_means", on_curated("""
+    SELECT 'pair' AS level, area, crop, round(avg(yield_hg_ha), 4) AS mean FROM train GROUP BY 2, 3
+    UNION ALL SELECT 'crop', NULL, crop, round(avg(yield_hg_ha), 4) FROM train GROUP BY crop
+    UNION ALL SELECT 'all', NULL, NULL, round(avg(yield_hg_ha), 4) FROM train""", TRAIN_CTES))
+def a18(t: Tables) -> DataFrame:
+    fit = HistoricalMean.fit(t.split[0])
+    nothing = F.lit(None).cast("string")
+    levels = [
+        fit.by_area_crop.select(F.lit("pair").alias("level"), "area", "crop", F.col("_pair_mean").alias("mean")),
+        fit.by_crop.select(F.lit("crop").alias("level"), nothing.alias("area"), "crop", F.col("_crop_mean").alias("mean")),
+        fit.overall.select(F.lit("all").alias("level"), nothing.alias("area"), nothing.alias("crop"), F.col("_overall").alias("mean")),
+    ]
+    return rounded(reduce(DataFrame.unionByName, levels), 4, "mean")
+
+
+@bound("m4_baseline_metrics", on_curated(f"""
+    SELECT CASE WHEN year < {CUTOFF} THEN 'train' ELSE 'test' END AS split, {_METRICS} FROM base GROUP BY 1""", TRAIN_CTES))
+def m4(t: Tables) -> DataFrame:
+    split = F.when(F.col("year") < CUTOFF, "train").otherwise("test")
+    told = ev.regression_metrics(_baseline(t).withColumn("split", split), by=["split"])
+    return rounded(rounded(told, 4, "mae", "rmse"), 6, "r2")
+
+
+@bound("m21_metrics_by_period", on_curated(f"""
+    SELECT CAST(floor(year / 3.0) * 3 AS BIGINT) AS period_start, count(*) AS n, round(avg(abs(yield_hg_ha - prediction)), 1) AS mae,
+           round(sqrt(avg((yield_hg_ha - prediction) ** 2)), 1) AS rmse, round(1 - avg((yield_hg_ha - prediction) ** 2) / var_pop(yield_hg_ha), 4) AS r2
+    FROM base GROUP BY 1""", TRAIN_CTES))
+def m21(t: Tables) -> DataFrame:
+    return ev.metrics_by_period(_baseline(t))
+
+
+# ---- risk ---------------------------------------------------------------------------------
+
+@bound("a17_risk_thresholds", on_curated("SELECT crop, threshold FROM threshold", TRAIN_CTES))
+def a17(t: Tables) -> DataFrame:
+    return risk.risk_thresholds(t.split[0])
+
+
+def _labelled(t: Tables) -> DataFrame:
+    return risk.label_risk(t.settled, risk.risk_thresholds(t.split[0]))
+
+
+@bound("m11_risk_labels", on_curated("SELECT area, crop, year, label FROM risk", TRAIN_CTES))
+def m11(t: Tables) -> DataFrame:
+    return _labelled(t).select("area", "crop", "year", "label")
+
+
+@bound("m11_unseen_crop", on_curated("SELECT crop, CAST(sum(CASE WHEN crop = 'Maize' THEN 0 ELSE label END) AS BIGINT) AS n_high_risk FROM risk GROUP BY crop", TRAIN_CTES))
+def m11_unseen(t: Tables) -> DataFrame:
+    thresholds = risk.risk_thresholds(t.split[0].where("crop <> 'Maize'"))
+    return risk.label_risk(t.settled, thresholds).groupBy("crop").agg(F.sum("label").alias("n_high_risk"))
+
+
+@bound("a20_label_counts", on_curated("SELECT label, count(*) AS n FROM risk GROUP BY label", TRAIN_CTES))
+def a20(t: Tables) -> DataFrame:
+    return label_counts(_labelled(t), "label")
+
+
+@bound("a21_risk_rate_by_area", on_curated(f"""
+    SELECT area, round(avg(label), 8) AS rate, count(*) AS n FROM risk WHERE year >= {CUTOFF} GROUP BY area HAVING count(*) >= 5
+    ORDER BY avg(label) DESC, area LIMIT 10""", TRAIN_CTES))
+def a21(t: Tables) -> DataFrame:
+    _, test = ev.temporal_split(_labelled(t), CUTOFF)
+    return rounded(group_rate(test, "area", "label"), 8, "rate")
+
+
+@bound("a23_class_balance", on_curated(f"""
+    SELECT CASE WHEN year < {CUTOFF} THEN 'train' ELSE 'test' END AS split, round(avg(label), 8) AS high_risk_rate, CAST(sum(label) AS BIGINT) AS n_high_risk, count(*) AS n
+    FROM risk GROUP BY 1""", TRAIN_CTES))
+def a23(t: Tables) -> DataFrame:
+    sides = zip(("train", "test"), ev.temporal_split(_labelled(t), CUTOFF))
+    told = reduce(DataFrame.unionByName, [risk.class_balance(rows).withColumn("split", F.lit(name)) for name, rows in sides])
+    return rounded(told, 8, "high_risk_rate")
+
+
+@bound("m12_majority_class", on_curated(f"""
+    SELECT CAST((SELECT label FROM risk WHERE year < {CUTOFF} GROUP BY label ORDER BY count(*) DESC, label LIMIT 1) AS BIGINT) AS predicted, label AS actual, count(*) AS n
+    FROM risk WHERE year >= {CUTOFF} GROUP BY label""", TRAIN_CTES))
+def m12(t: Tables) -> DataFrame:
+    train, test = ev.temporal_split(_labelled(t), CUTOFF)
+    return ev.confusion_counts(risk.majority_class(train, test))
+
+
+# A stand-in classifier both engines can compute: below the threshold last year.
+_SCORED = f"""scored AS (SELECT f.area, f.crop, f.year, r.label, CAST(f.lag1_yield < t.threshold AS BIGINT) AS predicted, t.threshold - f.lag1_yield AS score
+    FROM feat f JOIN risk r ON f.area = r.area AND f.crop = r.crop AND f.year = r.year JOIN threshold t ON f.crop = t.crop WHERE f.year >= {CUTOFF})"""
+
+
+def _lag_classifier(t: Tables) -> DataFrame:
+    thresholds = risk.risk_thresholds(t.split[0])
+    labelled = risk.label_risk(t.features[1], thresholds).join(thresholds, "crop")
+    return labelled.withColumns({
+        "prediction": (F.col("lag1_yield") < F.col("threshold")).cast("int"), "score": F.round(F.col("threshold") - F.col("lag1_yield"), 4)
+    })
+
+
+@bound("m16_confusion_matrix", on_curated("SELECT label AS actual, predicted, count(*) AS n FROM scored GROUP BY 1, 2", TRAIN_CTES + ", " + _SCORED))
+def m16(t: Tables) -> DataFrame:
+    return ev.confusion_counts(_lag_classifier(t))
+
+
+_CELLS = "cells AS (SELECT sum((1 - label) * (1 - predicted)) AS tn, sum((1 - label) * predicted) AS fp, sum(label * (1 - predicted)) AS fn, sum(label * predicted) AS tp FROM scored)"
+
+
+@bound("m16_classification_report", on_curated("""
+    SELECT 'high_risk' AS class_name, round(coalesce(tp / nullif(tp + fp, 0), 0), 8) AS "precision", round(coalesce(tp / nullif(tp + fn, 0), 0), 8) AS recall,
+           round(coalesce(2 * tp / nullif(2 * tp + fp + fn, 0), 0), 8) AS f1, CAST(tp + fn AS BIGINT) AS support, round((tp + tn) / (tp + tn + fp + fn), 8) AS accuracy FROM cells
+    UNION ALL SELECT 'low_risk', round(coalesce(tn / nullif(tn + fn, 0), 0), 8), round(coalesce(tn / nullif(tn + fp, 0), 0), 8),
+           round(coalesce(2 * tn / nullif(2 * tn + fp + fn, 0), 0), 8), CAST(tn + fp AS BIGINT), round((tp + tn) / (tp + tn + fp + fn), 8) FROM cells""",
+    TRAIN_CTES + ", " + _SCORED + ", " + _CELLS))
+def m16_report(t: Tables) -> DataFrame:
+    told = ev.classification_report(ev.confusion_counts(_lag_classifier(t)))
+    return rounded(told, 8, "precision", "recall", "f1", "accuracy")
+
+
+@bound("m17_roc_auc", on_curated("""
+    SELECT round((sum(CASE WHEN label = 1 THEN place END) - any_value(p) * (any_value(p) + 1) / 2.0) / (any_value(p) * any_value(n)), 8) AS roc_auc,
+           CAST(any_value(p) AS BIGINT) AS n_positive, CAST(any_value(n) AS BIGINT) AS n_negative
+    FROM (SELECT label, rank() OVER (ORDER BY round(score, 4)) + (count(*) OVER (PARTITION BY round(score, 4)) - 1) / 2.0 AS place,
+                 sum(label) OVER () AS p, sum(1 - label) OVER () AS n FROM scored) r""", TRAIN_CTES + ", " + _SCORED))
+def m17(t: Tables) -> DataFrame:
+    return rounded(ev.roc_auc(_lag_classifier(t), "score"), 8, "roc_auc")
+
+
+# ---- conditions ---------------------------------------------------------------------------
+
+_CONDITIONS = "cond AS (SELECT DISTINCT area, year, rainfall_mm, round(avg_temp_c, 6) AS avg_temp_c, pesticides_tonnes FROM curated WHERE rainfall_mm IS NOT NULL AND avg_temp_c IS NOT NULL AND pesticides_tonnes IS NOT NULL)"
+
+
+@bound("m18_conditions_table", on_curated("SELECT * FROM cond", _CONDITIONS))
+def m18(t: Tables) -> DataFrame:
+    return rounded(clustering.conditions_table(t.settled), 6, "avg_temp_c")
+
+
+_PROFILE_Z = """z AS (SELECT area, year, avg((yield_hg_ha - m) / s) AS z FROM curated c
+    JOIN (SELECT crop AS k, avg(yield_hg_ha) AS m, stddev_samp(yield_hg_ha) AS s FROM curated GROUP BY crop) g ON c.crop = g.k GROUP BY 1, 2)"""
+
+
+@bound("a22_cluster_profile", on_curated("""
+    SELECT CAST(floor(c.rainfall_mm / 500) AS BIGINT) AS cluster, round(avg(c.rainfall_mm), 4) AS rainfall_mm, round(avg(c.avg_temp_c), 4) AS avg_temp_c,
+           round(avg(c.pesticides_tonnes), 4) AS pesticides_tonnes, count(*) AS n_region_years, round(avg(z), 6) AS mean_yield_zscore
+    FROM cond c LEFT JOIN z ON c.area = z.area AND c.year = z.year GROUP BY 1""", _CONDITIONS + ", " + _PROFILE_Z))
+def a22(t: Tables) -> DataFrame:
+    grouped = clustering.conditions_table(t.settled).withColumn("prediction", F.floor(F.col("rainfall_mm") / 500))
+    told = clustering.profile_clusters(grouped, t.settled)
+    return rounded(rounded(told, 4, *CONDITIONS), 6, "mean_yield_zscore")
+
+
+@bound("j12_mean_z_of_conditions", on_curated("""
+    SELECT c.area, c.year, round(z, 6) AS z FROM cond c LEFT JOIN z ON c.area = z.area AND c.year = z.year""", _CONDITIONS + ", " + _PROFILE_Z))
+def j12(t: Tables) -> DataFrame:
+    joined = clustering.conditions_table(t.settled).join(mean_z_by(t.settled, ["area", "year"], "z"), ["area", "year"], "left")
+    return rounded(joined.select("area", "year", "z"), 6, "z")
+
+
+@bound("m13_scaled_conditions")
+def m13(t: Tables) -> DataFrame:
+    _, scaled = clustering.scale_conditions(clustering.conditions_table(t.settled))
+    parts = scaled.select(F.posexplode(vector_to_array("features")).alias("position", "v"))
+    return rounded(parts.groupBy("position").agg(F.avg("v").alias("mean"), F.stddev_samp("v").alias("sd")), 6, "mean", "sd")
+
+
+@bound("m19_cluster_search")
+def m19(t: Tables) -> DataFrame:
+    _, scaled = clustering.scale_conditions(clustering.conditions_table(t.settled))
+    return clustering.search_k(scaled.persist(), range(2, 6), restarts=2)
+
+
+@bound("m20_kmeans_profile")
+def m20(t: Tables) -> DataFrame:
+    _, scaled = clustering.scale_conditions(clustering.conditions_table(t.settled))
+    model = clustering.fit_clusters(scaled.persist(), restarts=3)
+    return clustering.profile_clusters(model.transform(scaled), t.settled)
+
+
+# ---- regressors and classifiers -----------------------------------------------------------
+
+def _fits(t: Tables) -> DataFrame:
+    train, test = t.features
+    names = t.stats.names
+    models = {
+        "linear": regression.linear(train, names),
+        "tree_unconstrained": regression.tree(train, names),
+        "tree_depth_8": regression.tree(train, names, 8),
+        "forest": regression.forest(train, names, TREES, DEPTH),
+    }
+    base = HistoricalMean.fit(t.split[0])
+    told = [
+        ev.regression_metrics(base.predict(rows)).select(F.lit("baseline").alias("model"), F.lit(side).alias("split"), "n", "mae", "rmse", "r2")
+        for side, rows in zip(("train", "test"), t.split)
+    ]
+    told += [regression.train_and_test(name, model, train, test) for name, model in models.items()]
+    return reduce(DataFrame.unionByName, told)
+
+
+@bound("m5_m7_m9_m10_model_summary")
+def m10(t: Tables) -> DataFrame:
+    return _fits(t)
+
+
+@bound("m6_ridge_shrinks")
+def m6(t: Tables) -> DataFrame:
+    train, _ = t.features
+    plain = regression.coefficient_norm(regression.linear(train, t.stats.names))
+    shrunk = regression.coefficient_norm(regression.ridge(train, t.stats.names))
+    return train.agg(F.lit(plain).alias("linear_norm"), F.lit(shrunk).alias("ridge_norm"), F.lit(shrunk <= plain).alias("shrunk"))
+
+
+@bound("m8_forest_search")
+def m8(t: Tables) -> DataFrame:
+    return regression.search_forest(t.features[0], t.stats.names, GRID, FOLDS)
+
+
+@bound("m14_m15_risk_models")
+def m14(t: Tables) -> DataFrame:
+    thresholds = risk.risk_thresholds(t.split[0])
+    train, test = (risk.label_risk(rows, thresholds) for rows in t.features)
+    names = t.stats.names
+    models = {
+        "logistic": risk.logistic(train, names), "logistic_balanced": risk.logistic(train, names, balanced=True),
+        "tree": risk.tree(train, names), "forest": risk.forest(train, names, TREES, DEPTH),
+    }
+    told = [risk.summary_row("majority", risk.majority_class(train, test), with_auc=False)]
+    told += [risk.summary_row(name, risk.score(model, test)) for name, model in models.items()]
+    return reduce(DataFrame.unionByName, told)
+
+
+# ---- explanations and scenarios -----------------------------------------------------------
+
+def _forest(t: Tables):
+    return regression.forest(t.features[0], t.stats.names, TREES, DEPTH)
+
+
+@bound("v1_v2_v3_importances")
+def v3(t: Tables) -> DataFrame:
+    model = regression.fitted(_forest(t))
+    return explain.compare_importances(
+        explain.impurity_importance(t.spark, model, t.stats.names),
+        explain.permutation_importance(model, t.features[1], t.stats.names, repeats=5),
+    )
+
+
+@bound("v4_linear_contributions")
+def v4_linear(t: Tables) -> DataFrame:
+    train, test = t.features
+    model = regression.linear(train, t.stats.names)
+    told = explain.linear_contributions(regression.fitted(model), test, train, t.stats.names)
+    scored = model.transform(test).select("area", "crop", "year", F.col("prediction").alias("model_prediction"))
+    both = told.join(scored, ["area", "crop", "year"])
+    gap = F.abs(F.col("model_prediction") - F.col("prediction")) / F.greatest(F.abs("model_prediction"), F.lit(1.0))
+    return both.agg(F.count(F.lit(1)).alias("n"), (F.max(gap) < 1e-6).alias("adds_up"))
+
+
+@bound("v4_sampled_contributions")
+def v4_sampled(t: Tables) -> DataFrame:
+    train, test = t.features
+    told = explain.sampled_contributions(regression.fitted(_forest(t)), test, train, t.stats.names, background=4, orders=2)
+    return explain.top_contributions(told, t.stats.names)
+
+
+@bound("t7_top_feature_agreement")
+def t7(t: Tables) -> DataFrame:
+    model = regression.fitted(_forest(t))
+    impurity = explain.impurity_importance(t.spark, model, t.stats.names)
+    return explain.top_feature_agreement(impurity.join(explain.permutation_importance(model, t.features[1], t.stats.names, repeats=2), "feature"))
+
+
+@bound("t7_arg_max_area", on_curated("""
+    SELECT crop, area AS best_area, CAST(mean AS DOUBLE) AS best_mean FROM (
+        SELECT crop, area, round(avg(yield_hg_ha), 4) AS mean, row_number() OVER (PARTITION BY crop ORDER BY round(avg(yield_hg_ha), 4) DESC, area DESC) AS place
+        FROM curated GROUP BY 1, 2) r WHERE place = 1"""))
+def t7_area(t: Tables) -> DataFrame:
+    means = t.settled.groupBy("crop", "area").agg(F.round(F.avg(Y), 4).alias("mean"))
+    return means.groupBy("crop").agg(F.max_by("area", F.struct("mean", "area")).alias("best_area"), F.max("mean").alias("best_mean"))
+
+
+@bound("t5_low_and_high_examples", on_curated(f"""
+    SELECT area, crop, year, yield_hg_ha, CASE WHEN position = n // 10 THEN 'low' ELSE 'high' END AS example FROM (
+        SELECT *, row_number() OVER (ORDER BY yield_hg_ha, area, crop, year) - 1 AS position, count(*) OVER () AS n FROM curated WHERE year >= {CUTOFF}) o
+    WHERE position IN (n // 10, n - n // 10)"""))
+def t5(t: Tables) -> DataFrame:
+    return explain.low_and_high_examples(t.split[1]).select("area", "crop", "year", Y, "example")
+
+
+def _engine(t: Tables) -> WhatIf:
+    return WhatIf(_forest(t), t.stats, t.settled)
+
+
+def _requests(t: Tables) -> DataFrame:
+    """One request per recorded row of the test years: wetter, and more sprayed."""
+    keys = F.concat_ws("/", "area", "crop", "year").alias("request_id")
+    return t.split[1].select(
+        keys, "area", "crop", "year", (F.col("rainfall_mm") * 1.15).alias("rainfall_mm"),
+        F.lit(None).cast("double").alias("avg_temp_c"), (F.col("pesticides_tonnes") * 1.25).alias("pesticides_tonnes"),
+    )
+
+
+@bound("v5_scenarios")
+def v5(t: Tables) -> DataFrame:
+    return _engine(t).scenarios(_requests(t))
+
+
+@bound("v6_sensitivity_curves")
+def v6(t: Tables) -> DataFrame:
+    return _engine(t).sensitivity(_requests(t), "rainfall_mm")[0]
+
+
+@bound("v6_refused_requests", on_curated(f"""
+    SELECT area, crop, year, 'rainfall_mm is missing' AS problem FROM curated WHERE year >= {CUTOFF} AND rainfall_mm IS NULL
+    UNION ALL SELECT area, crop, year - 1000, 'no record' FROM curated WHERE year >= {CUTOFF} AND crop = 'Maize'"""))
+def v6_refused(t: Tables) -> DataFrame:
+    unknown = _requests(t).where("crop = 'Maize'").withColumns({"year": F.col("year") - 1000, "request_id": F.concat("request_id", F.lit("-x"))})
+    refused = WhatIf(None, t.stats, t.settled)
+    wanted = _requests(t).unionByName(unknown)
+    based, missing = refused.base_rows(wanted.select("request_id", "area", "crop", "year"))
+    empty = based.where("base_rainfall_mm is null").select("area", "crop", "year", F.lit("rainfall_mm is missing").alias("problem"))
+    return empty.unionByName(missing.select("area", "crop", "year", F.lit("no record").alias("problem")))
+
+
+@bound("v7_spread_of_curves", on_curated("""
+    SELECT area, crop, CAST(1999 AS BIGINT) AS year, round(max(p) - min(p), 4) AS spread, round(max(CASE WHEN m = 1.0 THEN p END), 4) AS baseline,
+           round(100.0 * (max(p) - min(p)) / max(CASE WHEN m = 1.0 THEN p END), 6) AS spread_pct
+    FROM (SELECT area, crop, m, rainfall_mm * m + 7 AS p FROM curated, (VALUES (0.5), (1.0), (1.5)) v(m) WHERE year = 1999 AND rainfall_mm IS NOT NULL) x
+    GROUP BY area, crop"""))
+def v7(t: Tables) -> DataFrame:
+    # A straight line stands in for the model, so that SQL can follow the curve.
+    steps = t.curated.where("year = 1999 and rainfall_mm is not null").select(
+        F.concat_ws("/", "area", "crop").alias("request_id"), "area", "crop", "year", "rainfall_mm",
+        F.explode(F.array(F.lit(0.5), F.lit(1.0), F.lit(1.5))).alias("multiplier"),
+    )
+    curve = steps.withColumn("predicted_yield_hg_ha", F.col("rainfall_mm") * F.col("multiplier") + 7)
+    return rounded(rounded(curve_spread(curve).drop("request_id"), 4, "spread", "baseline"), 6, "spread_pct")
+
+
+@bound("v8_actual_and_predicted")
+def v8(t: Tables) -> DataFrame:
+    return actual_and_predicted(_forest(t).transform(t.features[1]))

@@ -12,8 +12,11 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
+from furrow.operators.evaluation import temporal_split
+from furrow.operators.features import FeatureStats
 from furrow.operators.quality import inspect
 from furrow.plans.curate import SOURCES, accepted_frames, curate
+from furrow.session import settle
 from furrow.sources.star import build_star
 
 CUTOFF = 2000  # first test year
@@ -152,9 +155,28 @@ class Tables:
     def curated(self) -> DataFrame:
         return curate(self.accepted)
 
+    @cached_property
+    def settled(self) -> DataFrame:
+        """The curated table written once, for jobs that read it several times."""
+        return settle(self.curated)
+
     @cached_property
     def star(self) -> dict[str, DataFrame]:
-        return build_star(self.curated)
+        return build_star(self.settled)
+
+    @cached_property
+    def split(self) -> tuple[DataFrame, DataFrame]:
+        return temporal_split(self.settled, CUTOFF)
+
+    @cached_property
+    def stats(self) -> FeatureStats:
+        return FeatureStats.fit(self.split[0], era_start=SPLIT)
+
+    @cached_property
+    def features(self) -> tuple[DataFrame, DataFrame]:
+        """Feature tables of the training and the test years, written once."""
+        table = settle(self.stats.transform(self.settled, self.settled))
+        return temporal_split(table, CUTOFF)
 
     @cached_property
     def events(self) -> DataFrame:
@@ -208,6 +230,29 @@ REGION_CTES = """
 dim_region AS (SELECT row_number() OVER (ORDER BY area) AS region_id, area AS region_name FROM (SELECT DISTINCT area FROM curated) a),
 dim_crop AS (SELECT row_number() OVER (ORDER BY crop) AS crop_id, crop AS crop_name FROM (SELECT DISTINCT crop FROM curated) c)"""
 
+TRAIN_CTES = f"""
+train AS (SELECT * FROM curated WHERE year < {CUTOFF}),
+test AS (SELECT * FROM curated WHERE year >= {CUTOFF}),
+base AS (
+    SELECT c.*, coalesce(pm, cm, (SELECT avg(yield_hg_ha) FROM train)) AS prediction FROM curated c
+    LEFT JOIN (SELECT area, crop, avg(yield_hg_ha) AS pm FROM train GROUP BY 1, 2) a ON c.area = a.area AND c.crop = a.crop
+    LEFT JOIN (SELECT crop, avg(yield_hg_ha) AS cm FROM train GROUP BY 1) b ON c.crop = b.crop
+),
+threshold AS (SELECT crop, quantile_cont(yield_hg_ha, 0.25) AS threshold FROM train GROUP BY crop),
+risk AS (SELECT c.*, CAST(coalesce(yield_hg_ha < threshold, false) AS BIGINT) AS label FROM curated c LEFT JOIN threshold t ON c.crop = t.crop),
+med AS (SELECT quantile_cont(rainfall_mm, 0.5) AS r, quantile_cont(avg_temp_c, 0.5) AS t, quantile_cont(pesticides_tonnes, 0.5) AS p FROM train),
+feat AS (
+    SELECT area, crop, yield_hg_ha, year, CAST(year >= {SPLIT} AS BIGINT) AS is_post_1990,
+           CAST(rainfall_mm IS NULL AS BIGINT) AS rainfall_mm_missing, coalesce(rainfall_mm, (SELECT r FROM med)) AS rainfall_mm,
+           CAST(avg_temp_c IS NULL AS BIGINT) AS avg_temp_c_missing, coalesce(avg_temp_c, (SELECT t FROM med)) AS avg_temp_c,
+           CAST(pesticides_tonnes IS NULL AS BIGINT) AS pesticides_tonnes_missing, coalesce(pesticides_tonnes, (SELECT p FROM med)) AS pesticides_tonnes,
+           region AS region_mean_yield, CAST(lag1 IS NULL AS BIGINT) AS lag1_yield_missing, coalesce(lag1, region) AS lag1_yield,
+           coalesce(coalesce(lag1, region) / nullif(region, 0), 1.0) AS yield_trend_ratio
+    FROM (SELECT c.*, coalesce(m, (SELECT avg(yield_hg_ha) FROM train)) AS region, CAST(l.y AS DOUBLE) AS lag1 FROM curated c
+          LEFT JOIN (SELECT area AS a, avg(yield_hg_ha) AS m FROM train GROUP BY 1) g ON c.area = g.a
+          LEFT JOIN (SELECT area AS la, crop AS lc, year + 1 AS ly, yield_hg_ha AS y FROM curated) l ON c.area = la AND c.crop = lc AND c.year = ly) x
+)"""
+
 
 def on_curated(select: str, ctes: str = "") -> str:
     """A SQL statement over ``curated`` and any further ``ctes``."""
