@@ -37,7 +37,7 @@ def ridge(features: DataFrame, names: Sequence[str], alpha: float = 10.0) -> Pip
     MLlib averages the loss over the rows and scales by the label's deviation,
     which is undone here.
     """
-    size = features.agg(F.count(F.lit(1)).alias("n"), F.stddev_samp(LABEL).alias("s")).first()
+    size = features.agg(F.count(F.lit(1)).alias("n"), F.stddev_pop(LABEL).alias("s")).first()
     penalty = alpha * size["s"] / size["n"]
     return _train(features, names, LinearRegression(labelCol=LABEL, solver="normal", regParam=penalty, elasticNetParam=0.0, standardization=False))
 
