@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Formal area names and the common name each one is joined under.
 AREA_ALIASES = {
@@ -57,6 +58,13 @@ def number_or_null(col: Column, sentinel: str | None = MISSING_SENTINEL) -> Colu
     return F.when(text.rlike(NUMBER), text.try_cast("double"))
 
 
-def not_nan(col: Column) -> Column:
-    """NaN marks a missing value in some inputs; here missing is always NULL."""
-    return F.when(~F.isnan(col), col)
+def number_in(df: DataFrame, name: str, sentinel: str | None = None) -> Column:
+    """Column ``name`` of ``df`` as a number. A column that is numeric already is
+    taken as it is, with NaN, which marks a missing value in some inputs, as null."""
+    col = F.col(f"`{name}`")
+    kind = df.schema[name].dataType
+    if isinstance(kind, T.FractionalType) and not isinstance(kind, T.DecimalType):
+        return F.when(~F.isnan(col), col.cast("double"))
+    if isinstance(kind, T.NumericType):
+        return col.cast("double")
+    return number_or_null(col, sentinel)

@@ -5,34 +5,37 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from furrow.functions.text import area_key, number_or_null
+from furrow.functions.text import MISSING_SENTINEL, area_key, number_in
 from furrow.sources.files import strip_headers
 
 
 def clean_yield(raw: DataFrame) -> DataFrame:
-    return strip_headers(raw).select(
+    named = strip_headers(raw)
+    return named.select(
         F.col("Area").alias("area"),
         F.col("Item").alias("crop"),
         F.col("Year").try_cast("int").alias("year"),
-        number_or_null(F.col("Value"), None).try_cast("long").alias("yield_hg_ha"),
+        number_in(named, "Value").try_cast("long").alias("yield_hg_ha"),
         area_key(F.col("Area")).alias("area_key"),
     )
 
 
 def clean_pesticides(raw: DataFrame) -> DataFrame:
-    return strip_headers(raw).select(
+    named = strip_headers(raw)
+    return named.select(
         F.col("Area").alias("area"),
         F.col("Year").try_cast("int").alias("year"),
-        number_or_null(F.col("Value"), None).alias("pesticides_tonnes"),
+        number_in(named, "Value").alias("pesticides_tonnes"),
         area_key(F.col("Area")).alias("area_key"),
     )
 
 
 def clean_rainfall(raw: DataFrame) -> DataFrame:
-    return strip_headers(raw).select(
+    named = strip_headers(raw)
+    return named.select(
         F.col("Area").alias("area"),
         F.col("Year").try_cast("int").alias("year"),
-        number_or_null(F.col("average_rain_fall_mm_per_year")).alias("rainfall_mm"),
+        number_in(named, "average_rain_fall_mm_per_year", MISSING_SENTINEL).alias("rainfall_mm"),
         area_key(F.col("Area")).alias("area_key"),
     )
 
@@ -47,7 +50,7 @@ def clean_temp(raw: DataFrame) -> DataFrame:
     once = named.distinct().select(
         F.col("country").alias("area"),
         F.col("year").try_cast("int").alias("year"),
-        number_or_null(F.col("avg_temp"), None).alias("avg_temp_c"),
+        number_in(named, "avg_temp").alias("avg_temp_c"),
         area_key(F.col("country")).alias("area_key"),
     )
     return once.groupBy("area_key", "year").agg(F.min("area").alias("area"), F.avg("avg_temp_c").alias("avg_temp_c"))
@@ -58,6 +61,6 @@ def mean_temp_with_repeats(raw: DataFrame) -> DataFrame:
     named = strip_headers(raw).select(
         F.col("country").alias("area"),
         F.col("year").try_cast("int").alias("year"),
-        number_or_null(F.col("avg_temp"), None).alias("avg_temp_c"),
+        number_in(named, "avg_temp").alias("avg_temp_c"),
     )
     return named.groupBy("area", "year").agg(F.avg("avg_temp_c").alias("avg_temp_c"))

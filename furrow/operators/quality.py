@@ -13,11 +13,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from furrow.functions.text import number_or_null
+from furrow.functions.text import MISSING_SENTINEL, number_in
 from furrow.sources.contracts import check_contract
 from furrow.sources.files import write_table
 
-Pick = Callable[[str], Column]
 
 # The bounds and categories rows are held against.
 EARLIEST_YEAR = 1600
@@ -37,57 +36,68 @@ DUPLICATE = "duplicate_row"
 BROKEN_CONTRACT = "schema_validation_failed"
 
 
+class Fields:
+    """The columns of a source by their stripped names, so a padded header still matches."""
+
+    def __init__(self, rows: DataFrame) -> None:
+        self.rows = rows
+        self.names = {c.strip(): c for c in rows.columns}
+
+    def __call__(self, name: str) -> Column:
+        return F.col(f"`{self.names[name]}`")
+
+    def number(self, name: str, sentinel: str | None = None) -> Column:
+        """The column as a number, null where it holds none."""
+        return number_in(self.rows, self.names[name], sentinel)
+
+
 @dataclass(frozen=True)
 class Rule:
-    """``invalid`` gets a function from column name to column. A rule without
-    ``invalid`` marks every copy of a row but one."""
+    """``invalid`` makes the test from the :class:`Fields` of a source. A rule
+    without ``invalid`` marks every copy of a row but one."""
 
     reason: str
-    invalid: Callable[[Pick], Column] | None = None
-
-
-def number(col: Column) -> Column:
-    return number_or_null(col, sentinel=None)
+    invalid: Callable[[Fields], Column] | None = None
 
 
 def year_outside(name: str) -> Rule:
-    return Rule("year_out_of_range", lambda c: ~number(c(name)).between(EARLIEST_YEAR, LATEST_YEAR))
+    return Rule("year_out_of_range", lambda c: ~c.number(name).between(EARLIEST_YEAR, LATEST_YEAR))
 
 
 RULES: dict[str, tuple[Rule, ...]] = {
     "yield": (
         Rule(DUPLICATE),
         year_outside("Year"),
-        Rule("non_positive_yield", lambda c: number(c("Value")) <= 0),
-        Rule("implausible_yield_over_800000_hg_ha", lambda c: number(c("Value")) > HIGHEST_YIELD_HG_HA),
+        Rule("non_positive_yield", lambda c: c.number("Value") <= 0),
+        Rule("implausible_yield_over_800000_hg_ha", lambda c: c.number("Value") > HIGHEST_YIELD_HG_HA),
         Rule("unknown_crop_category", lambda c: ~F.coalesce(c("Item").isin(*KNOWN_CROPS), F.lit(False))),
         Rule("unexpected_unit", lambda c: ~c("Unit").eqNullSafe(YIELD_UNIT)),
     ),
     "pesticides": (
         Rule(DUPLICATE),
         year_outside("Year"),
-        Rule("negative_pesticide_use", lambda c: number(c("Value")) < 0),
+        Rule("negative_pesticide_use", lambda c: c.number("Value") < 0),
     ),
     "rainfall": (
         Rule(DUPLICATE),
         year_outside("Year"),
         Rule(
             "implausible_rainfall",
-            lambda c: ~number_or_null(c("average_rain_fall_mm_per_year")).between(0, HIGHEST_RAINFALL_MM),
+            lambda c: ~c.number("average_rain_fall_mm_per_year", MISSING_SENTINEL).between(0, HIGHEST_RAINFALL_MM),
         ),
     ),
     "temp": (
         Rule(DUPLICATE),
         year_outside("year"),
-        Rule("implausible_temp", lambda c: ~number(c("avg_temp")).between(LOWEST_TEMP_C, HIGHEST_TEMP_C)),
+        Rule("implausible_temp", lambda c: ~c.number("avg_temp").between(LOWEST_TEMP_C, HIGHEST_TEMP_C)),
     ),
 }
 
 
-def reasons(rules: Sequence[Rule], pick: Pick, is_copy: Column) -> Column:
-    """All reasons that apply, in rule order, as an array."""
-    marks = [F.when(is_copy if r.invalid is None else r.invalid(pick), F.lit(r.reason)) for r in rules]
-    return F.array_compact(F.array(*marks))
+def reasons(rules: Sequence[Rule], fields: Fields, is_copy: bool) -> Column:
+    """All reasons that apply, in rule order, joined by ``;``; empty if none does."""
+    marks = [F.when(F.lit(is_copy) if r.invalid is None else r.invalid(fields), F.lit(r.reason)) for r in rules]
+    return F.concat_ws(";", *marks)
 
 
 def repeat_rows(df: DataFrame, times: str, block: int = 100_000) -> DataFrame:
@@ -112,7 +122,7 @@ class Inspection:
     """The outcome of the gate for one source.
 
     ``rows`` holds each distinct row once with ``_copies``, how often it came,
-    and ``_reasons``, the rules its first copy fails. Copies are folded before
+    and ``_reasons``, what its first copy fails. Copies are folded before
     the shuffle, so a row repeated a billion times costs one row.
     """
 
@@ -134,44 +144,50 @@ class Inspection:
 
     def accepted(self) -> DataFrame:
         """Valid rows with their original columns."""
-        valid = self.rows.where(F.size("_reasons") == 0)
+        valid = self.rows.where(F.col("_reasons") == "")
         if self._drops_copies:
             return valid.select(*_quoted(self.columns))
         return repeat_rows(valid.select(*_quoted(self.columns), "_copies"), "_copies")
 
     def _parts(self) -> DataFrame:
         """Rejected rows as (row, reasons, how many): the first copy, then the others."""
-        whole = self.rows.select(*_quoted(self.columns), F.col("_reasons").alias("_why"), F.col("_copies").alias("_times"))
-        if self._drops_copies:
-            first = F.struct(F.col("_reasons").alias("why"), F.lit(1).cast("long").alias("times"))
-            extra = F.struct(
-                reasons(self.rules, _picker(self.columns), F.lit(True)).alias("why"), (F.col("_copies") - 1).alias("times")
-            )
-            parts = F.array_compact(F.array(first, F.when(F.col("_copies") > 1, extra)))
-            whole = self.rows.select(*_quoted(self.columns), F.explode(parts).alias("_part")).select(
-                *_quoted(self.columns), F.col("_part.why").alias("_why"), F.col("_part.times").alias("_times")
+        kept = _quoted(self.columns)
+        if not self._drops_copies:
+            return self.rows.where(F.col("_reasons") != "").select(
+                *kept, F.col("_reasons").alias("reject_reason"), F.col("_copies").alias("_times")
             )
-        return whole.where(F.size("_why") > 0)
+        first = F.struct(F.col("_reasons").alias("why"), F.lit(1).cast("long").alias("times"))
+        extra = F.struct(
+            reasons(self.rules, Fields(self.rows), is_copy=True).alias("why"), (F.col("_copies") - 1).alias("times")
+        )
+        parts = F.when(F.col("_copies") > 1, F.array(first, extra)).otherwise(F.array(first))
+        return (
+            self.rows.where((F.col("_reasons") != "") | (F.col("_copies") > 1))
+            .select(*kept, F.explode(parts).alias("_part"))
+            .select(*kept, F.col("_part.why").alias("reject_reason"), F.col("_part.times").alias("_times"))
+            .where(F.col("reject_reason") != "")
+        )
 
     def rejected(self) -> DataFrame:
         """Quarantined rows, copies and all, with ``reject_reason``."""
-        told = self._parts().select(*_quoted(self.columns), F.concat_ws(";", "_why").alias("reject_reason"), "_times")
-        return repeat_rows(told, "_times")
+        return repeat_rows(self._parts(), "_times")
 
     def reason_counts(self) -> DataFrame:
         """How many rows each reason rejected; a row with two reasons counts in both."""
-        each = self._parts().select(F.explode("_why").alias("reason"), "_times")
-        return each.groupBy("reason").agg(F.sum("_times").alias("n")).select(F.lit(self.source).alias("source"), "reason", "n")
+        each = self._parts().groupBy("reject_reason").agg(F.sum("_times").alias("_times"))
+        single = each.select(F.explode(F.split("reject_reason", ";")).alias("reason"), "_times")
+        return single.groupBy("reason").agg(F.sum("_times").alias("n")).select(F.lit(self.source).alias("source"), "reason", "n")
 
     def report(self) -> DataFrame:
         """One row of counts, score, status and per-column nulls of the raw rows."""
-        first_ok = F.size("_reasons") == 0
+        first_ok = F.col("_reasons") == ""
         accepted = F.when(first_ok, F.lit(1) if self._drops_copies else F.col("_copies")).otherwise(0)
         if self.missing:
             per_reason = [(BROKEN_CONTRACT, F.col("_copies"))]
         else:
+            fields = Fields(self.rows)
             per_reason = [
-                (r.reason, F.col("_copies") - 1 if r.invalid is None else F.when(F.array_contains("_reasons", r.reason), F.col("_copies")).otherwise(0))
+                (r.reason, F.col("_copies") - 1 if r.invalid is None else F.when(r.invalid(fields), F.col("_copies")))
                 for r in self.rules
             ]
         nulls = {c: F.sum(F.when(F.col(f"`{c}`").isNull(), F.col("_copies")).otherwise(0)) for c in self.columns}
@@ -199,12 +215,6 @@ def _quoted(columns: Sequence[str]) -> list[Column]:
     return [F.col(f"`{c}`") for c in columns]
 
 
-def _picker(columns: Sequence[str]) -> Pick:
-    """Finds a column by its stripped name, so a padded header still matches."""
-    by_name = {c.strip(): c for c in columns}
-    return lambda name: F.col(f"`{by_name[name]}`")
-
-
 def _count_map(counts: Mapping[str, Column], keep_zero: bool = False) -> Column:
     pairs = [part for name, n in counts.items() for part in (F.lit(name), F.coalesce(n, F.lit(0)).cast("long"))]
     whole = F.create_map(*pairs)
@@ -230,9 +240,8 @@ def inspect(df: DataFrame, source: str, rules: Sequence[Rule] | None = None) ->
     folded = df.groupBy(*_quoted(columns)).agg(F.count(F.lit(1)).alias("_copies"))
     contract = check_contract(columns, source)
     if not contract.passed:
-        return Inspection(source, columns, rules, folded.withColumn("_reasons", F.array(F.lit(BROKEN_CONTRACT))), contract.missing)
-    found = reasons(rules, _picker(columns), F.lit(False))
-    return Inspection(source, columns, rules, folded.withColumn("_reasons", found))
+        return Inspection(source, columns, rules, folded.withColumn("_reasons", F.lit(BROKEN_CONTRACT)), contract.missing)
+    return Inspection(source, columns, rules, folded.withColumn("_reasons", reasons(rules, Fields(folded), is_copy=False)))
 
 
 def overall_quality(reports: DataFrame) -> DataFrame:
