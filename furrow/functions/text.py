@@ -46,8 +46,9 @@ def area_key(col: Column, aliases: dict[str, str] | None = None) -> Column:
     plain = F.lower(stripped(col))
     if not known:
         return plain
-    lookup = F.create_map(*[F.lit(part) for pair in known.items() for part in pair])
-    return F.coalesce(lookup[plain], plain)
+    # One constant that is folded into a literal map when the query is planned.
+    pairs = F.lit("\x02".join(f"{formal}\x01{common}" for formal, common in known.items()))
+    return F.coalesce(F.str_to_map(pairs, F.lit("\x02"), F.lit("\x01"))[plain], plain)
 
 
 def number_or_null(col: Column, sentinel: str | None = MISSING_SENTINEL) -> Column:

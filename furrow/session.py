@@ -48,16 +48,18 @@ def use_checkpoint_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir() or named
 
 
-def settle(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the checkpoint folder and go on from the written copy.
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh path for a written table under the checkpoint folder."""
+    return f"{use_checkpoint_folder(spark)}/{name}-{os.urandom(8).hex()}"
 
-    Used where several branches must see the very same rows, for instance
-    slice numbers of a range shuffle, even if an executor is lost in between.
-    """
-    use_checkpoint_folder(df.sparkSession)
-    return df.checkpoint()
 
+def settle(df: DataFrame) -> DataFrame:
+    """Write ``df`` as a table in the checkpoint folder and go on from that.
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path for a written table under the checkpoint folder."""
-    return os.path.join(use_checkpoint_folder(spark), f"{name}-{os.urandom(6).hex()}")
+    Used where several branches must see the very same rows, for instance the
+    slice numbers of a range shuffle, even if an executor is lost in between. A
+    written table is computed once, and the branches read only their columns.
+    """
+    path = scratch_path(df.sparkSession, "settled")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
