@@ -22,7 +22,7 @@ from furrow.plans.bound.tables import (
     CUTOFF, EVENT_SQL, KNOWN_SQL, LINE_SQL, SOURCE_SQL, Tables, key_sql, on_curated, plain,
 )
 from furrow.sources.star import one_row_per_region_year
-from furrow.plans.curate import MATCHED, curate_by_name, curate_with_sql
+from furrow.plans.curate import MATCHED, SOURCES, curate_by_name, curate_with_sql, transform_report
 
 LINE_PEST = plain(LINE_SQL["pesticides"])
 LINE_RAIN = plain(LINE_SQL["rainfall"])
@@ -391,3 +391,17 @@ def g6(t: Tables) -> DataFrame:
         return found.agg(F.count(F.lit(1)).alias("violations")).withColumn("checked", F.lit(name))
 
     return broken("weather", "rainfall_mm", "avg_temp_c").unionByName(broken("yield", "yield_hg_ha"))
+
+
+_RAW_LINES = {"yield": LINE_YIELD, "pesticides": LINE_PEST, "rainfall": LINE_RAIN, "temp": LINE_TEMP}
+
+
+@bound("o2_transform_report", on_curated("SELECT (SELECT count(*) FROM curated) AS total_rows, " + ", ".join(
+    f"CAST((SELECT count(*) FROM ({sql}) a) - (SELECT count(*) FROM (SELECT DISTINCT * FROM ({sql}) b) c) AS BIGINT) AS duplicates_{s}" for s, sql in _RAW_LINES.items()
+) + f", (SELECT count(*) FROM ({LINE_YIELD}) u WHERE unit IS NULL) AS null_units, (SELECT count(*) FROM ({LINE_TEMP}) v WHERE avg_temp IS NULL) AS null_temps"))
+def o2(t: Tables) -> DataFrame:
+    told = transform_report({s: t.raw_lines(s) for s in SOURCES}, t.curated)
+    return told.select(
+        "join_match_rates.total_rows", *[F.col(f"duplicate_rows_found_in_raw.{s}").alias(f"duplicates_{s}") for s in SOURCES],
+        F.col("null_counts_in_raw.yield.Unit").alias("null_units"), F.col("null_counts_in_raw.temp.avg_temp").alias("null_temps"),
+    )

@@ -192,3 +192,22 @@ def raw_nulls(t: Tables) -> DataFrame:
     return null_counts(t.raw_lines("yield")).select(
         F.col("Item").alias("item"), F.col("Year").alias("yr"), F.col("Unit").alias("unit"), F.col("Value").alias("val")
     )
+
+
+@bound("s4_receipts", " UNION ALL ".join(
+    f"SELECT '{s}' AS source_name, {len(ALL_COLUMNS[s].split(', '))}::BIGINT AS n_columns, count(*) AS record_count FROM ({plain(LINE_SQL[s])}) {s}_lines" for s in SOURCES))
+def receipts(t: Tables) -> DataFrame:
+    parts = [
+        t.raw_lines(s).agg(F.count(F.lit(1)).alias("record_count")).select(
+            F.lit(s).alias("source_name"), F.lit(len(t.raw_lines(s).columns)).alias("n_columns"), "record_count"
+        )
+        for s in SOURCES
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@bound("s9_quarantine_by_source", f"""
+    SELECT source, reject_reason, count(*) AS n FROM ({_ALL_TAGGED}) x WHERE reject_reason <> '' GROUP BY 1, 2""")
+def quarantine(t: Tables) -> DataFrame:
+    parts = [t.gate(s).rejected().select(F.lit(s).alias("source"), "reject_reason") for s in SOURCES]
+    return reduce(DataFrame.unionByName, parts).groupBy("source", "reject_reason").agg(F.count(F.lit(1)).alias("n"))

@@ -166,3 +166,16 @@ def q8(t: Tables) -> DataFrame:
 @bound("j5_yield_in_context_all", on_curated(_CONTEXT))
 def q8_all(t: Tables) -> DataFrame:
     return rounded(q.yield_in_context(t.star, region=None, n=None), 6, "avg_temp_c")
+
+
+@bound("j4_facts_with_names", on_curated("SELECT area AS region_name, crop AS crop_name, count(*) AS n, CAST(sum(yield_hg_ha) AS BIGINT) AS total FROM curated GROUP BY 1, 2"))
+def named_facts(t: Tables) -> DataFrame:
+    named = t.star["yield_observation"].join(t.star["region"], "region_id").join(t.star["crop"], "crop_id")
+    return named.groupBy("region_name", "crop_name").agg(F.count(F.lit(1)).alias("n"), F.sum("yield_hg_ha").alias("total"))
+
+
+@bound("j6_scalar_subquery", on_curated("""
+    SELECT area AS region_name, round(avg(yield_hg_ha), 1) AS avg_yield_hg_ha FROM curated WHERE crop = 'Rice, paddy' GROUP BY area
+    HAVING avg(yield_hg_ha) > (SELECT avg(yield_hg_ha) FROM curated WHERE crop = 'Rice, paddy')"""))
+def q4_rice(t: Tables) -> DataFrame:
+    return q.regions_above_average(t.star, "Rice, paddy")

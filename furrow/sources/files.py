@@ -7,7 +7,7 @@ from collections.abc import Iterable, Mapping
 from datetime import datetime, timezone
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from furrow.functions.text import number_or_null
@@ -50,19 +50,21 @@ def scan_typed(spark: SparkSession, path: str, source: str) -> DataFrame:
 
 
 def land(spark: SparkSession, source: str, source_path: str, raw_dir: str) -> dict:
-    """Take custody of one source: copy it into the raw zone and count it on the way."""
+    """Take custody of one source: copy it into the raw zone and count it."""
     incoming = scan_text(spark, source_path)
     if not incoming.columns:
         raise ValueError(f"{source_path} has no header")
     raw_path = f"{raw_dir}/{source}"
-    seen = Observation(f"landing-{source}")
-    incoming.observe(seen, F.count(F.lit(1)).alias("records")).write.mode("overwrite").parquet(raw_path)
+    incoming.write.mode("overwrite").parquet(raw_path)
     receipt = {
         "source_name": source,
         "source_path": source_path,
         "raw_path": raw_path,
         "columns": incoming.columns,
-        "record_count": int(seen.get["records"]),
+        # Counted on the landed copy, whose footers hold the row counts. A metric
+        # observed during the write would leave the session unable to ship MLlib
+        # closures to the executors.
+        "record_count": spark.read.parquet(raw_path).count(),
         "ingested_at": now(),
     }
     append_manifest(spark, f"{raw_dir}/_manifest", receipt)
