@@ -58,9 +58,10 @@ def clean_temp(raw: DataFrame) -> DataFrame:
 
 def mean_temp_with_repeats(raw: DataFrame) -> DataFrame:
     """Variant by area name: repeated readings all count."""
-    named = strip_headers(raw).select(
+    named = strip_headers(raw)
+    readings = named.select(
         F.col("country").alias("area"),
         F.col("year").try_cast("int").alias("year"),
         number_in(named, "avg_temp").alias("avg_temp_c"),
     )
-    return named.groupBy("area", "year").agg(F.avg("avg_temp_c").alias("avg_temp_c"))
+    return readings.groupBy("area", "year").agg(F.avg("avg_temp_c").alias("avg_temp_c"))

@@ -16,35 +16,53 @@ from pyspark.sql import functions as F
 from furrow.session import settle
 
 
-def running_totals(df: DataFrame, order_by: Sequence[str], sums: Sequence[str], within: Sequence[str] = ()) -> DataFrame:
-    """Adds ``<c>_before`` and ``<c>_total`` for each column in ``sums``.
-
-    ``_before`` sums the rows of the same ``within`` group that sort earlier;
-    ``_total`` sums the whole group. The ``(within, order_by)`` key must be
-    unique, so callers aggregate first; that also folds hot values into one row.
-    """
-    within, order_by = list(within), list(order_by)
-    # The slice number is part of the settled rows: both branches below have to
-    # agree on it, and range boundaries are sampled anew if a shuffle is redone.
-    sliced = settle(df.repartitionByRange(*within, *order_by).withColumn("_slice", F.spark_partition_id()))
-    slices = sliced.groupBy(*within, "_slice").agg(*[F.sum(c).alias(c) for c in sums])
+def _slices(df: DataFrame, order_by: Sequence[str], sums: Sequence[str], within: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """The rows with their slice number, and per slice and group of each column:
+    the sum here, the sum carried in from earlier slices and the group's total."""
+    # The slice number is part of the settled rows: both branches have to agree
+    # on it, and range boundaries are sampled anew if a shuffle is redone.
+    rows = settle(df.repartitionByRange(*within, *order_by).withColumn("_slice", F.spark_partition_id()))
+    here = rows.groupBy(*within, "_slice").agg(*[F.sum(c).alias(f"_{c}_here") for c in sums])
     # At most one row per slice and group, so this window is over a short table.
     whole = Window.partitionBy(*within) if within else Window.partitionBy(F.lit(0))
     earlier = whole.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    carried = slices.select(
-        *within,
-        "_slice",
-        *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"_{c}_carried") for c in sums],
-        *[F.sum(c).over(whole).alias(f"{c}_total") for c in sums],
+    return rows, here.select(
+        "*",
+        *[F.coalesce(F.sum(f"_{c}_here").over(earlier), F.lit(0)).alias(f"_{c}_carried") for c in sums],
+        *[F.sum(f"_{c}_here").over(whole).alias(f"{c}_total") for c in sums],
     )
+
+
+def _run_inside(rows: DataFrame, slices: DataFrame, order_by: Sequence[str], sums: Sequence[str], within: Sequence[str]) -> DataFrame:
+    """Running sums of the rows in ``slices``; rows of other slices are dropped."""
     inside = Window.partitionBy(*within, "_slice").orderBy(*order_by).rowsBetween(Window.unboundedPreceding, -1)
     return (
-        sliced.join(carried, [*within, "_slice"])
+        rows.join(slices, [*within, "_slice"])
         .withColumns({f"{c}_before": F.col(f"_{c}_carried") + F.coalesce(F.sum(c).over(inside), F.lit(0)) for c in sums})
-        .drop("_slice", *[f"_{c}_carried" for c in sums])
+        .drop("_slice", *[f"_{c}_{part}" for c in sums for part in ("here", "carried")])
     )
 
 
+def running_totals(df: DataFrame, order_by: Sequence[str], sums: Sequence[str], within: Sequence[str] = ()) -> DataFrame:
+    """Adds ``<c>_before`` and ``<c>_total`` for each column in ``sums``.
+
+    ``_before`` sums the rows of the same ``within`` group that sort earlier;
+    ``_total`` sums the whole group. The ``(within, order_by)`` key must be
+    unique, so callers aggregate first; that also folds hot values into one row.
+    """
+    rows, slices = _slices(df, order_by, sums, within)
+    return _run_inside(rows, slices, order_by, sums, within)
+
+
+def _holding(slices: DataFrame, ranks: Sequence[Column], column: str) -> DataFrame:
+    """The slices in which any of the 0-based ``ranks`` falls."""
+    first, last = F.col(f"_{column}_carried"), F.col(f"_{column}_carried") + F.col(f"_{column}_here")
+    held = F.lit(False)
+    for rank in ranks:
+        held = held | ((first <= rank) & (rank < last))
+    return slices.where(held)
+
+
 def dense_ids(df: DataFrame, name: str, id_name: str) -> DataFrame:
     """The distinct values of ``name`` numbered 1..n in their own order."""
     names = df.select(name).where(F.col(name).isNotNull()).distinct().withColumn("_one", F.lit(1).cast("long"))
@@ -63,7 +81,6 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Seque
     for key in by:
         present = present.where(F.col(key).isNotNull())
     counted = present.select(*by, F.col(value).cast("double").alias("_v")).groupBy(*by, "_v").agg(F.count("*").alias("_n"))
-    ranked = running_totals(counted, ["_v"], ["_n"], by)
     first, last = F.col("_n_before"), F.col("_n_before") + F.col("_n")
 
     def position(p: float) -> Column:
@@ -74,17 +91,13 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Seque
 
     lows = [F.floor(position(p)) for p in probs]
     highs = [F.ceil(position(p)) for p in probs]
-    useful = F.lit(False)
-    for rank in [*lows, *highs]:
-        useful = useful | covers(rank)
-    picked = (
-        ranked.where(useful)
-        .groupBy(*by)
-        .agg(
-            F.max("_n_total").alias("_n_total"),
-            *[F.max(F.when(covers(rank), F.col("_v"))).alias(f"_lo{i}") for i, rank in enumerate(lows)],
-            *[F.max(F.when(covers(rank), F.col("_v"))).alias(f"_hi{i}") for i, rank in enumerate(highs)],
-        )
+    # Only the slices a wanted rank falls into are sorted and summed.
+    rows, slices = _slices(counted, ["_v"], ["_n"], by)
+    ranked = _run_inside(rows, _holding(slices, [*lows, *highs], "_n"), ["_v"], ["_n"], by)
+    picked = ranked.groupBy(*by).agg(
+        F.max("_n_total").alias("_n_total"),
+        *[F.max(F.when(covers(rank), F.col("_v"))).alias(f"_lo{i}") for i, rank in enumerate(lows)],
+        *[F.max(F.when(covers(rank), F.col("_v"))).alias(f"_hi{i}") for i, rank in enumerate(highs)],
     )
     between = [
         F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * (position(p) - F.floor(position(p)))
@@ -93,11 +106,15 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Seque
     return picked.select(*by, F.col("_n_total").alias("n"), F.array(*between).alias("quantiles"))
 
 
-def rows_at(df: DataFrame, order_by: Sequence[str], positions: Column) -> DataFrame:
-    """The rows at the given 0-based positions of the global order.
+def rows_at(df: DataFrame, order_by: Sequence[str], ranks: Sequence[Column]) -> DataFrame:
+    """The rows at the given 0-based ranks of the global order, with ``position``.
 
-    ``positions`` is an array expression and may use ``_one_total``, the number
-    of rows. ``order_by`` must be unique over the rows.
+    ``ranks`` are expressions and may use ``_one_total``, the number of rows.
+    ``order_by`` must be unique over the rows.
     """
-    ranked = running_totals(df.withColumn("_one", F.lit(1).cast("long")), order_by, ["_one"])
-    return ranked.where(F.array_contains(positions, F.col("_one_before"))).drop("_one", "_one_total").withColumnRenamed("_one_before", "position")
+    rows, slices = _slices(df.withColumn("_one", F.lit(1).cast("long")), order_by, ["_one"], [])
+    ranked = _run_inside(rows, _holding(slices, ranks, "_one"), order_by, ["_one"], [])
+    kept = F.lit(False)
+    for rank in ranks:
+        kept = kept | (F.col("_one_before") == rank)
+    return ranked.where(kept).withColumnRenamed("_one_before", "position").drop("_one")

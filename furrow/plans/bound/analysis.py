@@ -187,7 +187,7 @@ def t4(t: Tables) -> DataFrame:
 def t5(t: Tables) -> DataFrame:
     tenth = F.floor(F.col("_one_total") / 10)
     keyed = t.curated.select("area", "crop", "year", Y)
-    return rows_at(keyed, [Y, "area", "crop", "year"], F.array(tenth, F.col("_one_total") - tenth))
+    return rows_at(keyed, [Y, "area", "crop", "year"], [tenth, F.col("_one_total") - tenth]).drop("_one_total")
 
 
 @bound("t6_most_recent", """

@@ -244,7 +244,7 @@ def j12(t: Tables) -> DataFrame:
     return rounded(joined.select("area", "year", "z"), 6, "z")
 
 
-@bound("m13_scaled_conditions")
+@bound("m13_scaled_conditions", "SELECT CAST(i AS BIGINT) AS position, CAST(0 AS DOUBLE) AS mean, CAST(1 AS DOUBLE) AS sd FROM range(3) r(i)")
 def m13(t: Tables) -> DataFrame:
     _, scaled = clustering.scale_conditions(clustering.conditions_table(t.settled))
     parts = scaled.select(F.posexplode(vector_to_array("features")).alias("position", "v"))
@@ -316,6 +316,23 @@ def m14(t: Tables) -> DataFrame:
     return reduce(DataFrame.unionByName, told)
 
 
+# With one feature the fits have a closed form that SQL can follow.
+
+_ONE = f"""one AS (SELECT regr_slope(yield_hg_ha, lag1_yield) AS slope, regr_intercept(yield_hg_ha, lag1_yield) AS intercept,
+    covar_pop(yield_hg_ha, lag1_yield) * count(*) / (var_pop(lag1_yield) * count(*) + 1e10) AS shrunk FROM feat WHERE year < {CUTOFF})"""
+
+
+@bound("m5_one_feature_regression", on_curated("SELECT round(slope, 6) AS slope, round(intercept, 1) AS intercept, round(shrunk, 6) AS shrunk FROM one", TRAIN_CTES + ", " + _ONE))
+def m5(t: Tables) -> DataFrame:
+    train, _ = t.features
+    line = regression.fitted(regression.linear(train, ["lag1_yield"]))
+    flat = regression.fitted(regression.ridge(train, ["lag1_yield"], alpha=1e10))
+    told = train.agg(
+        F.lit(float(line.coefficients[0])).alias("slope"), F.lit(float(line.intercept)).alias("intercept"), F.lit(float(flat.coefficients[0])).alias("shrunk")
+    )
+    return rounded(rounded(told, 6, "slope", "shrunk"), 1, "intercept")
+
+
 # ---- explanations and scenarios -----------------------------------------------------------
 
 def _forest(t: Tables):
@@ -331,7 +348,7 @@ def v3(t: Tables) -> DataFrame:
     )
 
 
-@bound("v4_linear_contributions")
+@bound("v4_linear_contributions", on_curated(f"SELECT count(*) AS n, true AS adds_up FROM curated WHERE year >= {CUTOFF}"))
 def v4_linear(t: Tables) -> DataFrame:
     train, test = t.features
     model = regression.linear(train, t.stats.names)
@@ -386,6 +403,40 @@ def _requests(t: Tables) -> DataFrame:
     )
 
 
+def _straight_engine(t: Tables) -> WhatIf:
+    """A regression on rainfall alone, which SQL can follow through a scenario."""
+    return WhatIf(regression.linear(t.features[0], ["rainfall_mm"]), t.stats, t.settled)
+
+
+_RAIN = f"""rain AS (SELECT regr_slope(yield_hg_ha, rainfall_mm) AS s, regr_intercept(yield_hg_ha, rainfall_mm) AS c FROM feat WHERE year < {CUTOFF}),
+asked AS (SELECT area, crop, year, rainfall_mm, s, c, coalesce(rainfall_mm, (SELECT r FROM med)) AS known, coalesce(rainfall_mm * 1.15, (SELECT r FROM med)) AS wetter
+    FROM curated, rain WHERE year >= {CUTOFF})"""
+
+
+@bound("v5_scenarios_on_rainfall", on_curated("""
+    SELECT area, crop, year, round(c + s * known, 1) AS baseline_prediction_hg_ha, round(c + s * wetter, 1) AS scenario_prediction_hg_ha,
+           round(s * (wetter - known), 1) AS absolute_change_hg_ha, round(100.0 * s * (wetter - known) / (c + s * known), 4) AS percent_change FROM asked""", TRAIN_CTES + ", " + _RAIN))
+def v5_straight(t: Tables) -> DataFrame:
+    told = _straight_engine(t).scenarios(_requests(t)).drop("request_id")
+    return rounded(rounded(told, 1, "baseline_prediction_hg_ha", "scenario_prediction_hg_ha", "absolute_change_hg_ha"), 4, "percent_change")
+
+
+@bound("v6_curves_on_rainfall", on_curated("""
+    SELECT area, crop, year, CAST(round(0.5 + 0.1 * i, 1) AS DOUBLE) AS multiplier, round(rainfall_mm * (0.5 + 0.1 * i), 4) AS scaled_value,
+           round(c + s * rainfall_mm * (0.5 + 0.1 * i), 1) AS predicted_yield_hg_ha
+    FROM asked, range(11) g(i) WHERE rainfall_mm IS NOT NULL""", TRAIN_CTES + ", " + _RAIN))
+def v6_straight(t: Tables) -> DataFrame:
+    curve, _ = _straight_engine(t).sensitivity(_requests(t), "rainfall_mm")
+    return rounded(rounded(curve.drop("request_id"), 1, "multiplier", "predicted_yield_hg_ha"), 4, "scaled_value")
+
+
+@bound("v8_actual_and_predicted_on_rainfall", on_curated("""
+    SELECT area, crop, year, yield_hg_ha, round(c + s * known, 1) AS prediction, round(c + s * known - yield_hg_ha, 1) AS error
+    FROM asked JOIN (SELECT area AS a, crop AS k, year AS y, yield_hg_ha FROM curated) f ON a = area AND k = crop AND y = year""", TRAIN_CTES + ", " + _RAIN))
+def v8_straight(t: Tables) -> DataFrame:
+    return rounded(actual_and_predicted(_straight_engine(t).model.transform(t.features[1])), 1, "prediction", "error")
+
+
 @bound("v5_scenarios")
 def v5(t: Tables) -> DataFrame:
     return _engine(t).scenarios(_requests(t))

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from furrow.functions.text import AREA_ALIASES, area_key, number_or_null
-from furrow.operators.cleaning import clean_rainfall, clean_temp, clean_yield
+from furrow.operators.cleaning import clean_rainfall, clean_temp, clean_yield, mean_temp_with_repeats
 from furrow.operators.joining import merge_sources, with_previous_year
 from furrow.sources.contracts import CONTRACTS
 
@@ -52,6 +52,11 @@ def test_repeated_reading_counts_once(spark):
     assert clean_temp(raw).first()["avg_temp_c"] == 21.5
 
 
+def test_variant_by_name_counts_repeats(spark):
+    raw = spark.createDataFrame([(2000, "Kenya", "20"), (2000, "Kenya", "20"), (2000, "Kenya", "23"), (2000, "kenya", "x")], "year int, country string, avg_temp string")
+    assert {r["area"]: r["avg_temp_c"] for r in mean_temp_with_repeats(raw).collect()} == {"Kenya": 21.0, "kenya": None}
+
+
 def merged(spark, temps):
     yields = spark.createDataFrame([("Kenya", "Maize", 2000, 1, "kenya"), ("Kenya", "Wheat", 2000, 2, "kenya")], YIELD)
     return merge_sources(yields, spark.createDataFrame([], PEST), spark.createDataFrame([], RAIN), spark.createDataFrame(temps, TEMP))

@@ -50,7 +50,7 @@ def test_dense_ids_follow_name_order(spark):
 
 def test_rows_at_positions(spark):
     df = spark.range(100).select((99 - F.col("id")).alias("v"))
-    got = rows_at(df, ["v"], F.array(F.lit(10), F.col("_one_total") - 10)).collect()
+    got = rows_at(df, ["v"], [F.lit(10), F.col("_one_total") - 10]).collect()
     assert sorted((r["v"], r["position"]) for r in got) == [(10, 10), (90, 90)]
 
 
