@@ -8,9 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from furrow.functions.distributions import ks_p_value
-from furrow.functions.numeric import band, flag
+from furrow.functions.numeric import band, flag, safe_ratio
 from furrow.operators.features import long_form
 from furrow.operators.ordered import exact_quantiles, running_totals
+from furrow.session import settle
 
 # The watched features and the thresholds of the verdicts.
 DRIFT_FEATURES = ("rainfall_mm", "avg_temp_c", "pesticides_tonnes", "lag1_yield")
@@ -23,29 +24,25 @@ def shift_label(psi: Column) -> Column:
     return band(psi, [(PSI_NO_SHIFT, "no significant shift"), (PSI_MODERATE_SHIFT, "moderate shift")], "significant shift")
 
 
-def two_samples(reference: DataFrame, current: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """(feature, value, is_current) rows of both populations."""
-    left = long_form(reference, tuple(columns)).withColumn("is_current", F.lit(0))
-    return left.unionByName(long_form(current, tuple(columns)).withColumn("is_current", F.lit(1)))
+def value_counts(reference: DataFrame, current: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """How often each value of each column occurs in either population, as
+    (feature, value, n_ref, n_cur). Everything below works on this table, so the
+    rows themselves are read once."""
+    left = long_form(reference, tuple(columns)).withColumn("_cur", F.lit(0))
+    both = left.unionByName(long_form(current, tuple(columns)).withColumn("_cur", F.lit(1)))
+    return settle(both.groupBy("feature", "value").agg(F.sum(1 - F.col("_cur")).alias("n_ref"), F.sum("_cur").alias("n_cur")))
 
 
-def fold_values(samples: DataFrame) -> DataFrame:
-    """How often each value occurs on either side. Everything below works on this."""
-    return samples.groupBy("feature", "value").agg(
-        F.sum(1 - F.col("is_current")).alias("n_ref"), F.sum("is_current").alias("n_cur")
-    )
-
-
-def population_stability(samples: DataFrame, bins: int = 10) -> DataFrame:
+def population_stability(counts: DataFrame, bins: int = 10) -> DataFrame:
     """PSI per feature over equal-count bins of the reference population.
 
     Bin edges that coincide are kept, which leaves the bins between them empty;
     an empty bin counts as a share of one in a million on that side.
     """
     inner = [i / bins for i in range(1, bins)]
-    edges = exact_quantiles(samples.where("is_current = 0"), "value", inner, ["feature"]).select("feature", F.col("quantiles").alias("_edges"))
+    edges = exact_quantiles(counts, "value", inner, ["feature"], times="n_ref").select("feature", F.col("quantiles").alias("_edges"))
     # One row per watched column, whatever the data size.
-    placed = fold_values(samples).join(F.broadcast(edges), "feature").withColumn(
+    placed = counts.join(F.broadcast(edges), "feature").withColumn(
         "bin", F.size(F.filter("_edges", lambda e: e <= F.col("value")))
     )
     counted = placed.groupBy("feature", "bin").agg(F.sum("n_ref").alias("n_ref"), F.sum("n_cur").alias("n_cur"))
@@ -60,9 +57,9 @@ def population_stability(samples: DataFrame, bins: int = 10) -> DataFrame:
     return full.groupBy("feature").agg(F.sum((cur - ref) * F.log(cur / ref)).alias("psi"))
 
 
-def ks_two_sample(samples: DataFrame) -> DataFrame:
+def ks_two_sample(counts: DataFrame) -> DataFrame:
     """Largest distance between the two empirical distribution functions, per feature."""
-    ranked = running_totals(fold_values(samples), ["value"], ["n_ref", "n_cur"], ["feature"])
+    ranked = running_totals(counts, ["value"], ["n_ref", "n_cur"], ["feature"])
     left = F.try_divide((F.col("n_ref_before") + F.col("n_ref")).cast("double"), F.col("n_ref_total"))
     right = F.try_divide((F.col("n_cur_before") + F.col("n_cur")).cast("double"), F.col("n_cur_total"))
     gaps = ranked.groupBy("feature").agg(
@@ -72,14 +69,16 @@ def ks_two_sample(samples: DataFrame) -> DataFrame:
     return gaps.withColumn("ks_pvalue", ks_p_value(F.col("ks_statistic"), F.col("n_reference"), F.col("n_current")))
 
 
-def sample_means(samples: DataFrame) -> DataFrame:
-    side = {"reference_mean": F.col("is_current") == 0, "current_mean": F.col("is_current") == 1}
-    return samples.groupBy("feature").agg(*[F.avg(F.when(c, F.col("value"))).alias(name) for name, c in side.items()])
+def sample_means(counts: DataFrame) -> DataFrame:
+    def mean(n: str) -> Column:
+        return safe_ratio(F.sum(F.col("value") * F.col(n)), F.sum(n))
+
+    return counts.groupBy("feature").agg(mean("n_ref").alias("reference_mean"), mean("n_cur").alias("current_mean"))
 
 
 def drift_report(reference: DataFrame, current: DataFrame, columns: Sequence[str] = DRIFT_FEATURES, mean_places: int = 2) -> DataFrame:
-    samples = two_samples(reference, current, columns)
-    joined = population_stability(samples).join(ks_two_sample(samples), "feature").join(sample_means(samples), "feature")
+    counts = value_counts(reference, current, columns)
+    joined = population_stability(counts).join(ks_two_sample(counts), "feature").join(sample_means(counts), "feature")
     return joined.select(
         "feature",
         F.bround("psi", 4).alias("psi"),

@@ -69,8 +69,11 @@ def dense_ids(df: DataFrame, name: str, id_name: str) -> DataFrame:
     return running_totals(names, [name], ["_one"]).select((F.col("_one_before") + 1).alias(id_name), name)
 
 
-def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
+def exact_quantiles(
+    df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str] = (), times: str | None = None
+) -> DataFrame:
     """Linearly interpolated quantiles per group, exact whatever the group size.
+    With ``times``, each row stands for that many equal values.
 
     Returns the ``by`` columns, ``n`` (non-null values) and ``quantiles``, an
     array in the order of ``probs``. The built-in exact percentile keeps every
@@ -80,7 +83,14 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Seque
     present = df.where(F.col(value).isNotNull())
     for key in by:
         present = present.where(F.col(key).isNotNull())
-    counted = present.select(*by, F.col(value).cast("double").alias("_v")).groupBy(*by, "_v").agg(F.count("*").alias("_n"))
+    if times:
+        present = present.where(F.col(times) > 0)
+    weight = F.col(times).cast("long") if times else F.lit(1).cast("long")
+    counted = (
+        present.select(*by, F.col(value).cast("double").alias("_v"), weight.alias("_n"))
+        .groupBy(*by, "_v")
+        .agg(F.sum("_n").alias("_n"))
+    )
     first, last = F.col("_n_before"), F.col("_n_before") + F.col("_n")
 
     def position(p: float) -> Column:

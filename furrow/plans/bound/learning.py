@@ -254,7 +254,7 @@ def m13(t: Tables) -> DataFrame:
 @bound("m19_cluster_search")
 def m19(t: Tables) -> DataFrame:
     _, scaled = clustering.scale_conditions(clustering.conditions_table(t.settled))
-    return clustering.search_k(scaled.persist(), range(2, 6), restarts=2)
+    return clustering.search_k(scaled.persist(), restarts=1)
 
 
 @bound("m20_kmeans_profile")

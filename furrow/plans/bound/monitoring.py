@@ -51,18 +51,18 @@ def _sides(t: Tables) -> tuple[DataFrame, DataFrame]:
 
 @bound("x7_population_stability", on_curated("SELECT feature, round(psi, 6) AS psi FROM psi", _ctes(_SAMPLES)))
 def x7(t: Tables) -> DataFrame:
-    return rounded(d.population_stability(d.two_samples(*_sides(t), d.DRIFT_FEATURES)), 6, "psi")
+    return rounded(d.population_stability(d.value_counts(*_sides(t), d.DRIFT_FEATURES)), 6, "psi")
 
 
 @bound("x8_ks_two_sample", on_curated("SELECT feature, round(ks_statistic, 8) AS ks_statistic FROM ks", _ctes(_SAMPLES)))
 def x8(t: Tables) -> DataFrame:
-    told = d.ks_two_sample(d.two_samples(*_sides(t), d.DRIFT_FEATURES))
+    told = d.ks_two_sample(d.value_counts(*_sides(t), d.DRIFT_FEATURES))
     return rounded(told.select("feature", "ks_statistic"), 8, "ks_statistic")
 
 
 @bound("x8_ks_p_values")
 def x8_p(t: Tables) -> DataFrame:
-    return d.ks_two_sample(d.two_samples(*_sides(t), d.DRIFT_FEATURES))
+    return d.ks_two_sample(d.value_counts(*_sides(t), d.DRIFT_FEATURES))
 
 
 @bound("x9_drift_report", on_curated(f"""

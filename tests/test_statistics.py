@@ -150,7 +150,7 @@ def test_drift_with_repeated_edges(spark):
         "moved": (rng.normal(0, 1, 120), rng.normal(3, 1, 90)),
     }
     frames = [spark.createDataFrame(pd.DataFrame({k: v[side] for k, v in columns.items()})) for side in (0, 1)]
-    samples = d.two_samples(*frames, list(columns))
+    samples = d.value_counts(*frames, list(columns))
     psi = {r["feature"]: r["psi"] for r in d.population_stability(samples).collect()}
     ks = {r["feature"]: r for r in d.ks_two_sample(samples).collect()}
     for name, (ref, cur) in columns.items():
