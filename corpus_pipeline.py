@@ -4,16 +4,42 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from furrow.llm import ngram_join
+from furrow.llm import decontaminate, entries, mixing, ngram_join, pii, toxicity
 from furrow.session import scratch_path
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that score under 0.5 stay."""
+    return toxicity.clean_rows(docs, entries.toxicity_model(spark, sf_dir))
+
+
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays: five words, 80 %."""
     return ngram_join.one_of_each(docs, k=5, percent=80)
 
 
-STAGES = [("n-gram Jaccard join", near_copies)]
+def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a passage of the benchmark stay."""
+    return decontaminate.clean_rows(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def mask_private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents stay, with personal data replaced by its kind."""
+    return pii.masked(docs)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mix of the sources; a document stands in it as often as it is taken."""
+    return mixing.mixed_rows(docs)
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("n-gram Jaccard join", near_copies),
+    ("benchmark decontamination", drop_benchmark),
+    ("PII", mask_private),
+    ("mixing sources to target weights", mix_sources),
+]
 
 #: The learned stages have no SQL; the stages are tested against brute force.
 ORACLE_SQL = None

@@ -4,10 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from furrow.llm import ngram_join
+from furrow.llm import (
+    decontaminate,
+    embedding_dedup,
+    language_id,
+    license_scan,
+    mixing,
+    ngram_join,
+    pii,
+    suffix_dedup,
+    toxicity,
+    url_filter,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,11 +29,154 @@ def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_components(_table(spark, sf_dir, "documents"), k=3, percent=90).withColumnRenamed("id", "doc_id")
 
 
+def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.overlaps(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.drop("text_hash")
+
+
+def op3_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_copies(_table(spark, sf_dir, "embeddings"))
+
+
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages")
+    return url_filter.judge(pages, url_filter.fit(pages))
+
+
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_scan.scan(_table(spark, sf_dir, "documents"))
+    return found.drop("spans")
+
+
+def _remainder(of: int) -> Column:
+    """crc32 of the document's id as text, modulo ``of``; null for a null id."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % of
+
+
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = language_id.fit(docs.where(_remainder(4) != 2))
+    held = F.coalesce(_remainder(4) == 2, F.lit(False)).alias("held_out")
+    return language_id.predict(docs, model).select("doc_id", held, "lang_pred", "score")
+
+
+def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.repeated_passages(_table(spark, sf_dir, "documents"))
+
+
+def toxicity_model(spark: SparkSession, sf_dir: str) -> toxicity.Model:
+    """Learned from the labelled documents whose remainder by 5 is not 0."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = _table(spark, sf_dir, "labels").where(_remainder(5) != 0).select("doc_id", "toxic")
+    return toxicity.fit(docs.join(labels, "doc_id"))
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = toxicity.score(_table(spark, sf_dir, "documents"), toxicity_model(spark, sf_dir))
+    held = F.coalesce(_remainder(5) == 0, F.lit(False)).alias("held_out")
+    return scored.select("doc_id", held, "score", "predicted")
+
+
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
+    "op2_benchmark_decontamination": op2_benchmark_decontamination,
+    "op3_embedding_near_dedup": op3_embedding_near_dedup,
+    "op4_url_filter": op4_url_filter,
+    "op5_license_scan": op5_license_scan,
+    "op6_language_id": op6_language_id,
+    "op7_source_mixing": op7_source_mixing,
+    "op8_suffix_array_dedup": op8_suffix_array_dedup,
+    "op9_toxicity": op9_toxicity,
+    "op10_pii": op10_pii,
 }
 
-SQL: dict[str, str] = {}
+#: Fixed values of the queries: word pattern, thresholds, weights and shares.
+SQL: dict[str, str] = {
+    "op7_source_mixing": r"""
+WITH sized AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size FROM documents),
+per AS (
+  SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS k
+  FROM sized GROUP BY source),
+limits AS (
+  SELECT *, source_size * 2 AS lim, CASE k % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS weight FROM per),
+ranked AS (
+  SELECT *, lim::DOUBLE / weight AS ratio, sum(source_size) OVER ()::DOUBLE AS words, sum(weight) OVER ()::DOUBLE AS weights,
+    coalesce(sum(lim) OVER before, 0)::DOUBLE AS lim_before, coalesce(sum(weight) OVER before, 0)::DOUBLE AS weight_before
+  FROM limits
+  WINDOW before AS (ORDER BY lim::DOUBLE / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+levels AS (
+  SELECT *, (least(words * 150 / 100.0::DOUBLE, words * 2) - lim_before) / (weights - weight_before) AS own FROM ranked),
+chosen AS (SELECT own AS level FROM levels WHERE ratio > own ORDER BY ratio, source NULLS LAST LIMIT 1),
+goals AS (
+  SELECT source, source_size,
+    CASE WHEN level IS NULL OR ratio <= level THEN lim::DOUBLE ELSE weight * level END AS target,
+    ('0x' || substr(md5('mix' || coalesce('=' || source, '')), 1, 8))::UBIGINT::DOUBLE / 4294967296.0::DOUBLE AS shift
+  FROM levels LEFT JOIN chosen ON true),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY size, doc_id NULLS LAST) - 1 AS before FROM sized),
+rated AS (
+  SELECT p.doc_id, p.size, g.source_size, g.target, p.before, g.shift,
+    CASE WHEN g.source_size > 0 THEN g.target / g.source_size ELSE 0 END AS rate
+  FROM placed p JOIN goals g ON p.source IS NOT DISTINCT FROM g.source)
+SELECT doc_id, size, source_size, target,
+  (size * least(floor((before + 1) * rate + shift) - floor(before * rate + shift), 2))::BIGINT AS taken
+FROM rated""",
+    "op1_ngram_jaccard_join": r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS w FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 2], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 1) + 1)) AS i FROM words WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
+  FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id),
+links AS (
+  SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE 100 * c >= 90 * (x.n + y.n - c)),
+both_ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (
+  SELECT a AS doc_id, a AS other FROM both_ways UNION SELECT r.doc_id, e.b FROM reach r JOIN both_ways e ON r.other = e.a)
+SELECT d.doc_id, coalesce(z.n, 0)::BIGINT AS n_shingles, least(d.doc_id, coalesce(min(r.other), d.doc_id)) AS component_id
+FROM documents d LEFT JOIN sizes z USING (doc_id) LEFT JOIN reach r USING (doc_id) GROUP BY d.doc_id, z.n""",
+    "op3_embedding_near_dedup": r"""
+WITH RECURSIVE good AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM good a JOIN good b ON a.label = b.label AND a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.98),
+reach AS (SELECT a AS vec_id, a AS other FROM links UNION SELECT r.vec_id, e.b FROM reach r JOIN links e ON r.other = e.a),
+least_of AS (SELECT vec_id, min(other) AS c FROM reach GROUP BY vec_id),
+n AS (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a)
+SELECT e.vec_id, coalesce(n.n, 0)::BIGINT AS n_links, coalesce(c, e.vec_id) AS component_id, coalesce(c, e.vec_id) = e.vec_id AS kept
+FROM embeddings e LEFT JOIN n USING (vec_id) LEFT JOIN least_of USING (vec_id)""",
+    "op8_suffix_array_dedup": r"""
+WITH words AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS w FROM documents WHERE text IS NOT NULL),
+windows AS (
+  SELECT doc_id, i - 1 AS start, md5(array_to_string(w[i:i + 49], ' ')) AS h
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM words WHERE len(w) >= 50)),
+repeated AS (SELECT h FROM windows GROUP BY h HAVING min(doc_id) <> max(doc_id)),
+places AS (SELECT doc_id, start FROM windows JOIN repeated USING (h)),
+cut AS (
+  SELECT *, CASE WHEN start > lag(start) OVER (PARTITION BY doc_id ORDER BY start) + 50 THEN 1 ELSE 0 END AS new FROM places),
+numbered AS (SELECT *, sum(new) OVER (PARTITION BY doc_id ORDER BY start) AS span FROM cut)
+SELECT doc_id, min(start)::BIGINT AS start_word, (max(start) + 50)::BIGINT AS end_word, (max(start) + 50 - min(start))::BIGINT AS n_words
+FROM numbered GROUP BY doc_id, span""",
+}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

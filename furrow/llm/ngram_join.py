@@ -299,5 +299,5 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     Rows without an id stay. Of rows that share an id, all stay or all go."""
     groups = jaccard_components(docs, id_col, text_col, k, percent)
-    gone = settle(groups.where("id != component_id").select(F.col("id").alias("_gone")).distinct())
-    return docs.join(broadcast_if_small(gone), docs[id_col] == F.col("_gone"), "left_anti")
+    gone = broadcast_if_small(settle(groups.where("id != component_id").select("id").distinct()))
+    return docs.join(gone, docs[id_col] == gone["id"], "left_anti")
