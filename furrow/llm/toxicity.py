@@ -33,8 +33,9 @@ from furrow.session import settle
 FIT_ROWS = 20_000
 #: Lengths of learned word beginnings, texts that must hold a term, size of the lexicon.
 STEMS, SUPPORT, LEXICON = (4, 5, 6, 7), 5, 400
-#: A learned term is at least so much likelier (log) in toxic than in clean texts.
-LEAST_ODDS = 2.5
+#: A learned term is at least so much likelier (log) in toxic than in clean texts, and
+#: so far from chance (likelihood ratio statistic), as very many terms are tried.
+LEAST_ODDS, LEAST_RATIO = 2.5, 30.0
 #: Terms of so many letters may be matched with one error.
 ONE_ERROR = 6
 #: Words on each side of a hit that make its context.
@@ -206,9 +207,12 @@ def learn_terms(training: DataFrame, n_toxic: int, n_clean: int) -> list[str]:
         F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")
     )
     odds = F.log((F.col("toxic") + 0.5) / (n_toxic + 1.0)) - F.log((F.col("clean") + 0.5) / (n_clean + 1.0))
+    rate = (n_toxic + 0.5) / (n_toxic + n_clean + 1.0)
+    both, toxic, clean = F.col("toxic") + F.col("clean"), F.col("toxic"), F.col("clean")
+    ratio = 2 * (toxic * F.log(toxic / (both * rate)) + F.when(clean > 0, clean * F.log(clean / (both * (1 - rate)))).otherwise(0.0))
     # A report of the best terms: its size is a parameter of the model.
     best = (
-        counts.where((F.col("toxic") >= SUPPORT) & (odds >= LEAST_ODDS))
+        counts.where((toxic >= SUPPORT) & (odds >= LEAST_ODDS) & (ratio >= LEAST_RATIO))
         .withColumn("z", odds * F.sqrt("toxic"))
         .orderBy(F.desc("z"), F.length("term"), "term")
         .limit(LEXICON * 5)
