@@ -25,14 +25,15 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from furrow.llm.common import code_points, narrow
+from furrow.llm.common import code_points, narrow, shingle_set
 from furrow.session import settle
 
 #: Labelled rows that the classifier is fitted on: about so many of each label, chosen
 #: by a hash of the text. All of them up to that number.
 FIT_ROWS = 20_000
-#: Lengths of learned word beginnings, texts that must hold a term, size of the lexicon.
-STEMS, SUPPORT, LEXICON = (4, 5, 6, 7), 5, 400
+#: Lengths of learned word beginnings, toxic texts that must hold a term (a number and a
+#: share of them), size of the lexicon.
+STEMS, SUPPORT, SUPPORT_SHARE, LEXICON = (4, 5, 6, 7), 5, 0.01, 400
 #: A learned term is at least so much likelier (log) in toxic than in clean texts, and
 #: so far from chance (likelihood ratio statistic), as very many terms are tried.
 LEAST_ODDS, LEAST_RATIO = 2.5, 30.0
@@ -45,7 +46,9 @@ REPORTING = frozenset("said says called calls quote quoted word term phrase wrot
 TO_PERSON = frozenset("you your youre u du dich dein tu te toi tes vous eres".split())
 CONTEXTS = ("plain", "person", "quoted")
 #: Log-odds of a context before any label is seen, worth so many texts.
-PRIOR, PRIOR_TEXTS = {"plain": 0.0, "person": 0.5, "quoted": -4.0}, 5.0
+PRIOR, PRIOR_TEXTS = {"plain": 0.0, "person": 0.5, "quoted": -9.0}, 5.0
+#: A hit whose learned log-odds are lower is no evidence.
+LEAST_WEIGHT = 1.0
 
 
 @functools.cache
@@ -200,6 +203,12 @@ def _terms(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield out
 
 
+def _smallest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        sets = [shingle_set(text, 3) for text in batch["text"]]
+        yield batch.assign(least=[int(x[0].view(np.int64)) if len(x) else 0 for x in sets])
+
+
 def learn_terms(training: DataFrame, n_toxic: int, n_clean: int) -> list[str]:
     """The terms that mark toxic texts best, and the fixed insults. A beginning stands for
     all its continuations: a longer term that begins with one is left out."""
@@ -212,7 +221,7 @@ def learn_terms(training: DataFrame, n_toxic: int, n_clean: int) -> list[str]:
     ratio = 2 * (toxic * F.log(toxic / (both * rate)) + F.when(clean > 0, clean * F.log(clean / (both * (1 - rate)))).otherwise(0.0))
     # A report of the best terms: its size is a parameter of the model.
     best = (
-        counts.where((toxic >= SUPPORT) & (odds >= LEAST_ODDS) & (ratio >= LEAST_RATIO))
+        counts.where((toxic >= max(SUPPORT, SUPPORT_SHARE * n_toxic)) & (odds >= LEAST_ODDS) & (ratio >= LEAST_RATIO))
         .withColumn("z", odds * F.sqrt("toxic"))
         .orderBy(F.desc("z"), F.length("term"), "term")
         .limit(LEXICON * 5)
@@ -230,7 +239,7 @@ def learn_terms(training: DataFrame, n_toxic: int, n_clean: int) -> list[str]:
 
 class Model(NamedTuple):
     automaton: Automaton
-    #: Log-odds of (term, errors), of a context, of a text without hits, of any text.
+    #: Log-odds of (term, errors), of a context, of a text without a term as it is, of any text.
     weights: dict[tuple[int, int], float]
     contexts: dict[str, float]
     silent: float
@@ -239,8 +248,9 @@ class Model(NamedTuple):
     def score(self, text: str | None) -> float:
         best: dict[int, float] = {}
         for term, errors, context in hits(text, self.automaton):
-            value = self.weights.get((term, errors), 0.0) + self.contexts[context]
-            best[term] = max(best.get(term, -99.0), value)
+            weight = self.weights.get((term, errors), 0.0)
+            if weight >= LEAST_WEIGHT:
+                best[term] = max(best.get(term, -99.0), weight + self.contexts[context])
         evidence = sum(best.values()) if best else self.silent
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, self.prior + evidence))))
 
@@ -251,7 +261,10 @@ def fit(labelled: DataFrame, text_col: str = "text", label_col: str = "toxic", f
     rows = narrow(labelled, text=text_col, toxic=label_col).where("toxic in (0, 1)")
     sizes = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     share = F.when(F.col("toxic") == 1, min(1.0, fit_rows / max(1, sizes.get(1, 0)))).otherwise(min(1.0, fit_rows / max(1, sizes.get(0, 0))))
-    picked = settle(rows.where(F.pmod(F.xxhash64("text", F.lit(5)), F.lit(1 << 20)) < share * (1 << 20)))
+    chosen = rows.where(F.pmod(F.xxhash64("text", F.lit(5)), F.lit(1 << 20)) < share * (1 << 20))
+    # Near copies of one text, which mostly share their smallest shingle, count once:
+    # else the chance words of a much copied toxic text would pass for terms.
+    picked = settle(chosen.mapInPandas(_smallest, "text string, toxic int, least long").dropDuplicates(["least", "toxic"]).drop("least"))
     n = {r["toxic"]: r["n"] for r in picked.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     n1, n0 = n.get(1, 0), n.get(0, 0)
     terms = learn_terms(picked, n1, n0)
@@ -263,7 +276,8 @@ def fit(labelled: DataFrame, text_col: str = "text", label_col: str = "toxic", f
         for batch in batches:
             for text, label in zip(batch["text"], batch["toxic"], strict=True):
                 found = hits(text, shared.value)
-                own = {f"{t}:{e}" for t, e, _ in found} | {c for _, _, c in found} or {"silent"}
+                own = {f"{t}:{e}" for t, e, _ in found} | {c for _, _, c in found}
+                own |= set() if any(not e for _, e, _ in found) else {"silent"}
                 counts.update((f, int(label)) for f in own)
         yield pd.DataFrame([(f, label, c) for (f, label), c in counts.items()], columns=["feature", "toxic", "n"])
 

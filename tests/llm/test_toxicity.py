@@ -40,7 +40,7 @@ def test_automaton_agrees_with_measured_distances():
 
 def labelled(spark):
     rows = [(f"{prose(i, 30)} {'you idiot' if i % 4 == 0 else ''} {'zorkling' + 'abcdefgh'[i % 8:] if i % 4 == 1 else ''}", int(i % 4 < 2)) for i in range(200)]
-    rows += [("he said \"idiot\" is a word", 0)] * 12 + [(None, 0), ("", 0), ("idiot", None)]
+    rows += [("he said \"idiot\" is a word", 0)] * 2 + [(None, 0), ("", 0), ("idiot", None)]
     return spark.createDataFrame(rows, "text string, toxic int")
 
 
