@@ -19,6 +19,7 @@ from furrow.llm import (
     toxicity,
     url_filter,
 )
+from furrow.llm.common import broadcast_if_small
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -72,7 +73,9 @@ def toxicity_model(spark: SparkSession, sf_dir: str) -> toxicity.Model:
     """Learned from the labelled documents whose remainder by 5 is not 0."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = _table(spark, sf_dir, "labels").where(_remainder(5) != 0).select("doc_id", "toxic")
-    return toxicity.fit(docs.join(labels, "doc_id"))
+    # The chosen labels are bounded in number, so the texts are not shuffled for them.
+    chosen, sizes = toxicity.choose_labels(labels)
+    return toxicity.fit(docs.join(broadcast_if_small(chosen), docs["doc_id"] == chosen["id"]), sizes)
 
 
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

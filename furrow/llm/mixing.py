@@ -17,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from furrow.llm.common import narrow
+from furrow.llm.common import broadcast_if_small, narrow
 from furrow.operators.ordered import running_totals
 from furrow.session import settle
 
@@ -136,7 +136,9 @@ def mixed_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     columns kept. Rows alike in id, source and size share their copies evenly, the odd
     ones going to the first rows in the order of the text."""
     taken = mix(docs, id_col=id_col, text_col=text_col, source_col=source_col, **settings)
-    per = taken.groupBy("doc_id", "source", "size").agg(F.sum("copies").alias("copies"), F.count("*").alias("rows")).where("copies > 0")
+    per = broadcast_if_small(
+        settle(taken.groupBy("doc_id", "source", "size").agg(F.sum("copies").alias("copies"), F.count("*").alias("rows")).where("copies > 0"))
+    )
     packed = docs.select(
         F.struct(*[docs[c] for c in docs.columns]).alias("row"),
         docs[id_col].alias("id"),

@@ -25,11 +25,11 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from furrow.llm.common import code_points, narrow, shingle_set
+from furrow.llm.common import broadcast_if_small, code_points, narrow, shingle_set
 from furrow.session import settle
 
 #: Labelled rows that the classifier is fitted on: about so many of each label, chosen
-#: by a hash of the text. All of them up to that number.
+#: by a hash of the id. All of them up to that number.
 FIT_ROWS = 20_000
 #: Lengths of learned word beginnings, toxic texts that must hold a term (a number and a
 #: share of them), size of the lexicon.
@@ -186,21 +186,22 @@ def hits(text: str | None, automaton: Automaton) -> set[tuple[int, int, str]]:
     return {(t, e, context_of(text, starts, ends, w)) for w, t, e in automaton.run(c, starts, ends)}
 
 
-def _terms(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """In how many toxic and clean texts of this task each word and beginning stands."""
-    toxic, clean = Counter(), Counter()
-    for batch in batches:
-        for text, label in zip(batch["text"], batch["toxic"], strict=True):
-            text = (text or "").lower()
-            starts, ends = word_spans(code_points(text))
-            words = {text[a:b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True) if 3 < b - a <= 30}
-            own = {w[:k] + "*" for w in words for k in STEMS if len(w) > k} | words
-            (toxic if label == 1 else clean).update(own)
-    for counts, column in ((toxic, "toxic"), (clean, "clean")):
+def _terms(known: frozenset[str] | None):
+    """In how many texts of this task each word and beginning stands; only ``known`` ones."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        counts: Counter = Counter()
+        for batch in batches:
+            for text in batch["text"]:
+                text = (text or "").lower()
+                starts, ends = word_spans(code_points(text))
+                words = {text[a:b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True) if 3 < b - a <= 30}
+                own = {w[:k] + "*" for w in words for k in STEMS if len(w) > k} | words
+                counts.update(own if known is None else own & known)
         if counts:
-            out = pd.DataFrame({"term": list(counts), "toxic": 0, "clean": 0})
-            out[column] = list(counts.values())
-            yield out
+            yield pd.DataFrame({"term": list(counts), "n": list(counts.values())})
+
+    return run
 
 
 def _smallest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -209,31 +210,34 @@ def _smallest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield batch.assign(least=[int(x[0].view(np.int64)) if len(x) else 0 for x in sets])
 
 
+def _counts(texts: DataFrame, known: frozenset[str] | None, least: float) -> dict[str, int]:
+    found = texts.select("text").mapInPandas(_terms(known), "term string, n long").groupBy("term").agg(F.sum("n").alias("n"))
+    return {r["term"]: r["n"] for r in found.where(F.col("n") >= least).collect()}
+
+
 def learn_terms(training: DataFrame, n_toxic: int, n_clean: int) -> list[str]:
     """The terms that mark toxic texts best, and the fixed insults. A beginning stands for
-    all its continuations: a longer term that begins with one is left out."""
-    counts = training.mapInPandas(_terms, "term string, toxic long, clean long").groupBy("term").agg(
-        F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")
-    )
-    odds = F.log((F.col("toxic") + 0.5) / (n_toxic + 1.0)) - F.log((F.col("clean") + 0.5) / (n_clean + 1.0))
+    all its continuations: a longer term that begins with one is left out.
+
+    A term needs a share of the toxic texts, so at most the terms of a text divided by
+    ``SUPPORT_SHARE`` are candidates; these alone are looked for in the clean texts."""
+    toxic = _counts(training.where("toxic = 1"), None, max(SUPPORT, SUPPORT_SHARE * n_toxic))
+    clean = _counts(training.where("toxic = 0"), frozenset(toxic), 1)
     rate = (n_toxic + 0.5) / (n_toxic + n_clean + 1.0)
-    both, toxic, clean = F.col("toxic") + F.col("clean"), F.col("toxic"), F.col("clean")
-    ratio = 2 * (toxic * F.log(toxic / (both * rate)) + F.when(clean > 0, clean * F.log(clean / (both * (1 - rate)))).otherwise(0.0))
-    # A report of the best terms: its size is a parameter of the model.
-    best = (
-        counts.where((toxic >= max(SUPPORT, SUPPORT_SHARE * n_toxic)) & (odds >= LEAST_ODDS) & (ratio >= LEAST_RATIO))
-        .withColumn("z", odds * F.sqrt("toxic"))
-        .orderBy(F.desc("z"), F.length("term"), "term")
-        .limit(LEXICON * 5)
-        .collect()
-    )
+    ranked = []
+    for term, a in toxic.items():
+        b = clean.get(term, 0)
+        odds = math.log((a + 0.5) / (n_toxic + 1.0)) - math.log((b + 0.5) / (n_clean + 1.0))
+        ratio = 2 * (a * math.log(a / ((a + b) * rate)) + (b * math.log(b / ((a + b) * (1 - rate))) if b else 0.0))
+        if odds >= LEAST_ODDS and ratio >= LEAST_RATIO:
+            ranked.append((-odds * math.sqrt(a), len(term), term))
     chosen: list[str] = list(INSULTS)
-    for row in best:
-        word = row["term"].rstrip("*")
+    for _, _, term in sorted(ranked):
+        word = term.rstrip("*")
         if len(chosen) >= LEXICON + len(INSULTS):
             break
-        if not any(word == t.rstrip("*") or (t.endswith("*") and word.startswith(t[:-1])) or (row["term"].endswith("*") and t.startswith(word)) for t in chosen):
-            chosen.append(row["term"])
+        if not any(word == t.rstrip("*") or (t.endswith("*") and word.startswith(t[:-1])) or (term.endswith("*") and t.startswith(word)) for t in chosen):
+            chosen.append(term)
     return chosen
 
 
@@ -255,21 +259,29 @@ class Model(NamedTuple):
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, self.prior + evidence))))
 
 
-def fit(labelled: DataFrame, text_col: str = "text", label_col: str = "toxic", fit_rows: int = FIT_ROWS) -> Model:
-    """Learns from rows labelled 1 or 0; others are ignored. Without labels of both kinds
-    the fixed insults get a fixed weight."""
-    rows = narrow(labelled, text=text_col, toxic=label_col).where("toxic in (0, 1)")
+def choose_labels(labels: DataFrame, id_col: str = "doc_id", label_col: str = "toxic", fit_rows: int = FIT_ROWS) -> tuple[DataFrame, dict[int, int]]:
+    """``id`` and ``toxic`` of about ``fit_rows`` rows of each label, all up to that number,
+    by a hash of the id; and how many rows of each label there are."""
+    rows = narrow(labels, id=id_col, toxic=label_col).where("toxic in (0, 1) and id is not null")
     sizes = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    share = F.when(F.col("toxic") == 1, min(1.0, fit_rows / max(1, sizes.get(1, 0)))).otherwise(min(1.0, fit_rows / max(1, sizes.get(0, 0))))
-    chosen = rows.where(F.pmod(F.xxhash64("text", F.lit(5)), F.lit(1 << 20)) < share * (1 << 20))
+    share = {label: min(1.0, fit_rows / max(1, sizes.get(label, 0))) for label in (0, 1)}
+    below = F.when(F.col("toxic") == 1, share[1]).otherwise(share[0]) * (1 << 20)
+    return settle(rows.where(F.pmod(F.xxhash64("id", F.lit(5)), F.lit(1 << 20)) < below)), sizes
+
+
+def fit(chosen: DataFrame, sizes: dict[int, int], text_col: str = "text", label_col: str = "toxic") -> Model:
+    """Learns from the texts of chosen rows labelled 1 or 0; ``sizes`` are the numbers of
+    rows with each label that they were chosen from. Without labels of both kinds the
+    fixed insults get a fixed weight."""
+    rows = narrow(chosen, text=text_col, toxic=label_col).where("toxic in (0, 1)")
     # Near copies of one text, which mostly share their smallest shingle, count once:
     # else the chance words of a much copied toxic text would pass for terms.
-    picked = settle(chosen.mapInPandas(_smallest, "text string, toxic int, least long").dropDuplicates(["least", "toxic"]).drop("least"))
+    picked = settle(rows.mapInPandas(_smallest, "text string, toxic int, least long").dropDuplicates(["least", "toxic"]).drop("least"))
     n = {r["toxic"]: r["n"] for r in picked.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     n1, n0 = n.get(1, 0), n.get(0, 0)
     terms = learn_terms(picked, n1, n0)
     automaton = Automaton(terms)
-    shared = labelled.sparkSession.sparkContext.broadcast(automaton)
+    shared = chosen.sparkSession.sparkContext.broadcast(automaton)
 
     def features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         counts: Counter = Counter()
@@ -279,7 +291,8 @@ def fit(labelled: DataFrame, text_col: str = "text", label_col: str = "toxic", f
                 own = {f"{t}:{e}" for t, e, _ in found} | {c for _, _, c in found}
                 own |= set() if any(not e for _, e, _ in found) else {"silent"}
                 counts.update((f, int(label)) for f in own)
-        yield pd.DataFrame([(f, label, c) for (f, label), c in counts.items()], columns=["feature", "toxic", "n"])
+        if counts:
+            yield pd.DataFrame([(f, label, c) for (f, label), c in counts.items()], columns=["feature", "toxic", "n"])
 
     seen: dict[tuple[str, int], int] = {
         (r["feature"], r["toxic"]): r["n"]
@@ -336,6 +349,6 @@ def clean_rows(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col:
     all its rows."""
     keyed = narrow(docs, text=text_col).where("text is not null").withColumns({"h": F.xxhash64("text"), "g": F.xxhash64(F.lit(1), "text")})
     scored = keyed.mapInPandas(_scorer(docs, model, ["h", "g"]), "h long, g long, score double")
-    gone = settle(scored.where("score >= 0.5").select("h", "g").distinct())
+    gone = broadcast_if_small(settle(scored.where("score >= 0.5").select("h", "g").distinct()))
     text = docs[text_col]
     return docs.join(gone, (F.xxhash64(text) == gone["h"]) & (F.xxhash64(F.lit(1), text) == gone["g"]), "left_anti")

@@ -38,14 +38,26 @@ def test_automaton_agrees_with_measured_distances():
         assert found.get(w) == by_distance(word, terms), word
 
 
+SIZES = {1: 100, 0: 102}
+
+
 def labelled(spark):
     rows = [(f"{prose(i, 30)} {'you idiot' if i % 4 == 0 else ''} {'zorkling' + 'abcdefgh'[i % 8:] if i % 4 == 1 else ''}", int(i % 4 < 2)) for i in range(200)]
     rows += [("he said \"idiot\" is a word", 0)] * 2 + [(None, 0), ("", 0), ("idiot", None)]
     return spark.createDataFrame(rows, "text string, toxic int")
 
 
+def test_labels_are_chosen_up_to_a_number(spark):
+    rows = [(i, int(i % 5 == 0)) for i in range(4000)] + [(None, 1), (9001, None), (9002, 3)]
+    df = spark.createDataFrame(rows, "doc_id long, toxic int")
+    chosen, sizes = toxicity.choose_labels(df, fit_rows=1000)
+    n = {r.toxic: r["count"] for r in chosen.groupBy("toxic").count().collect()}
+    assert sizes == {1: 800, 0: 3200} or sizes == {0: 3200, 1: 800}
+    assert n[1] == 800 and 850 < n[0] < 1150
+
+
 def test_learns_terms_typing_errors_and_context(spark):
-    model = toxicity.fit(labelled(spark))
+    model = toxicity.fit(labelled(spark), SIZES)
     assert any(t.startswith("zor") for t in model.automaton.terms)
     score = model.score
     assert score("really, you stupid loser") > 0.5 and score("such a stupld thing, zorklings") > 0.5
@@ -55,7 +67,7 @@ def test_learns_terms_typing_errors_and_context(spark):
 
 
 def test_awkward_rows(spark):
-    model = toxicity.fit(labelled(spark))
+    model = toxicity.fit(labelled(spark), SIZES)
     df = awkward(spark, ["you pathetic scum", "IDIOT!!", "fine"])
     found = toxicity.score(df, model).collect()
     assert len(found) == df.count() and all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.5) for r in found)
@@ -63,5 +75,5 @@ def test_awkward_rows(spark):
     kept = toxicity.clean_rows(df, model)
     assert kept.columns == df.columns and kept.count() == df.count() - 2
     assert toxicity.score(empty(spark), model).count() == 0
-    none = toxicity.fit(labelled(spark).limit(0))
+    none = toxicity.fit(labelled(spark).limit(0), {})
     assert none.score("you idiot") > none.score("hello") and none.score("hello") < 0.5
