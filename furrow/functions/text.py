@@ -59,6 +59,12 @@ def number_or_null(col: Column, sentinel: str | None = MISSING_SENTINEL) -> Colu
     return F.when(text.rlike(NUMBER), text.try_cast("double"))
 
 
+def whole(number: Column, kind: str) -> Column:
+    """A number as an integer type; null if it is no whole number or does not fit.
+    Nothing is ever cut off."""
+    return F.when(number == F.floor(number), number.try_cast(kind))
+
+
 def number_in(df: DataFrame, name: str, sentinel: str | None = None) -> Column:
     """Column ``name`` of ``df`` as a number. A column that is numeric already is
     taken as it is, with NaN, which marks a missing value in some inputs, as null."""

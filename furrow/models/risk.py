@@ -15,6 +15,7 @@ from furrow.functions.numeric import flag
 from furrow.models.regression import SEED
 from furrow.operators.evaluation import classification_report, confusion_counts, roc_auc
 from furrow.operators.ordered import exact_quantiles
+from furrow.session import settle
 
 # Fixed value: the quantile of a crop's training yields below which a yield is at risk.
 RISK_QUANTILE = 0.25
@@ -22,7 +23,8 @@ RISK_QUANTILE = 0.25
 
 def risk_thresholds(train: DataFrame, quantile: float = RISK_QUANTILE) -> DataFrame:
     cuts = exact_quantiles(train, "yield_hg_ha", [quantile], ["crop"])
-    return cuts.select("crop", F.col("quantiles")[0].alias("threshold"))
+    # Written: one row per crop, whose size the planner then knows when labels are joined.
+    return settle(cuts.select("crop", F.col("quantiles")[0].alias("threshold")))
 
 
 def label_risk(rows: DataFrame, thresholds: DataFrame, name: str = "label") -> DataFrame:

@@ -39,13 +39,14 @@ class WhatIf:
         features = self.stats.transform(rows, self.history, tuple(keep))
         return self.model.transform(features).select(*keep, "prediction")
 
-    def scenarios(self, requests: DataFrame) -> DataFrame:
-        """Predictions as recorded and with the request's overrides.
+    def scenarios(self, requests: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Predictions as recorded and with the request's overrides, and the requests
+        that no record exists for.
 
         A request sets any of the condition columns; a null leaves the recorded
         value. Area, crop, year and history cannot be changed.
         """
-        based, _ = self.base_rows(requests)
+        based, unknown = self.base_rows(requests)
         as_is = F.struct(F.lit("baseline").alias("variant"), *[F.col(f"base_{c}").alias(c) for c in CONDITIONS])
         changed = F.struct(F.lit("scenario").alias("variant"), *[F.coalesce(F.col(c), F.col(f"base_{c}")).alias(c) for c in CONDITIONS])
         both = based.select("request_id", *KEYS, F.inline(F.array(as_is, changed)))
@@ -55,7 +56,8 @@ class WhatIf:
             F.max(F.when(F.col("variant") == "scenario", F.col("prediction"))).alias("scenario_prediction_hg_ha"),
         )
         base, new = F.col("baseline_prediction_hg_ha"), F.col("scenario_prediction_hg_ha")
-        return sides.withColumns({"absolute_change_hg_ha": new - base, "percent_change": percent_change(base, new)})
+        told = sides.withColumns({"absolute_change_hg_ha": new - base, "percent_change": percent_change(base, new)})
+        return told, unknown.select("request_id", *KEYS, F.lit("no record").alias("problem"))
 
     def sensitivity(self, requests: DataFrame, column: str, multipliers: Sequence[float] = MULTIPLIERS) -> tuple[DataFrame, DataFrame]:
         """Predictions as one condition is scaled, and the requests that cannot

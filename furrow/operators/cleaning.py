@@ -5,17 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from furrow.functions.text import MISSING_SENTINEL, area_key, number_in
+from furrow.functions.text import MISSING_SENTINEL, area_key, number_in, whole
 from furrow.sources.files import strip_headers
 
 
 def clean_yield(raw: DataFrame) -> DataFrame:
+    """Yields are whole hectograms; a fractional one is null here and rejected by the gate."""
     named = strip_headers(raw)
     return named.select(
         F.col("Area").alias("area"),
         F.col("Item").alias("crop"),
-        F.col("Year").try_cast("int").alias("year"),
-        number_in(named, "Value").try_cast("long").alias("yield_hg_ha"),
+        whole(number_in(named, "Year"), "int").alias("year"),
+        whole(number_in(named, "Value"), "long").alias("yield_hg_ha"),
         area_key(F.col("Area")).alias("area_key"),
     )
 
@@ -24,7 +25,7 @@ def clean_pesticides(raw: DataFrame) -> DataFrame:
     named = strip_headers(raw)
     return named.select(
         F.col("Area").alias("area"),
-        F.col("Year").try_cast("int").alias("year"),
+        whole(number_in(named, "Year"), "int").alias("year"),
         number_in(named, "Value").alias("pesticides_tonnes"),
         area_key(F.col("Area")).alias("area_key"),
     )
@@ -34,22 +35,19 @@ def clean_rainfall(raw: DataFrame) -> DataFrame:
     named = strip_headers(raw)
     return named.select(
         F.col("Area").alias("area"),
-        F.col("Year").try_cast("int").alias("year"),
+        whole(number_in(named, "Year"), "int").alias("year"),
         number_in(named, "average_rain_fall_mm_per_year", MISSING_SENTINEL).alias("rainfall_mm"),
         area_key(F.col("Area")).alias("area_key"),
     )
 
 
 def clean_temp(raw: DataFrame) -> DataFrame:
-    """One mean per area and year from readings taken within the year.
-
-    A reading that was delivered twice counts once. Grouping is by key alone, so
-    two spellings of an area cannot leave two rows for a year.
-    """
+    """The mean reading of each area key and year. Equal rows are one reading; of several
+    spellings of a key the first in order names it."""
     named = strip_headers(raw)
     once = named.distinct().select(
         F.col("country").alias("area"),
-        F.col("year").try_cast("int").alias("year"),
+        whole(number_in(named, "year"), "int").alias("year"),
         number_in(named, "avg_temp").alias("avg_temp_c"),
         area_key(F.col("country")).alias("area_key"),
     )
@@ -61,7 +59,7 @@ def mean_temp_with_repeats(raw: DataFrame) -> DataFrame:
     named = strip_headers(raw)
     readings = named.select(
         F.col("country").alias("area"),
-        F.col("year").try_cast("int").alias("year"),
+        whole(number_in(named, "year"), "int").alias("year"),
         number_in(named, "avg_temp").alias("avg_temp_c"),
     )
     return readings.groupBy("area", "year").agg(F.avg("avg_temp_c").alias("avg_temp_c"))

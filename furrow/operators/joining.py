@@ -13,20 +13,22 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from furrow.session import settle
+
 CONTEXT = {"pesticides": "pesticides_tonnes", "rainfall": "rainfall_mm", "temp": "avg_temp_c"}
 
 
 def merge_sources(yields: DataFrame, pesticides: DataFrame, rainfall: DataFrame, temp: DataFrame) -> DataFrame:
     """Every yield row with the context of its area and year, where there is any.
 
-    The three context tables are joined with each other first. They are far
-    smaller than the facts, which then move through one shuffle instead of
-    three; a key that repeats on a side still multiplies the matching rows.
+    Left joins in a row on the same keys: a context table under the session's
+    threshold is broadcast and the facts stay where they are; otherwise the facts are
+    shuffled once, as each later join finds them dealt by its keys. A key that repeats
+    on a side multiplies the matching rows.
     """
     keys = ["area_key", "year"]
     sides = [side.select(*keys, CONTEXT[name]) for name, side in (("pesticides", pesticides), ("rainfall", rainfall), ("temp", temp))]
-    context = reduce(lambda left, right: left.join(right, keys, "full"), sides)
-    return yields.join(context, keys, "left").select("area", "crop", "year", "yield_hg_ha", *CONTEXT.values())
+    return reduce(lambda left, right: left.join(right, keys, "left"), sides, yields).select("area", "crop", "year", "yield_hg_ha", *CONTEXT.values())
 
 
 def merge_by_name(yields: DataFrame, sides: Sequence[DataFrame]) -> DataFrame:
@@ -35,8 +37,11 @@ def merge_by_name(yields: DataFrame, sides: Sequence[DataFrame]) -> DataFrame:
 
 
 def with_group_stats(df: DataFrame, stats: DataFrame, keys: Sequence[str], defaults: Mapping[str, Column] | None = None) -> DataFrame:
-    """Look up per-group statistics, with a value for groups that have none."""
-    joined = df.join(stats, list(keys), "left")
+    """Look up per-group statistics, with a value for groups that have none.
+
+    The statistics are a written table, whose size the planner knows: small ones are
+    broadcast and the rows are not shuffled on a key with few values."""
+    joined = df.join(settle(stats), list(keys), "left")
     if not defaults:
         return joined
     return joined.withColumns({name: F.coalesce(F.col(name), value) for name, value in defaults.items()})

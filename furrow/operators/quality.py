@@ -61,7 +61,11 @@ class Rule:
 
 
 def year_outside(name: str) -> Rule:
-    return Rule("year_out_of_range", lambda c: ~c.number(name).between(EARLIEST_YEAR, LATEST_YEAR))
+    """Also what is no whole number, which the curated table could not hold as a year."""
+    return Rule(
+        "year_out_of_range",
+        lambda c: ~(c.number(name).between(EARLIEST_YEAR, LATEST_YEAR) & (c.number(name) == F.floor(c.number(name)))),
+    )
 
 
 RULES: dict[str, tuple[Rule, ...]] = {
@@ -94,6 +98,14 @@ RULES: dict[str, tuple[Rule, ...]] = {
 }
 
 
+#: Beyond the rules above: what the curated types could only hold by cutting it off.
+MORE_RULES: dict[str, tuple[Rule, ...]] = {
+    "yield": (
+        Rule("fractional_yield", lambda c: (F.abs(c.number("Value")) < 1e15) & (c.number("Value") != F.floor(c.number("Value")))),
+    ),
+}
+
+
 def reasons(rules: Sequence[Rule], fields: Fields, is_copy: bool) -> Column:
     """All reasons that apply, in rule order, joined by ``;``; empty if none does."""
     marks = [F.when(F.lit(is_copy) if r.invalid is None else r.invalid(fields), F.lit(r.reason)) for r in rules]
@@ -235,7 +247,7 @@ def quality_status(accepted: Column, total: Column, contract_met: bool = True) -
 
 def inspect(df: DataFrame, source: str, rules: Sequence[Rule] | None = None) -> Inspection:
     """Hold every row of ``df`` against the contract and rules of ``source``."""
-    rules = tuple(RULES[source] if rules is None else rules)
+    rules = (*RULES[source], *MORE_RULES.get(source, ())) if rules is None else tuple(rules)
     columns = tuple(df.columns)
     folded = df.groupBy(*_quoted(columns)).agg(F.count(F.lit(1)).alias("_copies"))
     contract = check_contract(columns, source)

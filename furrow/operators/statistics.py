@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from furrow.functions.distributions import normal_quantile, t_p_value
 from furrow.functions.numeric import correlation, safe_ratio
+from furrow.session import settle
 from furrow.operators.ordered import exact_quantiles
 
 Y = "yield_hg_ha"
@@ -74,7 +75,8 @@ def crop_z_scores(df: DataFrame, name: str = "z") -> DataFrame:
     The statistics are grouped and joined back: a window over the crop would
     hold all rows of a crop in one task.
     """
-    stats = df.groupBy("crop").agg(F.avg(Y).alias("_m"), F.stddev_samp(Y).alias("_s"))
+    # Written, so that the planner knows its size and need not shuffle the rows on crop.
+    stats = settle(df.groupBy("crop").agg(F.avg(Y).alias("_m"), F.stddev_samp(Y).alias("_s")))
     return df.join(stats, "crop", "left").withColumn(name, safe_ratio(F.col(Y) - F.col("_m"), F.col("_s"))).drop("_m", "_s")
 
 
@@ -128,7 +130,7 @@ def iqr_outliers(df: DataFrame, value: str = Y, by: Sequence[str] = ("crop",)) -
     values fall outside them."""
     cuts = exact_quantiles(df, value, [0.25, 0.75], by)
     q1, q3 = F.col("quantiles")[0], F.col("quantiles")[1]
-    bounds = cuts.select(*by, (q1 - 1.5 * (q3 - q1)).alias("lower_bound"), (q3 + 1.5 * (q3 - q1)).alias("upper_bound"))
+    bounds = settle(cuts.select(*by, (q1 - 1.5 * (q3 - q1)).alias("lower_bound"), (q3 + 1.5 * (q3 - q1)).alias("upper_bound")))
     outside = (F.col(value) < F.col("lower_bound")) | (F.col(value) > F.col("upper_bound"))
     kept = df.select(*by, value).where(F.col(value).isNotNull())
     return (

@@ -18,9 +18,11 @@ from pyspark.sql import functions as F
 from furrow.operators.integrity import table_counts
 from furrow.operators.quality import inspect, overall_quality
 from furrow.plans.curate import SOURCES, curate, transform_report
+from furrow.session import settled_for_a_while
 from furrow.sources.files import land_all, read_raw, write_report, write_table
 from furrow.sources.star import build_star, read_star, write_star
 
+#: Fixed names: the columns of the run history.
 RUN = (
     "run_id string, started_at string, ended_at string, duration_sec double, status string, error_message string, "
     "records_received long, records_accepted long, records_rejected long, overall_quality_score_pct double, "
@@ -35,34 +37,49 @@ class Stage:
     detail: dict
 
 
-class Timer:
+class Batch(list):
+    """The stages that ended, in order, and in ``totals`` the counts known so far under
+    the names of the run history. A stage that fails leaves the batch with what the
+    ones before it brought, as ``finished`` of the exception."""
+
     def __init__(self) -> None:
-        self.stages: list[Stage] = []
+        super().__init__()
+        self.totals: dict = {}
 
-    def __call__(self, name: str, work: Callable[[], dict]) -> dict:
+    def stage(self, name: str, work: Callable[[], dict]) -> None:
         start = time.perf_counter()
-        detail = work()
-        self.stages.append(Stage(name, time.perf_counter() - start, detail))
-        return detail
+        try:
+            detail = work()
+        except Exception as problem:
+            problem.finished = self
+            raise
+        self.append(Stage(name, time.perf_counter() - start, detail))
 
 
-def run_batch(spark: SparkSession, incoming: Mapping[str, str], home: str) -> list[Stage]:
+def run_batch(spark: SparkSession, incoming: Mapping[str, str], home: str) -> Batch:
     """Run all four stages over the files named in ``incoming``.
 
     Only rows the gate accepts reach the curated table. A source that could not
-    be landed is skipped there and stops the run at the gate.
+    be landed is skipped there and stops the run at the gate. Tables that operators
+    settled on the way are removed at the end.
     """
+    with settled_for_a_while(spark):
+        return _run_batch(spark, incoming, home)
+
+
+def _run_batch(spark: SparkSession, incoming: Mapping[str, str], home: str) -> Batch:
     raw, processed, quarantine = f"{home}/raw", f"{home}/processed", f"{home}/quarantine"
-    timed = Timer()
+    batch = Batch()
 
     def ingestion() -> dict:
         landed = [r for r in land_all(spark, incoming, raw).collect() if r["landed"]]
+        batch.totals["records_received"] = sum(r["record_count"] for r in landed)
         return {"files_ingested": len(landed), "records": {r["source_name"]: r["record_count"] for r in landed}}
 
     accepted: dict[str, DataFrame] = {}
 
     def data_quality() -> dict:
-        absent = [s for s in SOURCES if s not in timed.stages[0].detail["records"]]
+        absent = [s for s in SOURCES if s not in batch[0].detail["records"]]
         if absent:
             raise FileNotFoundError(f"sources that did not land: {', '.join(absent)}")
         reports = []
@@ -77,6 +94,12 @@ def run_batch(spark: SparkSession, incoming: Mapping[str, str], home: str) -> li
         write_report(combined, f"{quarantine}/_quality_report")
         written = spark.read.schema(combined.schema).json(f"{quarantine}/_quality_report")
         write_report(overall_quality(written), f"{quarantine}/_overall_quality")
+        # The run's totals are those of the report as it was written.
+        total = overall_quality(written).first()
+        seen, kept = total["overall_total_records"], total["overall_accepted_records"]
+        batch.totals |= {"records_accepted": kept, "records_rejected": seen - kept}
+        if seen:
+            batch.totals["overall_quality_score_pct"] = total["overall_quality_score_pct"]
         return {
             r["source_name"]: {"accepted": r["accepted_records"], "rejected": r["rejected_records"], "score_pct": r["quality_score_pct"]}
             for r in written.collect()
@@ -88,64 +111,56 @@ def run_batch(spark: SparkSession, incoming: Mapping[str, str], home: str) -> li
         curated = spark.read.parquet(path)
         report = transform_report(accepted, curated)
         write_report(report, f"{processed}/_transform_report")
-        return {"curated_rows": curated.count(), "curated_path": path}
+        batch.totals["curated_rows"] = curated.count()
+        return {"curated_rows": batch.totals["curated_rows"], "curated_path": path}
 
     def load() -> dict:
         write_star(build_star(spark.read.parquet(f"{processed}/curated")), f"{processed}/star")
         counts = table_counts(read_star(spark, f"{processed}/star")).collect()
         return {"star_path": f"{processed}/star", "rows": {r["table_name"]: r["n_rows"] for r in counts}}
 
-    timed("ingestion", ingestion)
-    timed("data_quality", data_quality)
-    timed("transform", transform)
-    timed("sql_load", load)
-    log = [(s.stage, s.duration_sec, json.dumps(s.detail)) for s in timed.stages]
+    batch.stage("ingestion", ingestion)
+    batch.stage("data_quality", data_quality)
+    batch.stage("transform", transform)
+    batch.stage("sql_load", load)
+    log = [(s.stage, s.duration_sec, json.dumps(s.detail)) for s in batch]
     write_report(spark.createDataFrame(log, "stage string, duration_sec double, detail string"), f"{processed}/_run_log")
-    return timed.stages
-
-
-def summarise(stages: list[Stage]) -> dict:
-    """The counts a run record keeps, null for stages that did not run."""
-    detail = {s.stage: s.detail for s in stages}
-    received = sum(detail["ingestion"]["records"].values()) if "ingestion" in detail else None
-    gate = detail.get("data_quality")
-    accepted = sum(v["accepted"] for v in gate.values()) if gate is not None else None
-    rejected = sum(v["rejected"] for v in gate.values()) if gate is not None else None
-    return {
-        "records_received": received,
-        "records_accepted": accepted,
-        "records_rejected": rejected,
-        "overall_quality_score_pct": round(100 * accepted / received, 2) if gate is not None and received else None,
-        "curated_rows": detail["transform"]["curated_rows"] if "transform" in detail else None,
-    }
+    return batch
 
 
 def record_run(spark: SparkSession, history: str, work: Callable[[], list[Stage]]) -> dict:
     """Run ``work`` and append one row to the run history, also if it fails.
 
-    The history is append-only and lives outside the folders a run rebuilds. A
-    failure is written down and raised again.
+    The history is append-only and lives outside the folders a run rebuilds. The row
+    of a failure holds the stages that had ended and their counts; the failure is
+    raised again.
     """
-    start = datetime.now(timezone.utc)
-    record = dict.fromkeys([f.split()[0] for f in RUN.split(", ")])
-    record |= {"run_id": str(uuid.uuid4()), "started_at": start.isoformat(), "stage_detail_json": "[]"}
+    started = datetime.now(timezone.utc)
+    record = dict.fromkeys(f.split()[0] for f in RUN.split(", "))
+    record |= {"run_id": str(uuid.uuid4()), "started_at": started.isoformat()}
+    ended_stages: list[Stage] = []
     try:
-        stages = work()
-        record |= summarise(stages) | {"status": "SUCCESS", "stage_detail_json": json.dumps([asdict(s) for s in stages])}
+        ended_stages = work()
+        record["status"] = "SUCCESS"
         return record
     except Exception as problem:
-        record |= {"status": "FAILED", "error_message": f"{type(problem).__name__}: {problem}\n{traceback.format_exc()}"}
+        ended_stages = getattr(problem, "finished", [])
+        record |= {"status": "FAILED", "error_message": "".join([f"{type(problem).__name__}: {problem}\n", *traceback.format_exception(problem)])}
         raise
     finally:
-        end = datetime.now(timezone.utc)
-        record |= {"ended_at": end.isoformat(), "duration_sec": (end - start).total_seconds()}
+        record |= getattr(ended_stages, "totals", {})
+        record["stage_detail_json"] = json.dumps([asdict(s) for s in ended_stages])
+        ended = datetime.now(timezone.utc)
+        record |= {"ended_at": ended.isoformat(), "duration_sec": (ended - started).total_seconds()}
         spark.createDataFrame([tuple(record.values())], RUN).write.mode("append").parquet(history)
 
 
 def read_history(spark: SparkSession, history: str) -> DataFrame:
     try:
         return spark.read.schema(RUN).parquet(history)
-    except AnalysisException:
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], RUN)
 
 

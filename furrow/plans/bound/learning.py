@@ -362,7 +362,7 @@ def v4_linear(t: Tables) -> DataFrame:
 @bound("v4_sampled_contributions")
 def v4_sampled(t: Tables) -> DataFrame:
     train, test = t.features
-    told = explain.sampled_contributions(regression.fitted(_forest(t)), test, train, t.stats.names, background=4, orders=2)
+    told = explain.sampled_contributions(regression.fitted(_forest(t)), test, train, t.stats.names)
     return explain.top_contributions(told, t.stats.names)
 
 
@@ -417,7 +417,7 @@ asked AS (SELECT area, crop, year, rainfall_mm, s, c, coalesce(rainfall_mm, (SEL
     SELECT area, crop, year, round(c + s * known, 1) AS baseline_prediction_hg_ha, round(c + s * wetter, 1) AS scenario_prediction_hg_ha,
            round(s * (wetter - known), 1) AS absolute_change_hg_ha, round(100.0 * s * (wetter - known) / (c + s * known), 4) AS percent_change FROM asked""", TRAIN_CTES + ", " + _RAIN))
 def v5_straight(t: Tables) -> DataFrame:
-    told = _straight_engine(t).scenarios(_requests(t)).drop("request_id")
+    told = _straight_engine(t).scenarios(_requests(t))[0].drop("request_id")
     return rounded(rounded(told, 1, "baseline_prediction_hg_ha", "scenario_prediction_hg_ha", "absolute_change_hg_ha"), 4, "percent_change")
 
 
@@ -439,7 +439,7 @@ def v8_straight(t: Tables) -> DataFrame:
 
 @bound("v5_scenarios")
 def v5(t: Tables) -> DataFrame:
-    return _engine(t).scenarios(_requests(t))
+    return _engine(t).scenarios(_requests(t))[0]
 
 
 @bound("v6_sensitivity_curves")

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import os
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -53,6 +55,31 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{use_checkpoint_folder(spark)}/{name}-{os.urandom(8).hex()}"
 
 
+#: Paths of the tables that operators have settled and that still stand.
+_SETTLED: list[str] = []
+
+
+def remove_settled(spark: SparkSession, paths: list[str]) -> None:
+    """Removes settled tables, whatever file system they are on."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for path in paths:
+        place = jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(conf).delete(place, True)
+        if path in _SETTLED:
+            _SETTLED.remove(path)
+
+
+@contextmanager
+def settled_for_a_while(spark: SparkSession) -> Iterator[None]:
+    """Tables that are settled inside are removed at the end. Frames that still read them
+    must have been written elsewhere by then. Not for work on several threads."""
+    before = len(_SETTLED)
+    try:
+        yield
+    finally:
+        remove_settled(spark, _SETTLED[before:])
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Write ``df`` as a table in the checkpoint folder and go on from that.
 
@@ -61,5 +88,6 @@ def settle(df: DataFrame) -> DataFrame:
     written table is computed once, and the branches read only their columns.
     """
     path = scratch_path(df.sparkSession, "settled")
+    _SETTLED.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

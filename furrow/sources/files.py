@@ -41,7 +41,7 @@ def as_contract_types(df: DataFrame, source: str) -> DataFrame:
         if kind == "string":
             columns.append(quoted)
         else:
-            columns.append(number_or_null(quoted, sentinel=None).cast(kind).alias(name))
+            columns.append(number_or_null(quoted, sentinel=None).try_cast(kind).alias(name))
     return named.select(*columns)
 
 

@@ -36,7 +36,10 @@ def _same_row(columns: Sequence[str]):
 def _earlier(spark: SparkSession, accepted: str, batch: int) -> DataFrame | None:
     try:
         return spark.read.parquet(accepted).where(F.col("batch") != batch).drop("batch")
-    except AnalysisException:
+    except AnalysisException as problem:
+        # Only a folder that is not there yet means that nothing came before.
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
 
 

@@ -1,9 +1,13 @@
 """Files, manifests, the ordered batch, the run history and the star schema."""
 
+import json
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
 from furrow.plans import queries as q
+from furrow.session import settle, settled_for_a_while, use_checkpoint_folder
 from furrow.plans.batch import last_failure, latest_runs, read_history, record_run, run_batch
 from furrow.plans.curate import curate_unfiltered
 from furrow.sources.contracts import CONTRACTS
@@ -107,6 +111,19 @@ def test_history_keeps_failures(spark, incoming, tmp_path):
     failure = last_failure(runs).first()
     assert failure["error_message"].startswith("FileNotFoundError") and "Traceback" in failure["error_message"]
     assert failure["curated_rows"] is None and failure["duration_sec"] > 0
+    # What had ended before the failure is kept.
+    assert [s["stage"] for s in json.loads(failure["stage_detail_json"])] == ["ingestion"]
+    assert failure["records_received"] == 10 and failure["records_accepted"] is None
+
+
+def test_settled_tables_go_with_the_run(spark, incoming, tmp_path):
+    folder = use_checkpoint_folder(spark).removeprefix("file:")
+    before = set(os.listdir(folder))
+    run_batch(spark, incoming, str(tmp_path / "home"))
+    assert set(os.listdir(folder)) == before
+    with settled_for_a_while(spark):
+        assert settle(spark.range(5)).count() == 5
+    assert set(os.listdir(folder)) == before
 
 
 @pytest.fixture

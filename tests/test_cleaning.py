@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 from furrow.functions.text import AREA_ALIASES, area_key, number_or_null
 from furrow.operators.cleaning import clean_rainfall, clean_temp, clean_yield, mean_temp_with_repeats
 from furrow.operators.joining import merge_sources, with_previous_year
+from furrow.operators.quality import inspect
 from furrow.sources.contracts import CONTRACTS
+from furrow.sources.files import as_contract_types
 
 PEST = "area string, year int, pesticides_tonnes double, area_key string"
 RAIN = "area string, year int, rainfall_mm double, area_key string"
@@ -83,3 +85,43 @@ def test_calendar_lag_is_null_across_a_gap(spark):
     rows = [("a", "c", 2000, 1), ("a", "c", 2001, 2), ("a", "c", 2003, 3)]
     df = spark.createDataFrame(rows, "area string, crop string, year int, yield_hg_ha long")
     assert {r["year"]: r["lag1_yield"] for r in with_previous_year(df, df).collect()} == {2000: None, 2001: 1, 2003: None}
+
+
+def test_no_value_is_cut_off(spark):
+    shape = "Area string, Item string, Year string, Value string, Unit string"
+    raw = spark.createDataFrame([
+        ("a", "Maize", "2000.0", "1234", "hg/ha"), ("b", "Maize", "2000.5", "1234", "hg/ha"), ("c", "Maize", "2001", "0.5", "hg/ha"),
+        ("d", "Maize", "2001", "1234.7", "hg/ha"), ("e", "Maize", "99999999999", "99999999999999999999999", "hg/ha"),
+    ], shape)
+    got = {r["area"]: (r["year"], r["yield_hg_ha"]) for r in clean_yield(raw).collect()}
+    assert got == {"a": (2000, 1234), "b": (None, 1234), "c": (2001, None), "d": (2001, None), "e": (None, None)}
+
+
+def test_fractions_are_rejected_and_huge_numbers_are_null(spark):
+    known = {"Item": "Maize", "Unit": "hg/ha"}
+    cases = [{"Area": "a", "Year": "2000.0", "Value": "1234"}, {"Area": "b", "Year": "2000.5", "Value": "7"}, {"Area": "c", "Year": "2001", "Value": "0.5"}]
+    raw = spark.createDataFrame([tuple((known | c).get(n, "x") for n in CONTRACTS["yield"]) for c in cases], ", ".join(f"`{n}` string" for n in CONTRACTS["yield"]))
+    gate = inspect(raw, "yield")
+    why = {r["Area"]: r["reject_reason"] for r in gate.rejected().collect()}
+    assert why == {"b": "year_out_of_range", "c": "fractional_yield"}
+    names = CONTRACTS["pesticides"]
+    huge = spark.createDataFrame([tuple("99999999999" for _ in names)], ", ".join(f"`{n}` string" for n in names))
+    assert as_contract_types(huge, "pesticides").first()["Year"] is None
+
+
+def test_small_context_is_broadcast_and_facts_stay(spark, tmp_path):
+    facts = spark.range(2000).selectExpr("concat('a', id % 50) area", "'Maize' crop", "cast(1990 + id % 20 as int) year", "id yield_hg_ha", "concat('a', id % 50) area_key")
+    side = lambda name: spark.range(40).selectExpr("concat('a', id) area_key", "2000 year", f"cast(id as double) {name}")
+    paths = []
+    for i, df in enumerate((facts, side("pesticides_tonnes"), side("rainfall_mm"), side("avg_temp_c"))):
+        df.write.parquet(str(tmp_path / str(i)))
+        paths.append(spark.read.parquet(str(tmp_path / str(i))))
+    plan = merge_sources(*paths)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BroadcastHashJoin") == 3 and "hashpartitioning" not in plan
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = merge_sources(*paths)
+        assert joined._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 4
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

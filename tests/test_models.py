@@ -169,12 +169,18 @@ def test_linear_contributions_add_up(world):
 
 def test_sampled_contributions_add_up(world, forest):
     _, stats, train, test = world
-    told = explain.sampled_contributions(regression.fitted(forest), test, train, stats.names, background=3, orders=2)
+    told = explain.sampled_contributions(regression.fitted(forest), test, train, stats.names, draws=6)
     scored = forest.transform(test).select("area", "crop", "year", F.col("prediction").alias("p"))
     rows = told.join(scored, ["area", "crop", "year"]).collect()
     assert len(rows) == test.count()
     for r in rows:
-        assert r["prediction"] == pytest.approx(r["p"]) and r["base"] + sum(r["contributions"]) == pytest.approx(r["p"])
+        assert r["prediction"] == pytest.approx(r["p"])
+        assert r["base"] + sum(r["contributions"]) + r["sampling_error"] == pytest.approx(r["p"])
+    mean = forest.transform(train).agg(F.avg("prediction")).first()[0]
+    assert {round(r["base"], 6) for r in rows} == {round(mean, 6)}
+    twice = explain.sampled_contributions(regression.fitted(forest), test.union(test), train, stats.names, draws=2)
+    assert twice.count() == 2 * test.count()
+    assert twice.where("abs(base + aggregate(contributions, 0D, (s, v) -> s + v) + sampling_error - prediction) > 1e-3").count() == 0
     top = explain.top_contributions(told, stats.names, 3).where("area = 'a' and crop = 'Maize' and year = 2000").orderBy("place").collect()
     assert [r["place"] for r in top] == [1, 2, 3]
     assert abs(top[0]["contribution"]) >= abs(top[1]["contribution"]) >= abs(top[2]["contribution"])
@@ -185,8 +191,9 @@ def test_sampled_contributions_equal_the_linear_ones(world):
     _, stats, train, test = world
     names = ["lag1_yield", "rainfall_mm", "avg_temp_c"]
     model = regression.fitted(regression.linear(train, names))
-    told = explain.sampled_contributions(model, test, train, names, background=4, orders=1)
-    chosen = train.orderBy(F.xxhash64(F.lit(42), "area", "crop", "year"), "area", "crop", "year").limit(4)
+    # A single training row is every row's draw, whatever the number of draws.
+    chosen = train.orderBy("area", "crop", "year").limit(1)
+    told = explain.sampled_contributions(model, test, chosen, names, draws=3)
     exact = explain.linear_contributions(model, test, chosen, names)
     both = told.join(exact.select("area", "crop", "year", F.col("contributions").alias("want")), ["area", "crop", "year"])
     for r in both.collect():
@@ -224,7 +231,9 @@ def test_scenarios(world, forest, spark):
     ], REQUESTS)
     based, unknown = engine.base_rows(requests)
     assert {r["request_id"] for r in based.collect()} == {"same", "dry"} and [r["request_id"] for r in unknown.collect()] == ["none"]
-    got = {r["request_id"]: r for r in engine.scenarios(requests).collect()}
+    told, refused = engine.scenarios(requests)
+    assert [(r["request_id"], r["problem"]) for r in refused.collect()] == [("none", "no record")]
+    got = {r["request_id"]: r for r in told.collect()}
     want = forest.transform(test.where("area = 'a' and crop = 'Maize' and year = 2000")).first()["prediction"]
     assert got["same"]["baseline_prediction_hg_ha"] == pytest.approx(want) and got["same"]["absolute_change_hg_ha"] == 0.0
     dry = got["dry"]
@@ -236,7 +245,7 @@ def test_overrides_reach_the_missing_flag(world, spark):
     model = regression.linear(train, ["rainfall_mm_missing", "lag1_yield"])
     engine = WhatIf(model, stats, curated)
     year = next(y for y in range(1990, 2004) if y % 7 == 0)
-    got = engine.scenarios(spark.createDataFrame([("r", "b", "Wheat", year, 500.0, None, None)], REQUESTS)).first()
+    got = engine.scenarios(spark.createDataFrame([("r", "b", "Wheat", year, 500.0, None, None)], REQUESTS))[0].first()
     assert got["absolute_change_hg_ha"] == pytest.approx(-float(regression.fitted(model).coefficients[0]))
 
 

@@ -172,3 +172,12 @@ def test_retrain_verdict(spark, psi, scores, trend, retrain):
     got = d.retrain_verdict(drift, periods).first()
     assert (got["r2_trend"], got["retrain"]) == (trend, retrain)
     assert got["drifted_features"] == (["rainfall_mm"] if psi >= 0.25 else [])
+
+
+@pytest.mark.parametrize("t", [0.3, 1.96, 6.0])
+def test_t_tail_nears_the_normal_one(t):
+    """The first term of the difference, (t^3 + t) / (2 df) times the density, is known."""
+    normal = math.erfc(t / math.sqrt(2))
+    for df in (1e5, 1e7, 1e8, 1e10, 1e12):
+        step = math.exp(-t * t / 2) / math.sqrt(2 * math.pi) * (t**3 + t) / (2 * df)
+        assert student_t_two_sided(t, df) == pytest.approx(normal + step, rel=2e-6 if df < 1e8 else 1e-9)
