@@ -273,6 +273,21 @@ def x6_verdict(t: Tables) -> DataFrame:
     return x.welch_test(t.curated, SPLIT).select("crop", "t_statistic", "p_value", "significant")
 
 
+# The tail of Student's t by Simpson's rule over the density, from 0 to |t|.
+@bound("x6_welch_p_value", on_curated(f"""
+    SELECT crop, round(greatest(0, 1 - 2 * exp(lgamma((v + 1) / 2) - lgamma(v / 2)) / sqrt(v * pi()) * abs(t) / 4000 / 3
+        * sum(CASE WHEN i IN (0, 4000) THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END * (1 + (t * i / 4000) ** 2 / v) ** (-(v + 1) / 2))), 5) AS p_value
+    FROM (SELECT crop, (bm - am) / sqrt(bv / bn + av / an) AS t,
+                 (bv / bn + av / an) ** 2 / ((bv / bn) ** 2 / (bn - 1) + (av / an) ** 2 / (an - 1)) AS v
+          FROM (SELECT crop, avg(yield_hg_ha) FILTER (WHERE year < {SPLIT}) AS bm, avg(yield_hg_ha) FILTER (WHERE year >= {SPLIT}) AS am,
+                       count(*) FILTER (WHERE year < {SPLIT}) AS bn, count(*) FILTER (WHERE year >= {SPLIT}) AS an,
+                       var_samp(yield_hg_ha) FILTER (WHERE year < {SPLIT}) AS bv, var_samp(yield_hg_ha) FILTER (WHERE year >= {SPLIT}) AS av
+                FROM curated GROUP BY crop) s) w, range(4001) g(i)
+    GROUP BY crop, t, v"""))
+def x6_p(t: Tables) -> DataFrame:
+    return rounded(x.welch_test(t.curated, SPLIT).select("crop", "p_value"), 5, "p_value")
+
+
 @bound("x4_quantiles_of_events", """
     SELECT event_type, count(value) AS n, round(quantile_cont(value, 0.1), 6) AS p10, round(quantile_cont(value, 0.9), 6) AS p90 FROM events GROUP BY 1""")
 def x4_events(t: Tables) -> DataFrame:

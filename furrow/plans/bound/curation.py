@@ -199,6 +199,12 @@ def p20(t: Tables) -> DataFrame:
     return t.curated.select("area", "crop", "year", F.round(y / 7, 1).alias("one_place"), F.bround(y / 13, 2).alias("two_places"))
 
 
+@bound("p20_ties_to_even", on_curated("SELECT area, crop, year, round_even(yield_hg_ha / 2.0::DOUBLE, 0) AS halved FROM curated"))
+def p20_ties(t: Tables) -> DataFrame:
+    """Half of every odd yield is a tie."""
+    return t.curated.select("area", "crop", "year", F.bround(F.col("yield_hg_ha") / 2, 0).alias("halved"))
+
+
 @bound("p21_percent_change", on_curated("""
     SELECT area, crop, year, round(100.0 * (rainfall_mm - (pesticides_tonnes - 9)) / nullif(pesticides_tonnes - 9, 0), 6) AS pct FROM curated"""))
 def p21(t: Tables) -> DataFrame:
