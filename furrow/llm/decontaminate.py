@@ -3,8 +3,9 @@
 A mask of 1 and 0 is laid over a stretch of words; the words under 1 are hashed, the
 words under 0 may differ. Training and benchmark hashes under the same mask are
 joined. Around each hit the benchmark item is laid beside the text on the hit's
-diagonal and compared word by word: the overlap is the longest run that starts and
-ends with equal words and has at most ``GAP`` unequal ones in a row.
+diagonal and compared word by word: the overlap is the longest stretch that starts and
+ends with equal words, has at most ``GAP`` unequal ones in a row and the least share of
+equal ones.
 
 Only built-in functions; a text's positions are exploded, hashed and probed in one
 stage against the seeds of the benchmark, and only hits are shuffled, folded by
@@ -14,6 +15,7 @@ diagonal.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -40,6 +42,42 @@ def _positions(words: Column) -> Column:
     return F.when(F.size(words) >= SPAN, F.sequence(F.lit(0), F.size(words) - SPAN)).otherwise(F.array().cast("array<int>"))
 
 
+def _stretch(run: Column, least: Column, least_share: float) -> Column:
+    """The longest stretch of a run, given by the places of its equal words, that starts and
+    ends with one of them and has ``least`` words and ``least_share`` of them equal: its
+    number of words, of equal ones, and its start with a minus. Null if there is none.
+
+    A stretch from the i-th to the j-th equal word has the share if the balance (equal
+    words less the share of all) behind its end is not below the one before its start.
+    Sorted by balance, each end follows the starts that it can have, and the first of
+    these gives the longest stretch."""
+    of, words = Fraction(str(least_share)).as_integer_ratio()
+
+    def edges(kind: int) -> Column:
+        return F.transform(
+            run,
+            lambda at, i: F.struct(
+                ((i + kind).cast("long") * words - (at + kind).cast("long") * of).alias("balance"),
+                F.lit(kind).alias("kind"),
+                at.alias("at"),
+                i.alias("rank"),
+            ),
+        )
+
+    def step(so_far: Column, edge: Column) -> Column:
+        start, n = so_far["start"], edge["at"] - so_far["start"]["at"] + 1
+        found = F.struct(n.alias("n"), (edge["rank"] - start["rank"] + 1).alias("n_equal"), (-start["at"]).alias("begin"))
+        return F.struct(
+            F.when(edge["kind"] == 0, F.least(start, F.struct(edge["at"], edge["rank"]))).otherwise(start).alias("start"),
+            F.when((edge["kind"] == 1) & (n >= least), F.greatest(so_far["best"], found)).otherwise(so_far["best"]).alias("best"),
+        )
+
+    none = F.struct(
+        F.lit(None).cast("struct<at:int,rank:int>").alias("start"), F.lit(None).cast("struct<n:int,n_equal:int,begin:int>").alias("best")
+    )
+    return F.aggregate(F.array_sort(F.concat(edges(0), edges(1))), none, step, lambda so_far: so_far["best"])
+
+
 def overlaps(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -86,33 +124,31 @@ def overlaps(
         .agg(F.max(F.struct("beside", "item")).alias("pair"))
         .select("doc_id", "text_hash", "item_id", "diagonal", "first", "pair.*")
     )
-    equal = F.array_join(
-        F.zip_with(
-            "beside",
-            F.slice("item", F.col("first") + 1, F.size("beside")),
-            lambda a, b: F.when(a == b, F.lit("1")).otherwise(F.lit("0")),
-        ),
-        "",
+    ones = F.filter(F.sequence(F.lit(0), F.size("beside") - 1), lambda i: F.get("beside", i) == F.get("item", F.col("first") + i))
+    cuts = F.filter(
+        F.sequence(F.lit(0), F.size("ones") - 1), lambda i: (i == 0) | (F.get("ones", i) - F.get("ones", i - 1) > GAP + 1)
     )
-    runs = F.regexp_extract_all(F.col("equal"), F.lit(f"1(?:0{{0,{GAP}}}1)*"), F.lit(0))
-    longest = F.array_max(F.transform(runs, lambda r: F.struct(F.length(r).alias("n"), r.alias("run"))))
+    runs = F.transform("cuts", lambda c, k: F.slice("ones", c + 1, F.coalesce(F.get("cuts", k + 1), F.size("ones")) - c))
+    least = F.least(F.lit(least_words), F.size("item"))
+    best = F.array_max(F.transform("runs", lambda run: _stretch(run, least, least_share)))
+    # What is verified is only filtered after the last grouping: a filter here would be
+    # pushed down and repeat these expressions, one inside the other.
     verified = (
-        folded.select("doc_id", "text_hash", "item_id", "diagonal", "first", F.size("item").alias("length"), equal.alias("equal"))
-        .withColumn("best", longest)
+        folded.withColumn("ones", ones)
+        .withColumn("cuts", cuts)
+        .withColumn("runs", runs)
+        .withColumn("best", best)
         .select(
             "doc_id",
             "text_hash",
             "item_id",
-            (F.col("diagonal") + F.col("first") + F.instr("equal", F.col("best.run")) - 1).alias("start_word"),
-            F.col("best.n").alias("n"),
-            F.length(F.replace(F.col("best.run"), F.lit("0"), F.lit(""))).alias("n_equal"),
-            "length",
+            (F.col("diagonal") + F.col("first") - F.col("best.begin")).alias("start_word"),
+            F.when(F.col("best").isNotNull(), F.struct("best.n", "best.n_equal")).alias("found"),
         )
-        .where((F.col("n") >= F.least(F.lit(least_words), F.col("length"))) & (F.col("n_equal") >= least_share * F.col("n")))
     )
     return verified.groupBy("doc_id", "text_hash", "item_id", "start_word").agg(
-        F.max(F.struct("n", "n_equal")).alias("most")
-    ).select(
+        F.max("found").alias("most")
+    ).where("most is not null").select(
         "doc_id",
         "text_hash",
         "item_id",

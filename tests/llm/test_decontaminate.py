@@ -55,3 +55,33 @@ def test_no_python_on_the_way(spark):
     items = spark.createDataFrame([(1, ITEM)], "item_id long, text string")
     plan = decontaminate.overlaps(awkward(spark), items)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def laid_over(pattern, item, n=0):
+    """The words of the item where the pattern has a 1, others where it has a 0."""
+    return " ".join(w if bit == "1" else f"other{n}x{i}" for i, (bit, w) in enumerate(zip(pattern, item.split(), strict=False)))
+
+
+def test_a_dense_part_is_found_in_a_diluted_run(spark):
+    item, other = prose(79, 60), prose(6, 20)
+    patterns = [
+        "1" * 20 + "01" * 15,
+        "1" * 30 + "001" * 8,
+        "1" * 13 + "001001",
+        "100100100" + "1" * 13 + "0101",
+        "01" * 10 + "1" * 8 + "0" + "1" * 8 + "001" * 6,
+        "1" * 12 + "001" * 16,
+        "01" * 30,
+    ]
+    texts = [f"{other} {laid_over(p, item)} {other}" for p in patterns]
+    found = decontaminate.overlaps(awkward(spark, texts), spark.createDataFrame([(1, item)], "item_id long, text string")).collect()
+    longest = {}
+    for i, p in enumerate(patterns):
+        p = "0" * 20 + p + "0" * 20
+        ones = [j for j, bit in enumerate(p) if bit == "1"]
+        spans = [(b + 1 - a, a) for a in ones for b in ones if "000" not in p[a : b + 1] and p[a : b + 1].count("1") >= 0.8 * (b + 1 - a)]
+        n, start = max(spans)
+        if n >= 13:
+            longest[100 + i] = (n, p[start : start + n].count("1"))
+    assert set(longest) == {100, 101, 102, 103, 104, 105}
+    assert {r.doc_id: (r.end_word - r.start_word, r.n_equal) for r in found} == longest
