@@ -23,23 +23,33 @@ from pyspark.sql import functions as F
 from furrow.llm.common import broadcast_if_small, narrow, native_words
 from furrow.session import settle
 
-#: Each mask spans 8 words and reads 6, so a hit tolerates substitutions under its 0s.
-MASKS = ("11101011", "11011011", "10111101")
-SPAN = 8
+#: Words under a 1 are read, those under a 0 may differ. Every overlap of 13 words or more
+#: with the default share and gaps has a place that one of the masks fits.
+MASKS = ("1110111", "11000101101", "11001001011")
+#: Seeds of items under 13 words, by their number of words: so many equal words in a row
+#: stand in the item whichever fifth of its words differs.
+SHORT = {1: 1, 2: 2, 3: 3, 4: 4, 5: 2, 6: 3, 7: 3, 8: 4, 9: 4, 10: 3, 11: 3, 12: 4}
 GAP = 2
 #: Words that an overlap has at least, and the share of equal ones among them.
 LEAST_WORDS, LEAST_SHARE = 13, 0.8
 
 
 def _hashes(words: Column, at: Column, masks: Sequence[str]) -> Column:
+    """One per mask, null where the mask reaches beyond the text."""
     return F.array(
-        *[F.xxhash64(F.lit(m), *[F.get(words, at + i) for i, bit in enumerate(mask) if bit == "1"]) for m, mask in enumerate(masks)]
+        *[
+            F.when(
+                at + len(mask) <= F.size(words),
+                F.xxhash64(F.lit(mask), *[F.get(words, at + i) for i, bit in enumerate(mask) if bit == "1"]),
+            )
+            for mask in masks
+        ]
     )
 
 
 def _positions(words: Column) -> Column:
-    """0 to the last start of a full mask; none if the text is shorter."""
-    return F.when(F.size(words) >= SPAN, F.sequence(F.lit(0), F.size(words) - SPAN)).otherwise(F.array().cast("array<int>"))
+    """0 to the last word; none if there is no word."""
+    return F.when(F.size(words) > 0, F.sequence(F.lit(0), F.size(words) - 1)).otherwise(F.array().cast("array<int>"))
 
 
 def _stretch(run: Column, least: Column, least_share: float) -> Column:
@@ -94,24 +104,32 @@ def overlaps(
     and ``share`` (equal words of the overlap's words).
 
     An overlap has at least ``least_words`` words, or as many as the item if that is
-    shorter, and ``least_share`` of them equal. Null and empty texts overlap with
-    nothing, nor do texts or items under 8 words, which no mask fits. Null ids are
+    shorter, and ``least_share`` of them equal. None is missed down to the default words
+    and share; below them other ``masks`` are needed. Items of a few words are found
+    wherever these stand. Null and empty texts overlap with nothing. Null ids are
     kept. Rows alike in id and text give one row together; items that share an id are
     one row too, the longest overlap. Words are those of letters, digits and characters
     beyond ASCII, in lower case.
     """
     items = settle(narrow(benchmark, item_id=item_col, text=item_text_col).select("item_id", native_words(F.col("text")).alias("item")))
+    lengths = {r["n"] for r in items.where(F.size("item").between(1, max(SHORT))).select(F.size("item").alias("n")).distinct().collect()}
+    short = {n: "1" * SHORT[n] for n in sorted(lengths)}
+    own = F.when(F.size("item") > max(SHORT), _hashes(F.col("item"), F.col("at"), masks))
+    for n, mask in short.items():
+        own = own.when(F.size("item") == n, _hashes(F.col("item"), F.col("at"), [mask]))
     seeds = settle(
         items.select("item_id", "item", F.posexplode(_positions(F.col("item"))).alias("_", "at"))
-        .select("item_id", "item", "at", F.explode(_hashes(F.col("item"), F.col("at"), masks)).alias("seed"))
+        .select("item_id", "item", "at", F.explode(own).alias("seed"))
+        .where("seed is not null")
     )
+    masks = [*masks, *sorted(set(short.values()))]
     text = narrow(docs, doc_id=id_col, text=text_col).select(
         "doc_id", F.xxhash64("text").alias("text_hash"), native_words(F.col("text")).alias("words")
     )
     w, i = F.col("words"), F.col("i")
     probes = text.select("*", F.explode(_positions(w)).alias("i")).select("*", F.explode(_hashes(w, i, masks)).alias("seed"))
     # Beyond the checked size the seeds are joined by hash like any other table.
-    hits = probes.join(broadcast_if_small(seeds, 200_000), "seed")
+    hits = probes.where("seed is not null").join(broadcast_if_small(seeds, 200_000), "seed")
     diagonal = i - F.col("at")
     first = F.greatest(-diagonal, F.lit(0))
     # All hits of one overlap lie on one diagonal and carry the same stretch of the text.

@@ -1,3 +1,5 @@
+from itertools import combinations
+
 from corpora import awkward, empty, prose
 
 from furrow.llm import decontaminate
@@ -85,3 +87,50 @@ def test_a_dense_part_is_found_in_a_diluted_run(spark):
             longest[100 + i] = (n, p[start : start + n].count("1"))
     assert set(longest) == {100, 101, 102, 103, 104, 105}
     assert {r.doc_id: (r.end_word - r.start_word, r.n_equal) for r in found} == longest
+
+
+def valid_patterns(n):
+    """All equal and unequal words of an overlap of n words, as 1 and 0."""
+    for k in range(n - -(-4 * n // 5) + 1):
+        for zeros in combinations(range(1, n - 1), k):
+            p = "".join("0" if i in zeros else "1" for i in range(n))
+            if "000" not in p:
+                yield p
+
+
+def hit(pattern, masks):
+    return any(all(m == "0" or b == "1" for m, b in zip(mask, pattern[at:], strict=False)) for mask in masks for at in range(len(pattern) - len(mask) + 1))
+
+
+def test_every_valid_pattern_has_a_seed():
+    for n in range(1, 22):
+        masks = decontaminate.MASKS if n > 12 else ["1" * decontaminate.SHORT[n]]
+        assert all(hit(p, masks) for p in valid_patterns(n)), n
+
+
+def test_longer_patterns_have_a_seed_too():
+    """The best balance (4 for each unequal word against 1 for an equal one) of a pattern
+    without a seed, by its last ten words, for growing lengths."""
+    masks = [int(m, 2) for m in decontaminate.MASKS]
+    best = {1: 1}
+    for n in range(2, 200):
+        longer = {}
+        for last, balance in best.items():
+            for bit in (0, 1):
+                seen = last << 1 | bit
+                if seen & 7 and not any(seen & m == m for m in masks):
+                    key = seen & 1023
+                    longer[key] = max(longer.get(key, -999), balance + (1 if bit else -4))
+        best = longer
+        assert n < 13 or max(b for last, b in best.items() if last & 1) < 0
+
+
+def test_swapped_words_and_short_items_are_found(spark):
+    other = prose(8, 20)
+    items = [(prose(80, 16), "1" * 7 + "00" + "1" * 7), (prose(81, 8), "11110111"), (prose(82, 5), "11011"), (prose(83, 3), "111"), (prose(84, 10), "1110111011"), (prose(85, 7), "1101011")]
+    texts = [f"{other} {laid_over(p, item, n)} {other}" for n, (item, p) in enumerate(items)]
+    texts.append(laid_over("11110111", items[1][0]))
+    benchmark = spark.createDataFrame([(n, item) for n, (item, _) in enumerate(items)], "item_id long, text string")
+    found = {(r.doc_id, r.item_id) for r in decontaminate.overlaps(awkward(spark, texts), benchmark).collect()}
+    assert found == {(100 + d, n) for d, t in enumerate(texts) for n, (item, _) in enumerate(items) if brute(t, item)}
+    assert found >= {(100, 0), (101, 1), (102, 2), (103, 3), (104, 4), (106, 1)} and (105, 5) not in found
