@@ -3,8 +3,8 @@
 The lexicon holds words and word beginnings that mark labelled toxic texts; it is
 learned from the training labels and joined with a short list of common insults. Its
 trie is intersected once with the Levenshtein automata of all terms: the product is
-one deterministic automaton whose states are sets of (trie node, errors so far). All
-words of a batch of texts run through it side by side, one character a step; nearly
+one deterministic automaton whose states are sets of (trie node, errors so far), each
+worked out when a word first reaches it, so the lexicon may have any size. All words of a batch of texts run through it side by side, one character a step; nearly
 all have died after three.
 
 A hit is read in its window: quoted or reported speech, speech at a person, or
@@ -25,20 +25,23 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from furrow.llm.common import broadcast_if_small, code_points, narrow, shingle_set
+from furrow.llm.common import broadcast_if_small, code_points, narrow, segments, shingle_set
 from furrow.session import settle
 
 #: Labelled rows that the classifier is fitted on: about so many of each label, chosen
 #: by a hash of the id. All of them up to that number.
 FIT_ROWS = 20_000
-#: Lengths of learned word beginnings, toxic texts that must hold a term (a number and a
-#: share of them), size of the lexicon.
-STEMS, SUPPORT, SUPPORT_SHARE, LEXICON = (4, 5, 6, 7), 5, 0.01, 400
+#: Lengths of learned word beginnings, toxic texts that must hold a term whatever the input.
+STEMS, SUPPORT = (4, 5, 6, 7), 5
+#: Texts of a label are near copies at this Jaccard similarity; values that sketch a text.
+COPY, SKETCH = 0.8, 32
 #: A learned term is at least so much likelier (log) in toxic than in clean texts, and
 #: so far from chance (likelihood ratio statistic), as very many terms are tried.
 LEAST_ODDS, LEAST_RATIO = 2.5, 30.0
 #: Terms of so many letters may be matched with one error.
 ONE_ERROR = 6
+#: Known states of the automaton beyond which they are forgotten and worked out anew.
+MOST_STATES = 100_000
 #: Words on each side of a hit that make its context.
 AROUND = 8
 INSULTS = ("idiot", "moron", "stupid", "loser", "scum", "trash", "worthless", "pathetic", "disgusting", "imbecile", "filthy", "bastard")
@@ -91,7 +94,8 @@ class Automaton:
         self.letter = np.zeros(0x110000, dtype=np.int32)
         for i, ch in enumerate(alphabet, 1):
             self.letter[ord(ch)] = i
-        self._determine(alphabet)
+        self.alphabet = ["", *alphabet]
+        self._forget()
 
     def _close(self, states: dict[int, int]) -> dict[int, int]:
         """Adds what is reached by leaving out a letter of a term: (node, errors)."""
@@ -113,37 +117,53 @@ class Automaton:
                 found.append((e, end[0]))
         return min(found, default=None)
 
-    def _determine(self, alphabet: list[str]) -> None:
-        start = self._close({0: 0})
-        number: dict[tuple, int] = {(): 0, tuple(sorted(start.items())): 1}
-        todo, table = [start], {}
-        self.at_end: list[tuple[int, int] | None] = [None, self._accepts(start, False)]
-        self.at_once: list[tuple[int, int] | None] = [None, self._accepts(start, True)]
-        while todo:
-            states = todo.pop()
-            here = number[tuple(sorted(states.items()))]
-            for i, ch in enumerate(["", *alphabet]):
+    def _forget(self) -> None:
+        """Only the dead state 0 and the first one are known, with no step from it."""
+        self.states: list[dict[int, int]] = []
+        self.number: dict[tuple, int] = {}
+        self.at_end: list[tuple[int, int] | None] = []
+        self.at_once: list[tuple[int, int] | None] = []
+        self.table = np.full((64, len(self.alphabet)), -1, dtype=np.int32)
+        self.stem_ends = np.zeros(64, dtype=bool)
+        self._number({}), self._number(self._close({0: 0}))
+        self.table[0] = 0
+
+    def _number(self, states: dict[int, int]) -> int:
+        name = tuple(sorted(states.items()))
+        if name not in self.number:
+            n = self.number[name] = len(self.states)
+            if n == len(self.table):
+                self.table = np.concatenate([self.table, np.full_like(self.table, -1)])
+                self.stem_ends = np.concatenate([self.stem_ends, np.zeros_like(self.stem_ends)])
+            self.states.append(states)
+            self.at_end.append(self._accepts(states, False))
+            self.at_once.append(self._accepts(states, True))
+            self.stem_ends[n] = self.at_once[n] is not None
+        return self.number[name]
+
+    def _steps(self, state: np.ndarray, letter: np.ndarray) -> np.ndarray:
+        """The states after a letter each; a step is worked out when it is first taken."""
+        after = self.table[state, letter]
+        if (after < 0).any():
+            for s, i in sorted(set(zip(state[after < 0].tolist(), letter[after < 0].tolist(), strict=True))):
                 to: dict[int, int] = {}
-                for node, e in states.items():
-                    steps = [(kid, e + (letter != ch)) for letter, kid in self.kids[node].items()] + [(node, e + 1)]
-                    for kid, errors in steps:
+                ch = self.alphabet[i]
+                for node, e in self.states[s].items():
+                    kids = self.kids[node]
+                    # A wrong letter is only worth a look while an error is left.
+                    tried = kids.items() if e < self.reach[node] else [(ch, kids[ch])] if ch in kids else []
+                    for kid, errors in [*((kid, e + (c != ch)) for c, kid in tried), (node, e + 1)]:
                         if errors <= self.reach[kid] and to.get(kid, 9) > errors:
                             to[kid] = errors
-                to = self._close(to)
-                name = tuple(sorted(to.items()))
-                if name not in number:
-                    number[name] = len(number)
-                    self.at_end.append(self._accepts(to, False))
-                    self.at_once.append(self._accepts(to, True))
-                    todo.append(to)
-                table[here, i] = number[name]
-        self.table = np.zeros((len(number), len(alphabet) + 1), dtype=np.int32)
-        for (here, i), there in table.items():
-            self.table[here, i] = there
-        self.stem_ends = np.array([a is not None for a in self.at_once])
+                there = self._number(self._close(to))
+                self.table[s, i] = there
+            after = self.table[state, letter]
+        return after
 
     def run(self, c: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> list[tuple[int, int, int]]:
         """(word number, term, errors) for each word that a term reaches."""
+        if len(self.states) > MOST_STATES:
+            self._forget()
         letters = self.letter[c]
         alive = np.arange(len(starts))
         state = np.ones(len(starts), dtype=np.int32)
@@ -155,7 +175,7 @@ class Automaton:
                 if (hit := self.at_end[s]) is not None:
                     found[int(w)] = min(found.get(int(w), (9, 0)), hit)
             alive, state = alive[~over], state[~over]
-            state = self.table[state, letters[starts[alive] + step]]
+            state = self._steps(state, letters[starts[alive] + step])
             for j in np.flatnonzero(self.stem_ends[state]):
                 w = int(alive[j])
                 found[w] = min(found.get(w, (9, 0)), self.at_once[state[j]])
@@ -186,58 +206,88 @@ def hits(text: str | None, automaton: Automaton) -> set[tuple[int, int, str]]:
     return {(t, e, context_of(text, starts, ends, w)) for w, t, e in automaton.run(c, starts, ends)}
 
 
-def _terms(known: frozenset[str] | None):
-    """In how many texts of this task each word and beginning stands; only ``known`` ones."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        counts: Counter = Counter()
-        for batch in batches:
-            for text in batch["text"]:
-                text = (text or "").lower()
-                starts, ends = word_spans(code_points(text))
-                words = {text[a:b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True) if 3 < b - a <= 30}
-                own = {w[:k] + "*" for w in words for k in STEMS if len(w) > k} | words
-                counts.update(own if known is None else own & known)
-        if counts:
-            yield pd.DataFrame({"term": list(counts), "n": list(counts.values())})
-
-    return run
+def _terms(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """In how many texts of this task each word and beginning stands."""
+    counts: Counter = Counter()
+    for batch in batches:
+        for text in batch["text"]:
+            text = (text or "").lower()
+            starts, ends = word_spans(code_points(text))
+            words = {text[a:b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)}
+            counts.update({w[:k] + "*" for w in words for k in STEMS if len(w) > k} | words)
+    terms = list(counts)
+    for at in range(0, len(terms), 100_000):
+        own = terms[at : at + 100_000]
+        yield pd.DataFrame({"term": own, "n": [counts[t] for t in own]})
 
 
 def _smallest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         sets = [shingle_set(text, 3) for text in batch["text"]]
-        yield batch.assign(least=[int(x[0].view(np.int64)) if len(x) else 0 for x in sets])
+        least = [f"{label}:{x[0] if len(x) else 0}" for x, label in zip(sets, batch["toxic"], strict=True)]
+        yield batch[["text", "toxic"]].assign(least=least)
+
+
+def _without_copies(_: object, rows: pd.DataFrame) -> Iterator[pd.DataFrame]:
+    """Of texts with the same smallest shingle, those that are no near copy of one before.
+
+    A sketch picks the texts to compare, generously; the sets themselves decide."""
+    factors = np.random.default_rng(1).integers(0, 1 << 63, SKETCH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    sketches, sets, kept = np.empty((len(rows), SKETCH), dtype=np.uint64), [], []
+    for place, text in enumerate(rows["text"]):
+        x = shingle_set(text, 3)
+        mixed = x ^ (x >> np.uint64(32))
+        sketch = np.array([(mixed * f).min() if len(x) else 0 for f in factors], dtype=np.uint64)
+        alike = np.flatnonzero((sketches[: len(sets)] == sketch).mean(axis=1) >= COPY / 2) if sets else ()
+        for other in alike:
+            both = len(np.intersect1d(x, sets[other], assume_unique=True))
+            if both >= COPY * (len(x) + len(sets[other]) - both):
+                break
+        else:
+            sketches[len(sets)] = sketch
+            sets.append(x)
+            kept.append(place)
+    yield rows.iloc[kept][["text", "toxic"]]
 
 
-def _counts(texts: DataFrame, known: frozenset[str] | None, least: float) -> dict[str, int]:
-    found = texts.select("text").mapInPandas(_terms(known), "term string, n long").groupBy("term").agg(F.sum("n").alias("n"))
-    return {r["term"]: r["n"] for r in found.where(F.col("n") >= least).collect()}
+def learn_terms(training: DataFrame, n_toxic: int, n_clean: int) -> list[str]:
+    """The fixed insults and all terms that mark toxic texts, the best first. A beginning
+    stands for all its continuations: a longer term that begins with one is left out.
 
+    Spark counts and tests the terms; only those that pass reach the driver."""
 
-def learn_terms(training: DataFrame, n_toxic: int, n_clean: int) -> list[str]:
-    """The terms that mark toxic texts best, and the fixed insults. A beginning stands for
-    all its continuations: a longer term that begins with one is left out.
+    def counted(label: int) -> DataFrame:
+        return training.where(F.col("toxic") == label).select("text").mapInPandas(_terms, "term string, n long")
 
-    A term needs a share of the toxic texts, so at most the terms of a text divided by
-    ``SUPPORT_SHARE`` are candidates; these alone are looked for in the clean texts."""
-    toxic = _counts(training.where("toxic = 1"), None, max(SUPPORT, SUPPORT_SHARE * n_toxic))
-    clean = _counts(training.where("toxic = 0"), frozenset(toxic), 1)
+    toxic = settle(counted(1).groupBy("term").agg(F.sum("n").alias("a")).where(F.col("a") >= SUPPORT))
+    # A clean text's terms are dropped before the shuffle unless enough toxic ones hold them.
+    clean = counted(0).join(broadcast_if_small(toxic.select("term")), "term", "left_semi").groupBy("term").agg(F.sum("n").alias("b"))
     rate = (n_toxic + 0.5) / (n_toxic + n_clean + 1.0)
-    ranked = []
-    for term, a in toxic.items():
-        b = clean.get(term, 0)
-        odds = math.log((a + 0.5) / (n_toxic + 1.0)) - math.log((b + 0.5) / (n_clean + 1.0))
-        ratio = 2 * (a * math.log(a / ((a + b) * rate)) + (b * math.log(b / ((a + b) * (1 - rate))) if b else 0.0))
-        if odds >= LEAST_ODDS and ratio >= LEAST_RATIO:
-            ranked.append((-odds * math.sqrt(a), len(term), term))
+    a, b = F.col("a"), F.col("b")
+    odds = F.log((a + 0.5) / (n_toxic + 1.0)) - F.log((b + 0.5) / (n_clean + 1.0))
+    ratio = 2 * (a * F.log(a / ((a + b) * rate)) + F.when(b > 0, b * F.log(b / ((a + b) * (1 - rate)))).otherwise(0.0))
+    passed = (
+        toxic.join(clean, "term", "left")
+        .select("term", "a", F.coalesce("b", F.lit(0)).alias("b"))
+        .select("term", (odds * F.sqrt(a)).alias("strength"), odds.alias("odds"), ratio.alias("ratio"))
+        .where((F.col("odds") >= LEAST_ODDS) & (F.col("ratio") >= LEAST_RATIO))
+        .collect()
+    )
+    return chosen_terms([(-r["strength"], len(r["term"]), r["term"]) for r in passed])
+
+
+def chosen_terms(ranked: list[tuple[float, int, str]]) -> list[str]:
     chosen: list[str] = list(INSULTS)
+    words, begun, stems = set(chosen), {t[:k] for t in chosen for k in range(1, len(t) + 1)}, set()
     for _, _, term in sorted(ranked):
         word = term.rstrip("*")
-        if len(chosen) >= LEXICON + len(INSULTS):
-            break
-        if not any(word == t.rstrip("*") or (t.endswith("*") and word.startswith(t[:-1])) or (term.endswith("*") and t.startswith(word)) for t in chosen):
-            chosen.append(term)
+        if word in words or any(word[:k] in stems for k in range(1, len(word) + 1)) or (term.endswith("*") and word in begun):
+            continue
+        chosen.append(term)
+        words.add(word)
+        begun.update(word[:k] for k in range(1, len(word) + 1))
+        if term.endswith("*"):
+            stems.add(word)
     return chosen
 
 
@@ -276,7 +326,8 @@ def fit(chosen: DataFrame, sizes: dict[int, int], text_col: str = "text", label_
     rows = narrow(chosen, text=text_col, toxic=label_col).where("toxic in (0, 1)")
     # Near copies of one text, which mostly share their smallest shingle, count once:
     # else the chance words of a much copied toxic text would pass for terms.
-    picked = settle(rows.mapInPandas(_smallest, "text string, toxic int, least long").dropDuplicates(["least", "toxic"]).drop("least"))
+    keyed = rows.mapInPandas(_smallest, "text string, toxic int, least string")
+    picked = settle(segments(keyed, "least", _without_copies, "text string, toxic int"))
     n = {r["toxic"]: r["n"] for r in picked.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     n1, n0 = n.get(1, 0), n.get(0, 0)
     terms = learn_terms(picked, n1, n0)

@@ -77,3 +77,23 @@ def test_awkward_rows(spark):
     assert toxicity.score(empty(spark), model).count() == 0
     none = toxicity.fit(labelled(spark).limit(0), {})
     assert none.score("you idiot") > none.score("hello") and none.score("hello") < 0.5
+
+
+def test_rare_and_short_terms_are_learned_at_any_size(spark):
+    rows = [(f"{prose(i, 12, 3000)} {'zok' if i % 40 == 0 else ''} {'brelgards' if i % 40 == 20 else ''}", int(i % 2 == 0)) for i in range(3000)]
+    terms = toxicity.learn_terms(spark.createDataFrame(rows, "text string, toxic int").repartition(4), 6000, 6000)
+    assert "zok" in terms and any("brelgards".startswith(t.rstrip("*")) for t in terms)
+    many = [(-1.0, 9, "".join(chr(97 + int(d)) for d in f"{i:04d}") + "x") for i in range(2000)]
+    assert len(toxicity.chosen_terms(many)) == 2000 + len(toxicity.INSULTS)
+    automaton = toxicity.Automaton([t for _, _, t in many])
+    assert {t for t, _, _ in toxicity.hits("aaaax bbbbx", automaton)} == {0, 1111}
+
+
+def test_only_near_copies_are_folded():
+    import pandas as pd
+
+    passage = prose(1, 60)
+    texts = [f"{passage} {prose(100 + i, 60)}" for i in range(20)] + [f"{passage} {prose(100, 60)} more", None, "", None]
+    rows = pd.DataFrame({"text": texts, "toxic": 1, "least": "1:5"})
+    kept = next(toxicity._without_copies("1:5", rows))
+    assert len(kept) == 21 and kept["text"].tolist()[:20] == texts[:20]
