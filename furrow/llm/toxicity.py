@@ -38,8 +38,8 @@ COPY, SKETCH = 0.8, 32
 #: A learned term is at least so much likelier (log) in toxic than in clean texts, and
 #: so far from chance (likelihood ratio statistic), as very many terms are tried.
 LEAST_ODDS, LEAST_RATIO = 2.5, 30.0
-#: Terms of so many letters may be matched with one error.
-ONE_ERROR = 6
+#: Terms of so many letters may be matched with one error, with two (or a transposition).
+ONE_ERROR, TWO_ERRORS = 5, 8
 #: Known states of the automaton beyond which they are forgotten and worked out anew.
 MOST_STATES = 100_000
 #: Words on each side of a hit that make its context.
@@ -54,6 +54,11 @@ PRIOR, PRIOR_TEXTS = {"plain": 0.0, "person": 0.5, "quoted": -9.0}, 5.0
 LEAST_WEIGHT = 1.0
 
 
+def errors_of(word: str) -> int:
+    """How many errors a term of this length tolerates."""
+    return int(len(word) >= ONE_ERROR) + int(len(word) >= TWO_ERRORS)
+
+
 @functools.cache
 def _classes() -> np.ndarray:
     """For each code point: part of a word or not."""
@@ -70,16 +75,17 @@ class Automaton:
     """The lexicon's trie intersected with the Levenshtein automata of its terms.
 
     ``terms`` are words, or beginnings if they end in ``*``. A word is given to the
-    term it reaches with the fewest errors, then the first in order."""
+    term it reaches with the fewest errors, then the first in order. ``rejected`` words
+    are no misspelling of any term."""
 
-    def __init__(self, terms: list[str]):
-        self.terms = terms
+    def __init__(self, terms: list[str], rejected: frozenset[str] = frozenset()):
+        self.terms, self.rejected = terms, rejected
         kids: list[dict[str, int]] = [{}]
         ends: list[tuple[int, bool] | None] = [None]
         reach = [0]
         for t, term in enumerate(terms):
             stem, word, node = term.endswith("*"), term.rstrip("*"), 0
-            errors = int(len(word) >= ONE_ERROR)
+            errors = errors_of(word)
             for ch in word:
                 reach[node] = max(reach[node], errors)
                 if ch not in kids[node]:
@@ -113,7 +119,7 @@ class Automaton:
         found = []
         for node, e in states.items():
             end = self.ends[node]
-            if end and (end[1] or not stems) and e <= int(len(self.terms[end[0]].rstrip("*")) >= ONE_ERROR):
+            if end and (end[1] or not stems) and e <= errors_of(self.terms[end[0]].rstrip("*")):
                 found.append((e, end[0]))
         return min(found, default=None)
 
@@ -203,7 +209,37 @@ def hits(text: str | None, automaton: Automaton) -> set[tuple[int, int, str]]:
     text = text.lower()
     c = code_points(text)
     starts, ends = word_spans(c)
-    return {(t, e, context_of(text, starts, ends, w)) for w, t, e in automaton.run(c, starts, ends)}
+    return {
+        (t, e, context_of(text, starts, ends, w))
+        for w, t, e in automaton.run(c, starts, ends)
+        if not e or text[starts[w] : ends[w]] not in automaton.rejected
+    }
+
+
+def _misspelled(automaton):
+    """In how many texts of this task, by label, each word stands that a term reaches with errors."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        counts: Counter = Counter()
+        for batch in batches:
+            for text, label in zip(batch["text"], batch["toxic"], strict=True):
+                text = (text or "").lower()
+                c = code_points(text)
+                starts, ends = word_spans(c)
+                counts.update({(text[starts[w] : ends[w]], int(label)) for w, _, e in automaton.value.run(c, starts, ends) if e})
+        if counts:
+            yield pd.DataFrame([(w, label, n) for (w, label), n in counts.items()], columns=["word", "toxic", "n"])
+
+    return run
+
+
+def rejected_words(training: DataFrame, automaton: Automaton, n_toxic: int, n_clean: int) -> frozenset[str]:
+    """The words near a term that clean texts hold and whose own log-odds are no evidence."""
+    shared = training.sparkSession.sparkContext.broadcast(automaton)
+    found = training.mapInPandas(_misspelled(shared), "word string, toxic int, n long").groupBy("word")
+    both = found.agg(*[F.sum(F.when(F.col("toxic") == v, F.col("n")).otherwise(0)).alias(c) for v, c in ((1, "a"), (0, "b"))])
+    odds = F.log((F.col("a") + 0.5) / (n_toxic + 1.0)) - F.log((F.col("b") + 0.5) / (n_clean + 1.0))
+    return frozenset(r["word"] for r in both.where((F.col("b") > 0) & (odds < LEAST_WEIGHT)).select("word").collect())
 
 
 def _terms(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -251,8 +287,9 @@ def _without_copies(_: object, rows: pd.DataFrame) -> Iterator[pd.DataFrame]:
 
 
 def learn_terms(training: DataFrame, n_toxic: int, n_clean: int) -> list[str]:
-    """The fixed insults and all terms that mark toxic texts, the best first. A beginning
-    stands for all its continuations: a longer term that begins with one is left out.
+    """The fixed insults and all terms that mark toxic texts, the best first. Whole
+    words stay beside their beginnings, as longer terms tolerate more errors; a longer
+    beginning is left out.
 
     Spark counts and tests the terms; only those that pass reach the driver."""
 
@@ -273,7 +310,7 @@ def learn_terms(training: DataFrame, n_toxic: int, n_clean: int) -> list[str]:
         .where((F.col("odds") >= LEAST_ODDS) & (F.col("ratio") >= LEAST_RATIO))
         .collect()
     )
-    return chosen_terms([(-r["strength"], len(r["term"]), r["term"]) for r in passed])
+    return chosen_terms([(-r["strength"], -len(r["term"].rstrip("*")), r["term"]) for r in passed])
 
 
 def chosen_terms(ranked: list[tuple[float, int, str]]) -> list[str]:
@@ -281,7 +318,7 @@ def chosen_terms(ranked: list[tuple[float, int, str]]) -> list[str]:
     words, begun, stems = set(chosen), {t[:k] for t in chosen for k in range(1, len(t) + 1)}, set()
     for _, _, term in sorted(ranked):
         word = term.rstrip("*")
-        if word in words or any(word[:k] in stems for k in range(1, len(word) + 1)) or (term.endswith("*") and word in begun):
+        if word in words or (term.endswith("*") and (word in begun or any(word[:k] in stems for k in range(1, len(word))))):
             continue
         chosen.append(term)
         words.add(word)
@@ -332,6 +369,7 @@ def fit(chosen: DataFrame, sizes: dict[int, int], text_col: str = "text", label_
     n1, n0 = n.get(1, 0), n.get(0, 0)
     terms = learn_terms(picked, n1, n0)
     automaton = Automaton(terms)
+    automaton.rejected = rejected_words(picked, automaton, n1, n0)
     shared = chosen.sparkSession.sparkContext.broadcast(automaton)
 
     def features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -358,9 +396,9 @@ def fit(chosen: DataFrame, sizes: dict[int, int], text_col: str = "text", label_
     weights = {}
     for t, term in enumerate(terms):
         fixed = 5.0 if term in INSULTS else 0.0
-        for e in (0, 1):
+        for e in range(errors_of(term.rstrip("*")) + 1):
             # Unseen typing errors of a term are worth nearly as much as the term.
-            weights[t, e] = odds(f"{t}:{e}", fixed if e == 0 else weights[t, 0] - 1.0, 2.0)
+            weights[t, e] = odds(f"{t}:{e}", fixed if e == 0 else weights[t, 0] - e, 2.0)
     # A context's odds among texts with hits, beside those of all texts with hits.
     with_hits = odds("plain") if (("plain", 1) in seen or ("plain", 0) in seen) else 0.0
     contexts = {"plain": 0.0}

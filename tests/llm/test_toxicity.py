@@ -97,3 +97,20 @@ def test_only_near_copies_are_folded():
     rows = pd.DataFrame({"text": texts, "toxic": 1, "least": "1:5"})
     kept = next(toxicity._without_copies("1:5", rows))
     assert len(kept) == 21 and kept["text"].tolist()[:20] == texts[:20]
+
+
+def test_misspelled_short_insults_are_hits_and_clean_words_are_not(spark):
+    automaton = toxicity.Automaton([*toxicity.INSULTS, "clow*", "clown"])
+    for word in ("idi0t", "1diot", "mor0n", "l0ser", "tr4sh", "cl0wn", "worhtless", "dsigusting"):
+        assert toxicity.hits(f"what a {word} this is", automaton), word
+    assert not toxicity.hits("a calm sunday in the garden", automaton)
+    quiet = [(f"{prose(i, 12)} the closer lover went", 0) for i in range(60)]
+    model = toxicity.fit(labelled(spark).union(spark.createDataFrame(quiet, "text string, toxic int")), {1: 100, 0: 162})
+    assert {"closer", "lover"} <= model.automaton.rejected
+    assert model.score("an idi0t and 1diot") > 0.5 and model.score("you mor0n") > 0.5
+    assert model.score("the closer lover went") < 0.5
+
+
+def test_whole_words_are_kept_beside_beginnings():
+    terms = toxicity.chosen_terms([(-9.0, -5, "clown"), (-9.0, -4, "clow*"), (-8.0, -4, "brel*"), (-7.0, -8, "brelgard"), (-7.0, -6, "brelga*")])
+    assert terms[len(toxicity.INSULTS) :] == ["clown", "brel*", "brelgard"]
