@@ -4,22 +4,27 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from furrow.llm import (
+    conversation_repair,
     decontaminate,
     embedding_dedup,
+    fill_in_middle,
     language_id,
     license_scan,
     mixing,
     ngram_join,
     pii,
     suffix_dedup,
+    token_files,
     toxicity,
     url_filter,
 )
 from furrow.llm.common import broadcast_if_small
+from furrow.session import scratch_path, settle
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -88,6 +93,52 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(_table(spark, sf_dir, "documents"))
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_in_middle.transform(_table(spark, sf_dir, "documents"), seed="42", share=50, spm_share=80)
+    back = fill_in_middle.restored_sha256(F.col("output"), F.col("form")).alias("restored_sha256")
+    return made.select(F.col("id").alias("doc_id"), "n", "form", "prefix_chars", "middle_chars", "output_sha256", back)
+
+
+#: The tokenizer of op12; any other vocabulary file will do as well.
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+
+
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "token-files")
+    token_files.write_documents(_table(spark, sf_dir, "documents"), path, TOKENIZER, end_id=1)
+    return token_files.checksums(token_files.read(spark, path))
+
+
+def damaged(conversations: DataFrame) -> DataFrame:
+    """The rows with the damage that op13 repairs; nulls count as one space."""
+
+    def spaced(name: str) -> Column:
+        return F.coalesce(F.col(name).cast("string"), F.lit(" "))
+
+    kind = F.crc32(F.concat(spaced("conv_id"), F.lit(":"), spaced("turn")).cast("binary")) % 20
+    text = F.when(kind == 1, "").when(kind == 2, F.regexp_replace(spaced("text"), "[.!?]", "")).otherwise(spaced("text"))
+    times = F.when(kind == 0, 0).when(kind == 3, 2).otherwise(1)
+    return conversations.select(
+        "conv_id", "turn", F.when(kind == 4, "user").otherwise(spaced("role")).alias("role"), text.alias("text"), F.explode(F.array_repeat(F.lit(0), times))
+    ).drop("col")
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    whole = _table(spark, sf_dir, "conversations")
+    rows = damaged(whole)
+    plans = settle(conversation_repair.plans(rows))
+    hashed = conversation_repair.repaired_digests(rows, plans)
+    found = plans.join(hashed.withColumnRenamed("conv", "own"), F.col("conv").eqNullSafe(F.col("own")))
+    every = whole.select(F.col("conv_id").cast("long")).distinct()
+    counts = [F.coalesce(c, F.lit(0)).alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return every.join(found, every["conv_id"].eqNullSafe(F.col("conv")), "left").select(
+        "conv_id",
+        *counts,
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
@@ -99,6 +150,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_suffix_array_dedup": op8_suffix_array_dedup,
     "op9_toxicity": op9_toxicity,
     "op10_pii": op10_pii,
+    "op11_fill_in_middle": op11_fill_in_middle,
+    "op12_token_files": op12_token_files,
+    "op13_conversation_repair": op13_conversation_repair,
 }
 
 #: Fixed values of the queries: word pattern, thresholds, weights and shares.
@@ -179,6 +233,89 @@ cut AS (
 numbered AS (SELECT *, sum(new) OVER (PARTITION BY doc_id ORDER BY start) AS span FROM cut)
 SELECT doc_id, min(start)::BIGINT AS start_word, (max(start) + 50)::BIGINT AS end_word, (max(start) + 50 - min(start))::BIGINT AS n_words
 FROM numbered GROUP BY doc_id, span""",
+    "op11_fill_in_middle": r"""
+WITH cut AS (
+  SELECT doc_id, coalesce(text, '') AS text,
+    regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS tokens,
+    sha256('42:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+drawn AS (
+  SELECT doc_id, text, tokens, len(tokens)::BIGINT AS n, ('0x' || substr(h, 1, 8))::UBIGINT::BIGINT AS h1, ('0x' || substr(h, 9, 8))::UBIGINT::BIGINT AS h2,
+    ('0x' || substr(h, 17, 8))::UBIGINT::BIGINT AS h3, ('0x' || substr(h, 25, 8))::UBIGINT::BIGINT AS h4 FROM cut),
+placed AS (
+  SELECT doc_id, text, tokens, n, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+    CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 50 THEN 'plain'
+      WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM drawn),
+parts AS (
+  SELECT doc_id, text, n, form, array_to_string(tokens[1:a], '') AS p, array_to_string(tokens[a + 1:b], '') AS m, array_to_string(tokens[b + 1:n], '') AS s
+  FROM placed),
+made AS (
+  SELECT *, CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+    ELSE '<S>' || s || '<P>' || p || '<M>' || m END AS output FROM parts)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+  sha256(output) AS output_sha256, CASE WHEN form = 'plain' THEN sha256(output) ELSE sha256(p || m || s) END AS restored_sha256
+FROM made""",
+    "op13_conversation_repair": r"""
+WITH RECURSIVE remainders AS (
+  SELECT list_transform(range(256), lambda n: list_reduce([n] || range(8),
+    lambda x, k: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)) AS t),
+keyed AS (
+  SELECT *, [4294967295] || list_transform(string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''),
+    lambda c: ascii(c)::BIGINT) AS bytes FROM conversations),
+kinds AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    xor(list_reduce(bytes, lambda x, y: xor(x >> 8, t[(xor(x, y) & 255) + 1])), 4294967295) % 20 AS kind
+  FROM keyed CROSS JOIN remainders),
+damaged AS (
+  SELECT conv_id, turn, CASE kind WHEN 4 THEN 'user' ELSE role END AS role,
+    CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(range(CASE kind WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy
+  FROM kinds),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text), copy) AS i,
+    row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS nth, rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS trimmed
+  FROM damaged),
+coded AS (
+  SELECT *, left(role, 1) AS initial, CASE WHEN trimmed = '' THEN 'b' WHEN nth > 1 THEN 'd' WHEN right(trimmed, 1) NOT IN ('.', '!', '?') THEN 't' ELSE '-' END AS fault
+  FROM ranked),
+inserts(q, q2, c, a, r) AS (VALUES
+  (0, 0, 0, '', ''), (1, 1, 0, '', ''), (2, 2, 0, '', ''), (3, 3, 0, '', ''),
+  (0, 2, 3, 'I', 'user:' || chr(10)), (1, 2, 3, 'I', 'user:' || chr(10)), (3, 2, 3, 'I', 'user:' || chr(10)), (2, 3, 3, 'I', 'assistant:' || chr(10)),
+  (0, 3, 6, 'II', 'user:' || chr(10) || 'assistant:' || chr(10)), (1, 3, 6, 'II', 'user:' || chr(10) || 'assistant:' || chr(10))),
+wants(q, w) AS (VALUES (0, 'u'), (1, 'u'), (2, 'a'), (3, 'u')),
+least_cost AS (
+  SELECT k.conv_id, 0::BIGINT AS i, x.q2 AS q, {'c': x.c, 'a': x.a, 'r': x.r} AS best
+  FROM (SELECT DISTINCT conv_id FROM coded) k CROSS JOIN (SELECT * FROM inserts WHERE q = 0) x
+  UNION ALL
+  SELECT conv_id, i, q, best FROM (
+    SELECT s.conv_id, s.i, x.q2 AS q, min({'c': s.c + x.c, 'a': s.a || x.a, 'r': s.r || x.r}) AS best
+    FROM (
+      SELECT p.conv_id, k.i, p.q, p.best.c + 4 AS c, p.best.a || 'D' AS a, p.best.r AS r
+      FROM least_cost p JOIN coded k ON p.conv_id IS NOT DISTINCT FROM k.conv_id AND k.i = p.i + 1
+      UNION ALL
+      SELECT p.conv_id, k.i, CASE WHEN k.initial = 's' THEN 1 WHEN w.w = 'u' THEN 2 ELSE 3 END, p.best.c + CASE k.fault WHEN 't' THEN 3 ELSE 0 END,
+        p.best.a || 'K', p.best.r || k.role || ':' || k.text || chr(10)
+      FROM least_cost p JOIN wants w USING (q) JOIN coded k ON p.conv_id IS NOT DISTINCT FROM k.conv_id AND k.i = p.i + 1
+      WHERE k.fault IN ('t', '-') AND (k.initial = w.w OR (p.q = 0 AND k.initial = 's'))
+      UNION ALL
+      SELECT p.conv_id, k.i, CASE WHEN w.w = 'u' THEN 2 ELSE 3 END, p.best.c + CASE k.fault WHEN 't' THEN 6 ELSE 3 END,
+        p.best.a || 'R', p.best.r || CASE w.w WHEN 'u' THEN 'user' ELSE 'assistant' END || ':' || k.text || chr(10)
+      FROM least_cost p JOIN wants w USING (q) JOIN coded k ON p.conv_id IS NOT DISTINCT FROM k.conv_id AND k.i = p.i + 1
+      WHERE k.fault IN ('t', '-')) s
+    JOIN inserts x ON s.q = x.q GROUP BY s.conv_id, s.i, x.q2)),
+neighbours AS (SELECT *, lead(initial) OVER (PARTITION BY conv_id ORDER BY i) AS next FROM coded),
+counts AS (
+  SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps,
+    count(*) FILTER (fault = 'b') AS blank, count(*) FILTER (fault = 'd') AS duplicate, count(*) FILTER (fault = 't') AS truncated,
+    count(*) FILTER (next IS NOT NULL AND initial || next NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM neighbours GROUP BY conv_id),
+done AS (
+  SELECT c.conv_id, min(l.best) AS best FROM counts c JOIN least_cost l ON l.conv_id IS NOT DISTINCT FROM c.conv_id AND l.i = c.n AND l.q IN (0, 3)
+  GROUP BY c.conv_id)
+SELECT d.conv_id, coalesce(c.gaps, 0)::BIGINT AS gaps, coalesce(c.blank, 0)::BIGINT AS blank, coalesce(c.duplicate, 0)::BIGINT AS duplicate,
+  coalesce(c.truncated, 0)::BIGINT AS truncated, coalesce(c.illegal, 0)::BIGINT AS illegal, coalesce(b.best.c, 0)::BIGINT AS cost,
+  coalesce(b.best.a, '') AS audit, sha256(coalesce(b.best.r[1:length(b.best.r) - 1], '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) d
+LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM d.conv_id LEFT JOIN done b ON b.conv_id IS NOT DISTINCT FROM d.conv_id""",
 }
 
 
