@@ -51,7 +51,9 @@ BLOCK = 1 << 15
 #: Ids a reading task takes at most, except for one longer document.
 RANGE_IDS = 1 << 24
 #: Distinct words a worker remembers with their ids before it starts anew. Speed only.
-MEMO_WORDS = 1_000_000
+MEMO_WORDS = 400_000
+#: Bytes of text that are encoded at once, except for one longer text. Memory only.
+SLICE_BYTES = 1 << 22
 
 
 # ---- bits ---------------------------------------------------------------------------
@@ -426,6 +428,17 @@ def vocabulary_size(path: str) -> int:
     return Tokenizer.from_file(path).get_vocab_size(with_added_tokens=True)
 
 
+def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches cut into stretches of rows whose texts have ``SLICE_BYTES`` or are one."""
+    for batch in batches:
+        sizes = pc.binary_length(batch.column("text")).to_numpy(zero_copy_only=False)
+        before, first = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)]), 0
+        while first < batch.num_rows:
+            last = max(int(np.searchsorted(before, before[first] + SLICE_BYTES, side="right")) - 1, first + 1)
+            yield batch.slice(first, last - first)
+            first = last
+
+
 def encoded(
     docs: DataFrame, tokenizer: str, end_id: int | None, files: int | None = None, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -435,7 +448,7 @@ def encoded(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(tokenizer)
-        for batch in batches:
+        for batch in slices(batches):
             texts = batch.column("text")
             lengths, ids = own.encode(texts if isinstance(texts, pa.StringArray) else texts.cast(pa.string()))
             if end_id is not None:
