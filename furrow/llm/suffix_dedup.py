@@ -117,49 +117,72 @@ def _beside(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield held
 
 
-def _runs(within: bool):
-    """Of rows sorted by key and id those of a run that repeats. A row of the first or last
-    run of a task is given as open, to be settled with the other tasks' ends."""
+JUDGED = "id long, key long, place int, open boolean, high long, n long"
 
-    def judged(run: pd.DataFrame, open_end: bool) -> pd.DataFrame:
-        repeats = (run["id"].iloc[0] != run["id"].iloc[-1]) or (within and len(run) > 1)
-        return run.assign(open=open_end and not repeats) if repeats or open_end else run.iloc[:0].assign(open=False)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        # Per task: the key of its first run, the key and ids of the run in hand.
-        first = last = None
-        held: list[pd.DataFrame] = []
+class _Run:
+    """The run of equal keys in hand: its ids and number, and its rows until it repeats."""
+
+    def __init__(self, rows: pd.DataFrame, first: bool):
+        self.key, self.low, self.first = rows["key"].iloc[0], rows["id"].iloc[0], first
+        self.high, self.n, self.held = self.low, 0, []
+
+    def add(self, rows: pd.DataFrame, within: bool) -> Iterator[pd.DataFrame]:
+        """Takes further rows; gives on all rows there are once the run is known to repeat."""
+        self.high, self.n = rows["id"].iloc[-1], self.n + len(rows)
+        self.held.append(rows)
+        if self.repeats(within):
+            yield from (r.assign(open=False, high=pd.NA, n=pd.NA) for r in self.held)
+            self.held = []
+
+    def repeats(self, within: bool) -> bool:
+        return self.low != self.high or (within and self.n > 1)
+
+    def close(self, last: bool) -> Iterator[pd.DataFrame]:
+        """At an end of the task: the rows left, open, and one row that sums the run up."""
+        if self.first or last:
+            yield from (r.assign(open=True, high=pd.NA, n=pd.NA) for r in self.held)
+            yield pd.DataFrame({"id": [self.low], "key": [self.key], "place": [-1], "open": [True], "high": [self.high], "n": [self.n]})
+
+
+def _runs(within: bool):
+    """Of rows sorted by key and id those of a run that repeats. The first and the last run
+    of a task may go on in other tasks: each is summed up in one row (place -1: key, least
+    and greatest id, number), and its rows are open if they do not repeat here."""
+
+    def judged(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        run: _Run | None = None
         for batch in batches:
             key, ids = batch["key"].to_numpy(), batch["id"].to_numpy()
             if not len(key):
                 continue
-            cut = np.flatnonzero(key[1:] != key[:-1]) + 1
-            first = key[0] if first is None else first
-            if held and last == key[0]:
-                end = cut[0] if len(cut) else len(key)
-                held.append(batch.iloc[:end])
-                begin = end
-            else:
-                begin = 0
-            if begin == len(key):
-                continue
-            if held:
-                yield judged(pd.concat(held), last == first)
-                held = []
-            starts = np.concatenate([[begin], cut[cut > begin]])
+            starts = np.concatenate([[0], np.flatnonzero(key[1:] != key[:-1]) + 1])
             ends = np.append(starts[1:], len(key))
-            last = key[starts[-1]]
-            held = [batch.iloc[starts[-1] :]]
-            whole = slice(0, len(starts) - 1)
-            s, e = starts[whole], ends[whole]
+            head = batch.iloc[: ends[0]]
+            if run is None:
+                run = _Run(head, first=True)
+            elif run.key != key[0]:
+                yield from run.close(last=False)
+                run = _Run(head, first=False)
+            yield from run.add(head, within)
+            if len(starts) == 1:
+                continue
+            yield from run.close(last=False)
+            s, e = starts[1:-1], ends[1:-1]
             repeats = (ids[s] != ids[e - 1]) | (within & (e - s > 1))
-            opened = key[s] == first
-            keep = np.repeat(repeats | opened, e - s)
-            yield batch.iloc[begin : starts[-1]][keep].assign(open=np.repeat(opened & ~repeats, e - s)[keep])
-        if held:
-            yield judged(pd.concat(held), True)
+            inner = batch.iloc[ends[0] : starts[-1]][np.repeat(repeats, e - s)]
+            if len(inner):
+                yield inner.assign(open=False, high=pd.NA, n=pd.NA)
+            run = _Run(batch.iloc[starts[-1] :], first=False)
+            yield from run.add(batch.iloc[starts[-1] :], within)
+        if run is not None:
+            yield from run.close(last=True)
 
-    return run
+    def typed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in judged(batches):
+            yield rows.astype({"high": "Int64", "n": "Int64"})
+
+    return typed
 
 
 def repeated_passages(
@@ -193,13 +216,12 @@ def repeated_passages(
     met = settle(ordered.mapInPandas(_beside, "id long, key long, place int").groupBy("id").agg(F.collect_set("place").alias("at")))
     windows = base.join(met, "id").select("id", "text", "at").mapInPandas(_windows(window, least_words), shape).select("id", exploded)
     judged = settle(
-        settle(windows).repartitionByRange(*order).sortWithinPartitions(*order).mapInPandas(_runs(within), "id long, key long, place int, open boolean")
+        settle(windows).repartitionByRange(*order).sortWithinPartitions(*order).mapInPandas(_runs(within), JUDGED)
     )
-    # Open runs are the first and last of a task: at most two keys a task to sum up.
-    opened = broadcast_if_small(settle(judged.where("open").select("key").distinct()))
-    ends = judged.join(opened, "key").groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high"), F.count("*").alias("n"))
-    crossing = ends.where((F.col("low") != F.col("high")) | (F.lit(within) & (F.col("n") > 1))).select("key")
-    open_rows = judged.where("open").join(crossing, "key", "left_semi").select("id", "place")
+    # At most two sums a task: those of one key are one run that crosses tasks.
+    sums = judged.where("place < 0").groupBy("key").agg(F.min("id").alias("low"), F.max("high").alias("high"), F.sum("n").alias("n"))
+    crossing = settle(sums.where((F.col("low") != F.col("high")) | (F.lit(within) & (F.col("n") > 1))).select("key"))
+    open_rows = judged.where("open and place >= 0").join(broadcast_if_small(crossing), "key", "left_semi").select("id", "place")
     repeats = judged.where("not open").select("id", "place").union(open_rows)
     spans = repeats.groupBy("id").agg(F.array_sort(F.collect_set("place")).alias("places")).mapInPandas(
         _merge(least_words), "doc_id long, start_word long, end_word long, n_words long"
