@@ -17,7 +17,7 @@ Documents are range-shuffled by id, so the order of the files is the order of th
 Texts are encoded after that shuffle, a batch at a time: its distinct words are found by
 Arrow, words that this worker has not met yet go to the tokenizer, and the batch's ids
 are gathered from both. That is exact where no token crosses white space, or the place
-between an ASCII letter or digit and ASCII punctuation; ``word_bounded`` says whether a
+between a letter or digit and ASCII punctuation; ``word_bounded`` says whether a
 tokenizer is of that kind, and for any other whole texts are encoded.
 """
 
@@ -51,9 +51,9 @@ BLOCK = 1 << 15
 #: Ids a reading task takes at most, except for one longer document.
 RANGE_IDS = 1 << 24
 #: Distinct words a worker remembers with their ids before it starts anew. Speed only.
-MEMO_WORDS = 400_000
+MEMO_WORDS = 1_000_000
 #: Bytes of text that are encoded at once, except for one longer text. Memory only.
-SLICE_BYTES = 1 << 22
+SLICE_BYTES = 1 << 23
 
 
 # ---- bits ---------------------------------------------------------------------------
@@ -322,9 +322,9 @@ class PackedIds(DataSource):
 
 # ---- encoding -----------------------------------------------------------------------
 
-#: Where a space may be put in without a change of the tokens: behind an ASCII letter or
-#: digit, before ASCII punctuation. Not in texts that may name a special token.
-CUT, CUT_TO = r"([0-9a-z])([!-/:-@\[-`{-~])", r"\1 \2"
+#: Where a space may be put in without a change of the tokens: behind a letter or digit,
+#: before ASCII punctuation. Not in texts that may name a special token.
+CUT, CUT_TO = r"([\p{L}\p{N}])([!-/:-@\[-`{-~])", r"\1 \2"
 SPECIAL = "<|"
 
 
@@ -353,11 +353,17 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as held:
-            self.by_word = word_bounded(json.load(held))
+            config = json.load(held)
+        self.by_word = word_bounded(config)
+        # Which ids end a word, for words that are encoded many at once.
+        suffix = config["model"].get("end_of_word_suffix")
+        self.ends_word = np.zeros(self.tokenizer.get_vocab_size(with_added_tokens=True), dtype=bool)
+        if suffix:
+            self.ends_word[[i for token, i in self.tokenizer.get_vocab().items() if token.endswith(suffix)]] = True
         self.forget()
 
     def forget(self) -> None:
-        self.place: dict[str, int] = {}
+        self.words = pa.array([], pa.string())
         self.flat = np.empty(1 << 16, dtype=np.int32)
         self.ends = np.zeros(1 << 14, dtype=np.int64)
 
@@ -367,34 +373,50 @@ class Encoder:
         return np.array([len(f) for f in found], dtype=np.int64), np.concatenate([np.empty(0, dtype=np.int32), *found])
 
     def learn(self, words: list[str]) -> None:
-        for at in range(0, len(words), 1_000):
-            some = words[at : at + 1_000]
-            found = self.tokenizer.encode(some, is_pretokenized=True, add_special_tokens=False)
-            lengths = np.bincount(np.array(found.word_ids, dtype=np.int64), minlength=len(some))
-            n, end = len(self.place), int(self.ends[len(self.place)])
-            if end + len(found.ids) > len(self.flat):
-                self.flat = np.concatenate([self.flat, np.empty(len(self.flat) + len(found.ids), dtype=np.int32)])
-            if n + len(some) >= len(self.ends):
-                self.ends = np.concatenate([self.ends, np.zeros(len(self.ends) + len(some), dtype=np.int64)])
-            self.flat[end : end + len(found.ids)] = found.ids
-            self.ends[n + 1 : n + 1 + len(some)] = end + np.cumsum(lengths)
-            self.place.update(zip(some, range(n, n + len(some)), strict=True))
+        """Adds words that are not known yet."""
+        letters = [w for w in words if w.isalpha()]
+        others = [w for w in words if not w.isalpha()]
+        known = len(self.words)
+        for group, of_letters in ((letters, True), (others, False)):
+            for at in range(0, len(group), 1_000):
+                some = group[at : at + 1_000]
+                lengths, ids = self.ids_of(some, of_letters)
+                end = int(self.ends[known])
+                if end + len(ids) > len(self.flat):
+                    self.flat = np.concatenate([self.flat, np.empty(len(self.flat) + len(ids), dtype=np.int32)])
+                if known + len(some) >= len(self.ends):
+                    self.ends = np.concatenate([self.ends, np.zeros(len(self.ends) + len(some), dtype=np.int64)])
+                self.flat[end : end + len(ids)] = ids
+                self.ends[known + 1 : known + 1 + len(some)] = end + np.cumsum(lengths)
+                known += len(some)
+        self.words = pa.concat_arrays([self.words, pa.array(letters + others, pa.string())])
+
+    def ids_of(self, words: list[str], of_letters: bool) -> tuple[np.ndarray, np.ndarray]:
+        """Lengths and ids of words, each encoded by itself. Words of letters alone are one
+        pre-token each, so they may share a text if the marks of word ends bear that out."""
+        if of_letters:
+            ids = np.array(self.tokenizer.encode(" ".join(words), add_special_tokens=False).ids, dtype=np.int32)
+            last = np.flatnonzero(self.ends_word[ids])
+            if len(last) == len(words) and last[-1] == len(ids) - 1:
+                return np.diff(last, prepend=-1), ids
+        found = self.tokenizer.encode(words, is_pretokenized=True, add_special_tokens=False)
+        return np.bincount(np.array(found.word_ids, dtype=np.int64), minlength=len(words)), np.array(found.ids, dtype=np.int32)
 
     def by_words(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Lengths and ids of texts, gathered from those of their words."""
         words = pc.ascii_split_whitespace(pc.replace_substring_regex(pc.ascii_lower(texts), CUT, CUT_TO))
         coded = words.flatten().dictionary_encode()
-        distinct = coded.dictionary.to_pylist()
-        if len(self.place) > MEMO_WORDS:
+        if len(self.words) > MEMO_WORDS:
             self.forget()
         # Text of nothing but white space gives an empty word.
-        self.learn([w for w in distinct if w not in self.place])
-        at = np.fromiter(map(self.place.__getitem__, distinct), dtype=np.int64, count=len(distinct))[coded.indices.to_numpy()]
-        first, length = self.ends[at], self.ends[at + 1] - self.ends[at]
-        ends = np.cumsum(length)
-        total = int(ends[-1]) if len(ends) else 0
-        ids = self.flat[np.repeat(first - (ends - length), length) + np.arange(total)]
-        borders = np.concatenate([[0], ends])[np.asarray(words.offsets) - words.offsets[0].as_py()]
+        unknown = pc.invert(pc.is_in(coded.dictionary, value_set=self.words))
+        self.learn(coded.dictionary.filter(unknown).to_pylist())
+        at = pc.index_in(coded.dictionary, value_set=self.words).to_numpy(zero_copy_only=False)[coded.indices.to_numpy()]
+        known = len(self.words)
+        lists = pa.ListArray.from_arrays(pa.array(self.ends[: known + 1].astype(np.int32)), pa.array(self.flat[: int(self.ends[known])]))
+        found = lists.take(pa.array(at))
+        ids = found.flatten().to_numpy(zero_copy_only=False)
+        borders = np.asarray(found.offsets)[np.asarray(words.offsets) - words.offsets[0].as_py()].astype(np.int64)
         return np.diff(borders), ids
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
