@@ -51,9 +51,9 @@ BLOCK = 1 << 15
 #: Ids a reading task takes at most, except for one longer document.
 RANGE_IDS = 1 << 24
 #: Distinct words a worker remembers with their ids before it starts anew. Speed only.
-MEMO_WORDS = 1_000_000
+MEMO_WORDS = 400_000
 #: Bytes of text that are encoded at once, except for one longer text. Memory only.
-SLICE_BYTES = 1 << 23
+SLICE_BYTES = 1 << 21
 
 
 # ---- bits ---------------------------------------------------------------------------
@@ -459,6 +459,8 @@ def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             last = max(int(np.searchsorted(before, before[first] + SLICE_BYTES, side="right")) - 1, first + 1)
             yield batch.slice(first, last - first)
             first = last
+        # Arrow keeps what it freed for itself; other workers of the executor need it too.
+        pa.default_memory_pool().release_unused()
 
 
 def encoded(
