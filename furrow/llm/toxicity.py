@@ -22,7 +22,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from furrow.llm.common import broadcast_if_small, code_points, narrow, segments, shingle_set
@@ -38,6 +38,11 @@ COPY, SKETCH = 0.8, 32
 #: A learned term is at least so much likelier (log) in toxic than in clean texts, and
 #: so far from chance (likelihood ratio statistic), as very many terms are tried.
 LEAST_ODDS, LEAST_RATIO = 2.5, 30.0
+#: A term must look so both in the texts it is chosen from and in the others: training
+#: texts are dealt into two halves, and each half must bear out what both show together.
+HALF_SUPPORT, HALF_ODDS = 2, 1.5
+#: A term is dense in a text if it stands there once in so many words, else rare.
+DENSE = 200
 #: Terms of so many letters may be matched with one error, with two (or a transposition).
 ONE_ERROR, TWO_ERRORS = 5, 8
 #: Known states of the automaton beyond which they are forgotten and worked out anew.
@@ -202,18 +207,27 @@ def context_of(text: str, starts: np.ndarray, ends: np.ndarray, w: int) -> str:
     return "person" if words & TO_PERSON else "plain"
 
 
-def hits(text: str | None, automaton: Automaton) -> set[tuple[int, int, str]]:
-    """The distinct (term, errors, context) of a text."""
+def hits(text: str | None, automaton: Automaton, rejecting: bool = True) -> dict[tuple[int, int], tuple[str, set[str]]]:
+    """By (term, errors): dense or rare in the text, and the contexts it stands in.
+
+    A beginning that was learned from longer words is not hit by itself alone."""
     if not text:
-        return set()
+        return {}
     text = text.lower()
     c = code_points(text)
     starts, ends = word_spans(c)
-    return {
-        (t, e, context_of(text, starts, ends, w))
-        for w, t, e in automaton.run(c, starts, ends)
-        if not e or text[starts[w] : ends[w]] not in automaton.rejected
-    }
+    found: dict[tuple[int, int], list[str]] = {}
+    for w, t, e in automaton.run(c, starts, ends):
+        term = automaton.terms[t]
+        if term.endswith("*") and ends[w] - starts[w] < len(term):
+            continue
+        if not e or not rejecting or text[starts[w] : ends[w]] not in automaton.rejected:
+            found.setdefault((t, e), []).append(context_of(text, starts, ends, w))
+    return {key: (density(len(contexts), len(starts)), set(contexts)) for key, contexts in found.items()}
+
+
+def density(times: int, words: int) -> str:
+    return "dense" if times * DENSE >= words else "rare"
 
 
 def _misspelled(automaton):
@@ -243,18 +257,24 @@ def rejected_words(training: DataFrame, automaton: Automaton, n_toxic: int, n_cl
 
 
 def _terms(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """In how many texts of this task each word and beginning stands."""
-    counts: Counter = Counter()
+    """In how many texts of this task each word and beginning is dense, by half."""
+    counts: tuple[Counter, Counter] = (Counter(), Counter())
     for batch in batches:
-        for text in batch["text"]:
+        for text, half in zip(batch["text"], batch["half"], strict=True):
             text = (text or "").lower()
             starts, ends = word_spans(code_points(text))
-            words = {text[a:b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)}
-            counts.update({w[:k] + "*" for w in words for k in STEMS if len(w) > k} | words)
-    terms = list(counts)
-    for at in range(0, len(terms), 100_000):
-        own = terms[at : at + 100_000]
-        yield pd.DataFrame({"term": own, "n": [counts[t] for t in own]})
+            times: Counter = Counter(text[a:b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True))
+            for w, n in list(times.items()):
+                for k in STEMS:
+                    if len(w) > k:
+                        times[w[:k] + "*"] += n
+            least = len(starts) / DENSE
+            counts[half].update(t for t, n in times.items() if n >= least)
+    for half in (0, 1):
+        terms = list(counts[half])
+        for at in range(0, len(terms), 100_000):
+            own = terms[at : at + 100_000]
+            yield pd.DataFrame({"term": own, "half": half, "n": [counts[half][t] for t in own]})
 
 
 def _smallest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -286,26 +306,35 @@ def _without_copies(_: object, rows: pd.DataFrame) -> Iterator[pd.DataFrame]:
     yield rows.iloc[kept][["text", "toxic"]]
 
 
-def learn_terms(training: DataFrame, n_toxic: int, n_clean: int) -> list[str]:
-    """The fixed insults and all terms that mark toxic texts, the best first. Whole
-    words stay beside their beginnings, as longer terms tolerate more errors; a longer
-    beginning is left out.
+def learn_terms(training: DataFrame, sizes: dict[tuple[int, int], int]) -> list[str]:
+    """The fixed insults and all terms that mark toxic texts, the best first. ``sizes``: texts
+    by label and half. A longer term that begins like a chosen beginning is left out.
 
     Spark counts and tests the terms; only those that pass reach the driver."""
 
     def counted(label: int) -> DataFrame:
-        return training.where(F.col("toxic") == label).select("text").mapInPandas(_terms, "term string, n long")
+        return training.where(F.col("toxic") == label).select("text", "half").mapInPandas(_terms, "term string, half int, n long")
+
+    def by_half(rows: DataFrame, name: str) -> DataFrame:
+        return rows.groupBy("term").agg(*[F.sum(F.when(F.col("half") == h, F.col("n")).otherwise(0)).alias(f"{name}{h}") for h in (0, 1)])
+
+    def odds_of(a: Column, b: Column, n_toxic: int, n_clean: int) -> Column:
+        return F.log((a + 0.5) / (n_toxic + 1.0)) - F.log((b + 0.5) / (n_clean + 1.0))
 
-    toxic = settle(counted(1).groupBy("term").agg(F.sum("n").alias("a")).where(F.col("a") >= SUPPORT))
+    toxic = settle(by_half(counted(1), "a").where(F.col("a0") + F.col("a1") >= SUPPORT))
     # A clean text's terms are dropped before the shuffle unless enough toxic ones hold them.
-    clean = counted(0).join(broadcast_if_small(toxic.select("term")), "term", "left_semi").groupBy("term").agg(F.sum("n").alias("b"))
+    clean = by_half(counted(0).join(broadcast_if_small(toxic.select("term")), "term", "left_semi"), "b")
+    known = toxic.join(clean, "term", "left").select("term", "a0", "a1", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("b0", "b1")])
+    n_toxic, n_clean = (sizes.get((label, 0), 0) + sizes.get((label, 1), 0) for label in (1, 0))
     rate = (n_toxic + 0.5) / (n_toxic + n_clean + 1.0)
-    a, b = F.col("a"), F.col("b")
-    odds = F.log((a + 0.5) / (n_toxic + 1.0)) - F.log((b + 0.5) / (n_clean + 1.0))
+    a, b = F.col("a0") + F.col("a1"), F.col("b0") + F.col("b1")
+    odds = odds_of(a, b, n_toxic, n_clean)
     ratio = 2 * (a * F.log(a / ((a + b) * rate)) + F.when(b > 0, b * F.log(b / ((a + b) * (1 - rate)))).otherwise(0.0))
+    borne_out = [
+        (F.col(f"a{h}") >= HALF_SUPPORT) & (odds_of(F.col(f"a{h}"), F.col(f"b{h}"), sizes.get((1, h), 0), sizes.get((0, h), 0)) >= HALF_ODDS) for h in (0, 1)
+    ]
     passed = (
-        toxic.join(clean, "term", "left")
-        .select("term", "a", F.coalesce("b", F.lit(0)).alias("b"))
+        known.where(borne_out[0] & borne_out[1])
         .select("term", (odds * F.sqrt(a)).alias("strength"), odds.alias("odds"), ratio.alias("ratio"))
         .where((F.col("odds") >= LEAST_ODDS) & (F.col("ratio") >= LEAST_RATIO))
         .collect()
@@ -318,7 +347,7 @@ def chosen_terms(ranked: list[tuple[float, int, str]]) -> list[str]:
     words, begun, stems = set(chosen), {t[:k] for t in chosen for k in range(1, len(t) + 1)}, set()
     for _, _, term in sorted(ranked):
         word = term.rstrip("*")
-        if word in words or (term.endswith("*") and (word in begun or any(word[:k] in stems for k in range(1, len(word))))):
+        if word in words or any(word[:k] in stems for k in range(1, len(word))) or (term.endswith("*") and word in begun):
             continue
         chosen.append(term)
         words.add(word)
@@ -330,18 +359,18 @@ def chosen_terms(ranked: list[tuple[float, int, str]]) -> list[str]:
 
 class Model(NamedTuple):
     automaton: Automaton
-    #: Log-odds of (term, errors), of a context, of a text without a term as it is, of any text.
-    weights: dict[tuple[int, int], float]
+    #: Log-odds of (term, errors, density), of a context, of a text without a term as it is, of any text.
+    weights: dict[tuple[int, int, str], float]
     contexts: dict[str, float]
     silent: float
     prior: float
 
     def score(self, text: str | None) -> float:
         best: dict[int, float] = {}
-        for term, errors, context in hits(text, self.automaton):
-            weight = self.weights.get((term, errors), 0.0)
+        for (term, errors), (dense, contexts) in hits(text, self.automaton).items():
+            weight = self.weights.get((term, errors, dense), 0.0)
             if weight >= LEAST_WEIGHT:
-                best[term] = max(best.get(term, -99.0), weight + self.contexts[context])
+                best[term] = max(best.get(term, -99.0), weight + max(self.contexts[c] for c in contexts))
         evidence = sum(best.values()) if best else self.silent
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, self.prior + evidence))))
 
@@ -365,9 +394,10 @@ def fit(chosen: DataFrame, sizes: dict[int, int], text_col: str = "text", label_
     # else the chance words of a much copied toxic text would pass for terms.
     keyed = rows.mapInPandas(_smallest, "text string, toxic int, least string")
     picked = settle(segments(keyed, "least", _without_copies, "text string, toxic int"))
-    n = {r["toxic"]: r["n"] for r in picked.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    n1, n0 = n.get(1, 0), n.get(0, 0)
-    terms = learn_terms(picked, n1, n0)
+    halved = picked.withColumn("half", F.pmod(F.xxhash64("text", F.lit(3)), F.lit(2)).cast("int"))
+    n = {(r["toxic"], r["half"]): r["n"] for r in halved.groupBy("toxic", "half").agg(F.count("*").alias("n")).collect()}
+    n1, n0 = (n.get((label, 0), 0) + n.get((label, 1), 0) for label in (1, 0))
+    terms = learn_terms(halved, n)
     automaton = Automaton(terms)
     automaton.rejected = rejected_words(picked, automaton, n1, n0)
     shared = chosen.sparkSession.sparkContext.broadcast(automaton)
@@ -377,8 +407,11 @@ def fit(chosen: DataFrame, sizes: dict[int, int], text_col: str = "text", label_
         for batch in batches:
             for text, label in zip(batch["text"], batch["toxic"], strict=True):
                 found = hits(text, shared.value)
-                own = {f"{t}:{e}" for t, e, _ in found} | {c for _, _, c in found}
-                own |= set() if any(not e for _, e, _ in found) else {"silent"}
+                own = {f"{t}:{e}:{dense}" for (t, e), (dense, _) in found.items()} | {c for _, contexts in found.values() for c in contexts}
+                # The rejected words were found in these very texts; without them an error would
+                # seem better evidence here than in a new text.
+                own |= {f"{t}:{e}:{dense}:any" for (t, e), (dense, _) in hits(text, shared.value, False).items() if e}
+                own |= set() if any(not e for _, e in found) else {"silent"}
                 counts.update((f, int(label)) for f in own)
         if counts:
             yield pd.DataFrame([(f, label, c) for (f, label), c in counts.items()], columns=["feature", "toxic", "n"])
@@ -396,9 +429,14 @@ def fit(chosen: DataFrame, sizes: dict[int, int], text_col: str = "text", label_
     weights = {}
     for t, term in enumerate(terms):
         fixed = 5.0 if term in INSULTS else 0.0
-        for e in range(errors_of(term.rstrip("*")) + 1):
-            # Unseen typing errors of a term are worth nearly as much as the term.
-            weights[t, e] = odds(f"{t}:{e}", fixed if e == 0 else weights[t, 0] - e, 2.0)
+        for dense in ("dense", "rare"):
+            for e in range(errors_of(term.rstrip("*")) + 1):
+                # Unseen typing errors of a fixed term are worth nearly as much as the term;
+                # those of a learned one count for what the labels say of all words so near.
+                if e and not fixed:
+                    weights[t, e, dense] = odds(f"{t}:{e}:{dense}:any", 0.0, 5.0)
+                else:
+                    weights[t, e, dense] = odds(f"{t}:{e}:{dense}", fixed if e == 0 else weights[t, 0, dense] - e, 2.0)
     # A context's odds among texts with hits, beside those of all texts with hits.
     with_hits = odds("plain") if (("plain", 1) in seen or ("plain", 0) in seen) else 0.0
     contexts = {"plain": 0.0}
