@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from functools import reduce
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
@@ -38,13 +39,17 @@ def fit_clusters(scaled: DataFrame, k: int = K, restarts: int = RESTARTS):
     return min(models, key=lambda m: m.summary.trainingCost)
 
 
-def search_k(scaled: DataFrame, ks=K_RANGE, restarts: int = RESTARTS) -> DataFrame:
-    """Within-cluster sum of squares and silhouette for each cluster count."""
-    silhouette = ClusteringEvaluator()
-    rows = []
-    for k in ks:
+def search_k(scaled: DataFrame, ks=K_RANGE, restarts: int = RESTARTS, at_once: int = 4) -> DataFrame:
+    """Within-cluster sum of squares and silhouette for each cluster count; so many
+    counts are fitted ``at_once``, as jobs side by side."""
+
+    def one(k: int) -> tuple[int, float, float]:
         model = fit_clusters(scaled, k, restarts)
-        rows.append((k, float(model.summary.trainingCost), float(silhouette.evaluate(model.transform(scaled)))))
+        return k, float(model.summary.trainingCost), float(ClusteringEvaluator().evaluate(model.transform(scaled)))
+
+    with ThreadPoolExecutor(max_workers=at_once) as pool:
+        jobs = [pool.submit(inheritable_thread_target(scaled.sparkSession)(one), k) for k in ks]
+        rows = [job.result() for job in jobs]
     return scaled.sparkSession.createDataFrame(rows, "k int, inertia double, silhouette double")
 
 

@@ -9,17 +9,27 @@ from functools import reduce
 from pyspark.ml import Model, Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import DecisionTreeRegressor, LinearRegression, RandomForestRegressor
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from furrow.operators.evaluation import LABEL, regression_metrics
-from furrow.operators.features import FeatureStats, check_feature_order
+from furrow.operators.features import FeatureStats
 from furrow.sources.files import now
 
 SEED = 42
 DEEPEST = 30  # MLlib's limit
-# The forests that are compared (trees, depth).
-FOREST_GRID = ((100, 8), (200, 12), (200, DEEPEST))
+#: Candidate thresholds of a feature in a forest, and in a single tree. ``models.splits``
+#: finds the exact ones.
+BINS, TREE_BINS = 32, 256
+#: Memory a task may use for the candidate sums of the nodes it splits in one pass.
+NODE_MB = 128
+
+
+def spread(rows: DataFrame) -> DataFrame:
+    """Rows in at least as many partitions as there are cores: a small table is one file,
+    and MLlib would grow every tree in a single task."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores)
 
 
 def _train(features: DataFrame, names: Sequence[str], estimator) -> PipelineModel:
@@ -42,15 +52,18 @@ def ridge(features: DataFrame, names: Sequence[str], alpha: float = 10.0) -> Pip
     return _train(features, names, LinearRegression(labelCol=LABEL, solver="normal", regParam=penalty, elasticNetParam=0.0, standardization=False))
 
 
-def tree(features: DataFrame, names: Sequence[str], depth: int = DEEPEST) -> PipelineModel:
-    return _train(features, names, DecisionTreeRegressor(labelCol=LABEL, maxDepth=depth, seed=SEED, maxMemoryInMB=512))
+def tree(features: DataFrame, names: Sequence[str], depth: int = DEEPEST, bins: int = TREE_BINS) -> PipelineModel:
+    estimator = DecisionTreeRegressor(labelCol=LABEL, maxDepth=depth, maxBins=bins, seed=SEED, maxMemoryInMB=NODE_MB)
+    return _train(spread(features), names, estimator)
 
 
-def forest(features: DataFrame, names: Sequence[str], trees: int = 100, depth: int = 8) -> PipelineModel:
+def forest(features: DataFrame, names: Sequence[str], trees: int = 100, depth: int = 8, bins: int = BINS) -> PipelineModel:
+    """``cacheNodeIds`` keeps each row's node of every tree, so that a level costs no
+    walk from the root."""
     estimator = RandomForestRegressor(
-        labelCol=LABEL, numTrees=trees, maxDepth=depth, seed=SEED, featureSubsetStrategy="all", maxMemoryInMB=512
+        labelCol=LABEL, numTrees=trees, maxDepth=depth, maxBins=bins, seed=SEED, featureSubsetStrategy="all", maxMemoryInMB=NODE_MB, cacheNodeIds=True
     )
-    return _train(features, names, estimator)
+    return _train(spread(features), names, estimator)
 
 
 def fitted(model: PipelineModel) -> Model:
@@ -61,30 +74,6 @@ def coefficient_norm(model: PipelineModel) -> float:
     return float(fitted(model).coefficients.norm(2))
 
 
-def year_folds(features: DataFrame, folds: int = 4) -> list[tuple[DataFrame, DataFrame]]:
-    """Forward-chaining folds cut between years: train on all earlier years,
-    validate on the next stretch."""
-    years = [r["year"] for r in features.select("year").distinct().orderBy("year").collect()]
-    cuts = [years[(i + 1) * len(years) // (folds + 1)] for i in range(folds)] + [years[-1] + 1]
-    return [
-        (features.where(F.col("year") < a), features.where((F.col("year") >= a) & (F.col("year") < b)))
-        for a, b in zip(cuts, cuts[1:])
-        if a > years[0] and b > a
-    ]
-
-
-def search_forest(features: DataFrame, names: Sequence[str], grid: Sequence[tuple[int, int]] = FOREST_GRID, folds: int = 4) -> DataFrame:
-    """Mean validation MAE of each (trees, depth) over the year folds, best first."""
-    splits = year_folds(features, folds)
-    scored = []
-    for trees, depth in grid:
-        for i, (train, check) in enumerate(splits):
-            metrics = regression_metrics(forest(train, names, trees, depth).transform(check))
-            scored.append(metrics.select(F.lit(trees).alias("trees"), F.lit(depth).alias("depth"), F.lit(i).alias("fold"), "mae"))
-    every = reduce(DataFrame.unionByName, scored)
-    return every.groupBy("trees", "depth").agg(F.avg("mae").alias("mean_mae"), F.count(F.lit(1)).alias("n_folds")).orderBy("mean_mae", "trees", "depth")
-
-
 def train_and_test(name: str, model: PipelineModel, train: DataFrame, test: DataFrame) -> DataFrame:
     """Metrics of one model on both sides of the split, one row each."""
     sides = [
@@ -94,20 +83,6 @@ def train_and_test(name: str, model: PipelineModel, train: DataFrame, test: Data
     return reduce(DataFrame.unionByName, sides)
 
 
-def save(model: PipelineModel, stats: FeatureStats, spark: SparkSession, folder: str) -> None:
-    """The fitted model, the training statistics and the feature order, side by side."""
-    model.write().overwrite().save(f"{folder}/model")
-    stats.save(spark, f"{folder}/features")
-    order = spark.createDataFrame([(stats.names,)], "feature_columns array<string>")
-    order.write.mode("overwrite").parquet(f"{folder}/order")
-
-
-def load(spark: SparkSession, folder: str) -> tuple[PipelineModel, FeatureStats]:
-    stats = FeatureStats.load(spark, f"{folder}/features")
-    check_feature_order(stats.names, spark.read.parquet(f"{folder}/order").first()["feature_columns"])
-    return PipelineModel.load(f"{folder}/model"), stats
-
-
 def model_card(model: PipelineModel, stats: FeatureStats, train: DataFrame, scored_test: DataFrame, version: str = "yield_rf_v1") -> DataFrame:
     """One row that says what was trained, on what and how well it did."""
     inner = fitted(model)

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from furrow.functions.numeric import flag
-from furrow.models.regression import SEED
+from furrow.models.regression import BINS, NODE_MB, SEED, TREE_BINS, spread
 from furrow.operators.evaluation import classification_report, confusion_counts, roc_auc
 from furrow.operators.ordered import exact_quantiles
 from furrow.session import settle
@@ -63,12 +63,13 @@ def logistic(train: DataFrame, names: Sequence[str], balanced: bool = False, c:
     return _fit(train.withColumn("_weight", weight), names, estimator, scaled=True)
 
 
-def tree(train: DataFrame, names: Sequence[str], depth: int = 8) -> PipelineModel:
-    return _fit(train, names, DecisionTreeClassifier(maxDepth=depth, seed=SEED), scaled=False)
+def tree(train: DataFrame, names: Sequence[str], depth: int = 8, bins: int = TREE_BINS) -> PipelineModel:
+    return _fit(spread(train), names, DecisionTreeClassifier(maxDepth=depth, maxBins=bins, seed=SEED), scaled=False)
 
 
-def forest(train: DataFrame, names: Sequence[str], trees: int = 200, depth: int = 10) -> PipelineModel:
-    return _fit(train, names, RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=SEED), scaled=False)
+def forest(train: DataFrame, names: Sequence[str], trees: int = 200, depth: int = 10, bins: int = BINS) -> PipelineModel:
+    estimator = RandomForestClassifier(numTrees=trees, maxDepth=depth, maxBins=bins, seed=SEED, maxMemoryInMB=NODE_MB, cacheNodeIds=True)
+    return _fit(spread(train), names, estimator, scaled=False)
 
 
 def score(model: PipelineModel, rows: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from furrow.functions.numeric import correlation, flag, one_hot, safe_ratio
 from furrow.operators.joining import previous_year
 from furrow.operators.ordered import exact_quantiles
+from furrow.session import settle
 from furrow.sources.files import write_table
 
 CONDITIONS = ("rainfall_mm", "avg_temp_c", "pesticides_tonnes")
@@ -41,7 +42,8 @@ class FeatureStats:
         medians = {r["feature"]: r["quantiles"][0] for r in middle.collect()}
         overall = train.agg(F.avg("yield_hg_ha").alias("m")).first()["m"]
         crops = tuple(sorted(r["crop"] for r in train.select("crop").where("crop is not null").distinct().collect()))
-        means = train.groupBy("area").agg(F.avg("yield_hg_ha").alias("region_mean_yield"))
+        # Written: one row per area, whose size the planner then knows when rows look theirs up.
+        means = settle(train.groupBy("area").agg(F.avg("yield_hg_ha").alias("region_mean_yield")))
         return FeatureStats(medians, means, overall, crops, era_start)
 
     @property

@@ -47,11 +47,17 @@ def with_group_stats(df: DataFrame, stats: DataFrame, keys: Sequence[str], defau
     return joined.withColumns({name: F.coalesce(F.col(name), value) for name, value in defaults.items()})
 
 
-def previous_year(history: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFrame:
+def previous_year(history: DataFrame, keys: Sequence[str], value: str, name: str, refuse_repeats: bool = False) -> DataFrame:
     """``history`` keyed so that a join on (keys, year) finds the value of the
-    calendar year before. A gap in the years finds nothing."""
-    return history.groupBy(*keys, (F.col("year") + 1).alias("year")).agg(F.max(value).alias(name))
-
-
-def with_previous_year(df: DataFrame, history: DataFrame, keys: Sequence[str] = ("area", "crop"), value: str = "yield_hg_ha", name: str = "lag1_yield") -> DataFrame:
-    return df.join(previous_year(history, keys, value, name), [*keys, "year"], "left")
+    calendar year before. A gap in the years finds nothing. Where a year has several values
+    the largest counts, or the job fails if ``refuse_repeats``."""
+    found = F.max(value)
+    if refuse_repeats:
+        named = F.concat_ws("/", *[F.col(k).cast("string") for k in keys], (F.col("year")).cast("string"))
+        problem = F.raise_error(F.concat(F.lit(f"several values of {value} a year: "), F.first(named)))
+        found = F.when(F.min(value).eqNullSafe(found), found).otherwise(problem)
+    return history.groupBy(*keys, (F.col("year") + 1).alias("year")).agg(found.alias(name))
+
+
+def with_previous_year(df: DataFrame, history: DataFrame, keys: Sequence[str] = ("area", "crop"), value: str = "yield_hg_ha", name: str = "lag1_yield", refuse_repeats: bool = False) -> DataFrame:
+    return df.join(previous_year(history, keys, value, name, refuse_repeats), [*keys, "year"], "left")

@@ -36,19 +36,26 @@ DUPLICATE = "duplicate_row"
 BROKEN_CONTRACT = "schema_validation_failed"
 
 
+def _parsed_name(name: str, sentinel: str | None) -> str:
+    return f"_number_of_{name}_{sentinel or ''}"
+
+
 class Fields:
     """The columns of a source by their stripped names, so a padded header still matches."""
 
     def __init__(self, rows: DataFrame) -> None:
         self.rows = rows
         self.names = {c.strip(): c for c in rows.columns}
+        self.asked: dict[tuple[str, str | None], None] = {}
 
     def __call__(self, name: str) -> Column:
         return F.col(f"`{self.names[name]}`")
 
     def number(self, name: str, sentinel: str | None = None) -> Column:
-        """The column as a number, null where it holds none."""
-        return number_in(self.rows, self.names[name], sentinel)
+        """The column as a number, null where it holds none; the one parsed before, if it was."""
+        self.asked[name, sentinel] = None
+        parsed = _parsed_name(name, sentinel)
+        return F.col(f"`{parsed}`") if parsed in self.names else number_in(self.rows, self.names[name], sentinel)
 
 
 @dataclass(frozen=True)
@@ -249,10 +256,18 @@ def inspect(df: DataFrame, source: str, rules: Sequence[Rule] | None = None) ->
     """Hold every row of ``df`` against the contract and rules of ``source``."""
     rules = (*RULES[source], *MORE_RULES.get(source, ())) if rules is None else tuple(rules)
     columns = tuple(df.columns)
-    folded = df.groupBy(*_quoted(columns)).agg(F.count(F.lit(1)).alias("_copies"))
+    copies = F.count(F.lit(1)).alias("_copies")
     contract = check_contract(columns, source)
     if not contract.passed:
+        folded = df.groupBy(*_quoted(columns)).agg(copies)
         return Inspection(source, columns, rules, folded.withColumn("_reasons", F.lit(BROKEN_CONTRACT)), contract.missing)
+    # A number is parsed once a row, inside the fold. As an aggregate it also keeps a filter
+    # on the reasons above the fold, where it would otherwise be pushed down with every
+    # parse written out again.
+    fields = Fields(df)
+    reasons(rules, fields, is_copy=False)
+    parsed = [F.max(fields.number(n, sentinel)).alias(_parsed_name(n, sentinel)) for n, sentinel in list(fields.asked)]
+    folded = df.groupBy(*_quoted(columns)).agg(copies, *parsed)
     return Inspection(source, columns, rules, folded.withColumn("_reasons", reasons(rules, Fields(folded), is_copy=False)))
 
 

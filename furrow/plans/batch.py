@@ -6,7 +6,7 @@ import json
 import time
 import traceback
 import uuid
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Collection, Mapping
 from dataclasses import asdict, dataclass
 from datetime import datetime, timezone
 from functools import reduce
@@ -19,7 +19,7 @@ from furrow.operators.integrity import table_counts
 from furrow.operators.quality import inspect, overall_quality
 from furrow.plans.curate import SOURCES, curate, transform_report
 from furrow.session import settled_for_a_while
-from furrow.sources.files import land_all, read_raw, write_report, write_table
+from furrow.sources.files import land_all, latest_by_key, read_raw, read_torn, write_report, write_table
 from furrow.sources.star import build_star, read_star, write_star
 
 #: Fixed names: the columns of the run history.
@@ -56,25 +56,32 @@ class Batch(list):
         self.append(Stage(name, time.perf_counter() - start, detail))
 
 
-def run_batch(spark: SparkSession, incoming: Mapping[str, str], home: str) -> Batch:
+def run_batch(
+    spark: SparkSession, incoming: Mapping[str, str], home: str, multiline: Collection[str] = (), load_id: str | None = None
+) -> Batch:
     """Run all four stages over the files named in ``incoming``.
 
-    Only rows the gate accepts reach the curated table. A source that could not
+    Only rows the gate accepts reach the curated table; torn records go to the quarantine
+    with their text and count as received and rejected. A source that could not
     be landed is skipped there and stops the run at the gate. Tables that operators
-    settled on the way are removed at the end.
+    settled on the way are removed at the end. A run repeated under its ``load_id`` has
+    effect once.
     """
     with settled_for_a_while(spark):
-        return _run_batch(spark, incoming, home)
+        return _run_batch(spark, incoming, home, multiline, load_id)
 
 
-def _run_batch(spark: SparkSession, incoming: Mapping[str, str], home: str) -> Batch:
+def _run_batch(spark: SparkSession, incoming: Mapping[str, str], home: str, multiline: Collection[str], load_id: str | None) -> Batch:
     raw, processed, quarantine = f"{home}/raw", f"{home}/processed", f"{home}/quarantine"
     batch = Batch()
 
     def ingestion() -> dict:
-        landed = [r for r in land_all(spark, incoming, raw).collect() if r["landed"]]
-        batch.totals["records_received"] = sum(r["record_count"] for r in landed)
-        return {"files_ingested": len(landed), "records": {r["source_name"]: r["record_count"] for r in landed}}
+        landed = [r for r in land_all(spark, incoming, raw, multiline, load_id).collect() if r["landed"]]
+        torn = {r["source_name"]: r["torn_count"] for r in landed if r["torn_count"]}
+        for source in torn:
+            write_table(read_torn(spark, raw, source), f"{quarantine}/_torn/{source}")
+        batch.totals["records_received"] = sum(r["record_count"] + r["torn_count"] for r in landed)
+        return {"files_ingested": len(landed), "records": {r["source_name"]: r["record_count"] for r in landed}, "torn": torn}
 
     accepted: dict[str, DataFrame] = {}
 
@@ -97,7 +104,8 @@ def _run_batch(spark: SparkSession, incoming: Mapping[str, str], home: str) -> B
         # The run's totals are those of the report as it was written.
         total = overall_quality(written).first()
         seen, kept = total["overall_total_records"], total["overall_accepted_records"]
-        batch.totals |= {"records_accepted": kept, "records_rejected": seen - kept}
+        torn = sum(batch[0].detail["torn"].values())
+        batch.totals |= {"records_accepted": kept, "records_rejected": seen - kept + torn}
         if seen:
             batch.totals["overall_quality_score_pct"] = total["overall_quality_score_pct"]
         return {
@@ -128,16 +136,18 @@ def _run_batch(spark: SparkSession, incoming: Mapping[str, str], home: str) -> B
     return batch
 
 
-def record_run(spark: SparkSession, history: str, work: Callable[[], list[Stage]]) -> dict:
+def record_run(spark: SparkSession, history: str, work: Callable[[], list[Stage]], run_id: str | None = None) -> dict:
     """Run ``work`` and append one row to the run history, also if it fails.
 
     The history is append-only and lives outside the folders a run rebuilds. The row
     of a failure holds the stages that had ended and their counts; the failure is
-    raised again.
+    raised again. A run that is repeated under its ``run_id``, say after a failure or
+    because nobody knows whether it came through, is one row of the history as it is
+    read: that of the last attempt.
     """
     started = datetime.now(timezone.utc)
     record = dict.fromkeys(f.split()[0] for f in RUN.split(", "))
-    record |= {"run_id": str(uuid.uuid4()), "started_at": started.isoformat()}
+    record |= {"run_id": run_id or str(uuid.uuid4()), "started_at": started.isoformat()}
     ended_stages: list[Stage] = []
     try:
         ended_stages = work()
@@ -156,8 +166,9 @@ def record_run(spark: SparkSession, history: str, work: Callable[[], list[Stage]
 
 
 def read_history(spark: SparkSession, history: str) -> DataFrame:
+    """One row per run, the last attempt's."""
     try:
-        return spark.read.schema(RUN).parquet(history)
+        return latest_by_key(spark.read.schema(RUN).parquet(history), ["run_id"], "ended_at")
     except AnalysisException as problem:
         if problem.getCondition() != "PATH_NOT_FOUND":
             raise

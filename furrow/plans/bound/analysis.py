@@ -12,7 +12,8 @@ from furrow.operators import statistics as x
 from furrow.operators.features import CONDITIONS
 from furrow.operators.ordered import exact_quantiles, rows_at
 from furrow.plans.bound.registry import bound, rounded
-from furrow.plans.bound.tables import LINE_SQL, SPLIT, Tables, on_curated, plain
+from furrow.models.risk import label_risk, risk_thresholds
+from furrow.plans.bound.tables import LINE_SQL, SPLIT, TRAIN_CTES, Tables, on_curated, plain
 from furrow.plans.curate import MATCHED
 
 Y = "yield_hg_ha"
@@ -116,9 +117,26 @@ def a15_top(t: Tables) -> DataFrame:
 
 
 @bound("a19_key_figures", on_curated("""
-    SELECT count(*) AS n_rows, count(DISTINCT crop) AS n_crops, count(DISTINCT area) AS n_areas, round(avg(yield_hg_ha), 4) AS mean_yield FROM curated"""))
+    SELECT count(*) AS n_rows, count(DISTINCT crop) AS n_crops, count(DISTINCT area) AS n_areas, round(avg(yield_hg_ha), 4) AS mean_yield,
+           round(avg(label), 8) AS high_risk_rate FROM risk""", TRAIN_CTES))
 def a19(t: Tables) -> DataFrame:
-    return rounded(a.key_figures(t.curated), 4, "mean_yield")
+    labelled = label_risk(t.settled, risk_thresholds(t.split[0]))
+    return rounded(rounded(a.key_figures(labelled, "label"), 4, "mean_yield"), 8, "high_risk_rate")
+
+
+@bound("a19_key_figures_from_sketches", on_curated("""
+    SELECT count(*) AS n_rows, round(avg(yield_hg_ha), 4) AS mean_yield, true AS crops_within_bound, true AS areas_within_bound FROM curated"""))
+def a19_sketches(t: Tables) -> DataFrame:
+    """Merged over years, and within three standard errors of the exact counts."""
+    near = a.merged_key_figures(a.key_figure_sketches(t.settled, ["year"]))
+    exact = a.key_figures(t.settled).select(F.col("n_crops").alias("c"), F.col("n_areas").alias("r"))
+    bound_of = 3 * 1.04 / 2 ** 6
+    told = near.crossJoin(exact).select(
+        "n_rows", "mean_yield",
+        (F.abs(F.col("n_crops") - F.col("c")) <= bound_of * F.col("c")).alias("crops_within_bound"),
+        (F.abs(F.col("n_areas") - F.col("r")) <= bound_of * F.col("r")).alias("areas_within_bound"),
+    )
+    return rounded(told, 4, "mean_yield")
 
 
 # ---- windows and rankings -----------------------------------------------------------------
@@ -190,16 +208,6 @@ def t5(t: Tables) -> DataFrame:
     return rows_at(keyed, [Y, "area", "crop", "year"], [tenth, F.col("_one_total") - tenth]).drop("_one_total")
 
 
-@bound("t6_most_recent", """
-    SELECT o_orderkey, o_orderstatus FROM (
-        (SELECT * FROM orders ORDER BY o_orderdate DESC, o_orderkey LIMIT 10) UNION ALL
-        (SELECT * FROM orders WHERE o_orderstatus = 'F' ORDER BY o_orderdate DESC, o_orderkey LIMIT 1)) u""")
-def t6(t: Tables) -> DataFrame:
-    newest = t.table("orders").orderBy(F.desc("o_orderdate"), "o_orderkey")
-    both = newest.limit(10).unionByName(newest.where("o_orderstatus = 'F'").limit(1))
-    return both.select("o_orderkey", "o_orderstatus")
-
-
 # ---- statistics ---------------------------------------------------------------------------
 
 _FOUR = [Y, *CONDITIONS]
@@ -268,11 +276,6 @@ def x6(t: Tables) -> DataFrame:
     return rounded(rounded(told, 4, "before_mean", "after_mean", "degrees_of_freedom"), 6, "t_statistic")
 
 
-@bound("x6_welch_verdict")
-def x6_verdict(t: Tables) -> DataFrame:
-    return x.welch_test(t.curated, SPLIT).select("crop", "t_statistic", "p_value", "significant")
-
-
 # The tail of Student's t by Simpson's rule over the density, from 0 to |t|.
 @bound("x6_welch_p_value", on_curated(f"""
     SELECT crop, round(greatest(0, 1 - 2 * exp(lgamma((v + 1) / 2) - lgamma(v / 2)) / sqrt(v * pi()) * abs(t) / 4000 / 3
@@ -288,6 +291,20 @@ def x6_p(t: Tables) -> DataFrame:
     return rounded(x.welch_test(t.curated, SPLIT).select("crop", "p_value"), 5, "p_value")
 
 
+@bound("x6_welch_verdict", on_curated(f"""
+    SELECT crop, t_statistic, p_value, p_value < 0.05 AS significant FROM (SELECT crop, round(t, 6) AS t_statistic, round(greatest(0, 1 - 2 * exp(lgamma((v + 1) / 2) - lgamma(v / 2)) / sqrt(v * pi()) * abs(t) / 4000 / 3
+        * sum(CASE WHEN i IN (0, 4000) THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END * (1 + (t * i / 4000) ** 2 / v) ** (-(v + 1) / 2))), 5) AS p_value
+    FROM (SELECT crop, (bm - am) / sqrt(bv / bn + av / an) AS t,
+                 (bv / bn + av / an) ** 2 / ((bv / bn) ** 2 / (bn - 1) + (av / an) ** 2 / (an - 1)) AS v
+          FROM (SELECT crop, avg(yield_hg_ha) FILTER (WHERE year < {SPLIT}) AS bm, avg(yield_hg_ha) FILTER (WHERE year >= {SPLIT}) AS am,
+                       count(*) FILTER (WHERE year < {SPLIT}) AS bn, count(*) FILTER (WHERE year >= {SPLIT}) AS an,
+                       var_samp(yield_hg_ha) FILTER (WHERE year < {SPLIT}) AS bv, var_samp(yield_hg_ha) FILTER (WHERE year >= {SPLIT}) AS av
+                FROM curated GROUP BY crop) s) w, range(4001) g(i)
+    GROUP BY crop, t, v) p"""))
+def x6_verdict(t: Tables) -> DataFrame:
+    return rounded(x.welch_test(t.curated, SPLIT).select("crop", "t_statistic", "p_value", "significant"), 5, "p_value").withColumn("t_statistic", F.round("t_statistic", 6))
+
+
 @bound("x4_quantiles_of_events", """
     SELECT event_type, count(value) AS n, round(quantile_cont(value, 0.1), 6) AS p10, round(quantile_cont(value, 0.9), 6) AS p90 FROM events GROUP BY 1""")
 def x4_events(t: Tables) -> DataFrame:

@@ -17,6 +17,7 @@ from furrow.operators.integrity import duplicate_keys, functional_dependency_vio
 from furrow.operators.joining import merge_sources, with_group_stats, with_previous_year
 from furrow.operators.quality import KNOWN_CROPS
 from furrow.models.baseline import HistoricalMean
+from furrow.plans.bound.gate import COLUMNS
 from furrow.plans.bound.registry import bound, rounded
 from furrow.plans.bound.tables import (
     CUTOFF, EVENT_SQL, KNOWN_SQL, LINE_SQL, SOURCE_SQL, Tables, key_sql, on_curated, plain,
@@ -296,7 +297,8 @@ def j9_orders(t: Tables) -> DataFrame:
     WITH f AS ({plain(EVENT_SQL)}) SELECT x.area, x.crop, x.year, x.yield_hg_ha, y.yield_hg_ha AS lag1_yield
     FROM f x LEFT JOIN f y ON y.area = x.area AND y.crop = x.crop AND y.year = x.year - 1""")
 def j10(t: Tables) -> DataFrame:
-    return with_previous_year(t.events, t.events)
+    # A folded table: a second value for a year would be a fault, not a choice.
+    return with_previous_year(t.events, t.events, refuse_repeats=True)
 
 
 @bound("w8_calendar_lag_curated", on_curated("""
@@ -402,12 +404,20 @@ def g6(t: Tables) -> DataFrame:
 _RAW_LINES = {"yield": LINE_YIELD, "pesticides": LINE_PEST, "rainfall": LINE_RAIN, "temp": LINE_TEMP}
 
 
+_NULLS = {s: [(h, c) for h, c in COLUMNS[s].items()] for s in SOURCES}
+
+
 @bound("o2_transform_report", on_curated("SELECT (SELECT count(*) FROM curated) AS total_rows, " + ", ".join(
     f"CAST((SELECT count(*) FROM ({sql}) a) - (SELECT count(*) FROM (SELECT DISTINCT * FROM ({sql}) b) c) AS BIGINT) AS duplicates_{s}" for s, sql in _RAW_LINES.items()
-) + f", (SELECT count(*) FROM ({LINE_YIELD}) u WHERE unit IS NULL) AS null_units, (SELECT count(*) FROM ({LINE_TEMP}) v WHERE avg_temp IS NULL) AS null_temps"))
+) + ", " + ", ".join(
+    f"(SELECT count(*) FROM ({_RAW_LINES[s]}) x WHERE {c} IS NULL) AS nulls_{s}_{c}" for s in SOURCES for _, c in _NULLS[s]
+) + ", " + ", ".join(
+    f"(SELECT round_even(100.0 * count({column}) / count(*), 1) FROM curated) AS rate_{name}" for column, name in MATCHED.items()
+)))
 def o2(t: Tables) -> DataFrame:
     told = transform_report({s: t.raw_lines(s) for s in SOURCES}, t.curated)
     return told.select(
         "join_match_rates.total_rows", *[F.col(f"duplicate_rows_found_in_raw.{s}").alias(f"duplicates_{s}") for s in SOURCES],
-        F.col("null_counts_in_raw.yield.Unit").alias("null_units"), F.col("null_counts_in_raw.temp.avg_temp").alias("null_temps"),
+        *[F.col(f"null_counts_in_raw.{s}.`{h}`").alias(f"nulls_{s}_{c}") for s in SOURCES for h, c in _NULLS[s]],
+        *[F.col(f"join_match_rates.{name}").alias(f"rate_{name}") for name in MATCHED.values()],
     )

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from furrow.operators.integrity import duplicate_row_count, null_counts
 from furrow.operators.quality import RULES, inspect, overall_quality
 from furrow.plans.bound.registry import bound, rounded
-from furrow.plans.bound.tables import KNOWN_SQL, LINE_SQL, Tables, plain
+from furrow.plans.bound.tables import HEADERS, KNOWN_SQL, LINE_SQL, Tables, plain
 from furrow.plans.curate import SOURCES
 
 # What each rule says, in SQL, with the reasons in rule order.
@@ -32,13 +32,6 @@ RULE_SQL = {
 }
 AREA = {"yield": "Area", "pesticides": "Area", "rainfall": " Area", "temp": "country"}
 AREA_SQL = {"yield": "area", "pesticides": "area", "rainfall": "area", "temp": "country"}
-# Contract columns and their SQL names, for whole-row output.
-COLUMNS = {
-    "yield": {"Area": "area", "Item": "item", "Year": "yr", "Unit": "unit", "Value": "val"},
-    "pesticides": {"Area": "area", "Year": "yr", "Value": "val"},
-    "rainfall": {" Area": "area", "Year": "yr", "average_rain_fall_mm_per_year": "txt"},
-    "temp": {"year": "yr", "country": "country", "avg_temp": "avg_temp"},
-}
 ALL_COLUMNS = {
     "yield": "domain_code, domain, area_code, area, element_code, element, item_code, item, year_code, yr, unit, val",
     "pesticides": "domain, area, element, item, yr, unit, val",
@@ -47,6 +40,10 @@ ALL_COLUMNS = {
 }
 
 
+# Every column of a source and its SQL name, for whole-row output.
+COLUMNS = {source: dict(zip(HEADERS[source], ALL_COLUMNS[source].split(", "))) for source in ALL_COLUMNS}
+
+
 def tagged_sql(source: str) -> str:
     marks = ", ".join(f"CASE WHEN {test} THEN '{reason}' END" for reason, test in RULE_SQL[source])
     return f"""SELECT *, concat_ws(';', {marks}) AS reject_reason FROM (
@@ -128,10 +125,8 @@ def quality_scores(t: Tables) -> DataFrame:
     f"SELECT '{s}' AS source_name, '{header.strip()}' AS column_name, count(*) FILTER (WHERE {column} IS NULL) AS n_null FROM ({plain(LINE_SQL[s])}) {s}_lines"
     for s in SOURCES for header, column in COLUMNS[s].items()))
 def null_profile(t: Tables) -> DataFrame:
-    wanted = [f"{s}.{c.strip()}" for s in SOURCES for c in COLUMNS[s]]
     told = _reports(t).select("source_name", F.explode("null_counts").alias("column_name", "n_null"))
-    named = told.withColumn("column_name", F.trim("column_name"))
-    return named.where(F.concat_ws(".", "source_name", "column_name").isin(*wanted))
+    return told.withColumn("column_name", F.trim("column_name"))
 
 
 @bound("e8_every_source", f"""
@@ -184,26 +179,10 @@ def broken_contract_rows(t: Tables) -> DataFrame:
     return bad.groupBy("reject_reason").agg(F.count(F.lit(1)).alias("n"))
 
 
-@bound("e7_raw_nulls_by_column", f"""
-    SELECT count(*) FILTER (WHERE item IS NULL) AS item, count(*) FILTER (WHERE yr IS NULL) AS yr, count(*) FILTER (WHERE unit IS NULL) AS unit,
-           count(*) FILTER (WHERE val IS NULL) AS val
+@bound("e7_raw_nulls_by_column", "SELECT " + ", ".join(f"count(*) FILTER (WHERE {c} IS NULL) AS {c}" for c in COLUMNS["yield"].values()) + f"""
     FROM ({plain(LINE_SQL["yield"])}) lines""")
 def raw_nulls(t: Tables) -> DataFrame:
-    return null_counts(t.raw_lines("yield")).select(
-        F.col("Item").alias("item"), F.col("Year").alias("yr"), F.col("Unit").alias("unit"), F.col("Value").alias("val")
-    )
-
-
-@bound("s4_receipts", " UNION ALL ".join(
-    f"SELECT '{s}' AS source_name, {len(ALL_COLUMNS[s].split(', '))}::BIGINT AS n_columns, count(*) AS record_count FROM ({plain(LINE_SQL[s])}) {s}_lines" for s in SOURCES))
-def receipts(t: Tables) -> DataFrame:
-    parts = [
-        t.raw_lines(s).agg(F.count(F.lit(1)).alias("record_count")).select(
-            F.lit(s).alias("source_name"), F.lit(len(t.raw_lines(s).columns)).alias("n_columns"), "record_count"
-        )
-        for s in SOURCES
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    return null_counts(t.raw_lines("yield")).select(*[F.col(f"`{header}`").alias(c) for header, c in COLUMNS["yield"].items()])
 
 
 @bound("s9_quarantine_by_source", f"""

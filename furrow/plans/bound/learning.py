@@ -9,25 +9,22 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from furrow.models import clustering, explain, regression, risk
+from furrow.models import bundle, clustering, explain, regression, risk, search, splits
 from furrow.models.baseline import HistoricalMean
 from furrow.models.scenarios import WhatIf, actual_and_predicted, curve_spread
 from furrow.operators import evaluation as ev
 from furrow.operators.aggregates import group_rate, label_counts
-from furrow.operators.features import CONDITIONS, leakage_report, long_form
+from furrow.operators.features import CONDITIONS, check_feature_order, leakage_report, long_form
 from furrow.operators.ordered import exact_quantiles
 from furrow.operators.statistics import mean_z_by
 from furrow.plans.bound.registry import bound, rounded
 from furrow.plans.bound.tables import CUTOFF, TRAIN_CTES, Tables, on_curated
-from furrow.session import settle
+from furrow.session import scratch_path, settle
 
 Y = "yield_hg_ha"
-# Smaller forests and a smaller search than the library's defaults. The whole grid over
-# four folds was tried and took over seven minutes on a busy machine, for each folder.
-GRID, FOLDS, TREES, DEPTH = ((10, 4), (20, 6)), 3, 20, 6
 
 
 # ---- features -----------------------------------------------------------------------------
@@ -67,12 +64,34 @@ def g7(t: Tables) -> DataFrame:
     return leakage_report(table, ["copy", "double_plus_one", "lag1_yield", "year", "flat"]).select("feature", "identical", "leaks")
 
 
+#: Folders of the tuned forests that this application has written, by the tables they are for.
+_TUNED: dict[tuple[str, str], tuple[str, list]] = {}
+
+
+def _tuned(t: Tables) -> tuple[bundle.Bundle, list[tuple[int, int, float, int]]]:
+    """The forest that wins the search over the whole grid and four folds, and the search's
+    rows. It is searched and fitted once for a folder of tables, saved as a bundle, and
+    loaded by every question that needs it."""
+    key = (t.spark.sparkContext.applicationId, t.folder)
+    if key not in _TUNED:
+        model, found = search.tuned_forest(t.features[0], t.stats.names)
+        path = scratch_path(t.spark, "tuned-forest")
+        bundle.save(bundle.Bundle("yield", model, t.stats), t.spark, path)
+        _TUNED[key] = (path, found)
+    path, found = _TUNED[key]
+    return bundle.load(t.spark, path, "yield"), found
+
+
 @bound("g8_feature_order", on_curated("""
     SELECT 'year,is_post_1990,rainfall_mm_missing,rainfall_mm,avg_temp_c_missing,avg_temp_c,pesticides_tonnes_missing,pesticides_tonnes,region_mean_yield,lag1_yield_missing,lag1_yield,yield_trend_ratio,'
            || string_agg('crop_' || crop, ',' ORDER BY crop) AS feature_columns FROM (SELECT DISTINCT crop FROM train) c""", TRAIN_CTES))
 def g8(t: Tables) -> DataFrame:
-    kept = [c for c in t.features[0].columns if c not in ("area", "crop", Y)]
-    return t.settled.agg(F.lit(",".join(kept)).alias("feature_columns"))
+    # The order a saved model was trained on, as its bundle tells it; loading checks it.
+    path = scratch_path(t.spark, "feature-order")
+    train, names = t.features[0], t.stats.names
+    bundle.save(bundle.Bundle("yield", regression.linear(train, names), t.stats), t.spark, path)
+    check_feature_order(bundle.load(t.spark, path).stats.names, [c for c in train.columns if c not in ("area", "crop", Y)])
+    return bundle.versions(t.spark, path).select(F.array_join("feature_columns", ",").alias("feature_columns"))
 
 
 # ---- baseline and metrics -----------------------------------------------------------------
@@ -266,10 +285,28 @@ def m20(t: Tables) -> DataFrame:
     return clustering.profile_clusters(clustering.fit_clusters(scaled).transform(scaled), t.settled)
 
 
+@bound("m19_search_holds", on_curated("SELECT 7 AS n_k, true AS inertia_falls, true AS silhouettes_in_range", ""))
+def m19_holds(t: Tables) -> DataFrame:
+    told = m19(t)
+    step = F.col("inertia") - F.lag("inertia").over(Window.orderBy("k"))
+    return told.withColumn("step", step).agg(
+        F.count(F.lit(1)).alias("n_k"), F.every(F.coalesce(F.col("step") <= 0, F.lit(True))).alias("inertia_falls"),
+        F.every(F.col("silhouette").between(-1, 1)).alias("silhouettes_in_range"),
+    )
+
+
+@bound("m20_clusters_hold", on_curated("SELECT count(*) AS n_region_years, true AS none_empty, true AS means_agree FROM cond", _CONDITIONS))
+def m20_holds(t: Tables) -> DataFrame:
+    told = m20(t)
+    whole = clustering.conditions_table(t.settled).agg(F.avg("rainfall_mm")).scalar()
+    mean = F.sum(F.col("rainfall_mm") * F.col("n_region_years")) / F.sum("n_region_years")
+    return told.agg(F.sum("n_region_years").alias("n_region_years"), F.every(F.col("n_region_years") > 0).alias("none_empty"), (F.abs(mean - F.max(whole)) < 1e-6).alias("means_agree"))
+
+
 # ---- regressors and classifiers -----------------------------------------------------------
 
 def _forest(t: Tables):
-    return regression.forest(t.features[0], t.stats.names, TREES, DEPTH)
+    return _tuned(t)[0].model
 
 
 def _fits(t: Tables) -> DataFrame:
@@ -305,7 +342,104 @@ def m6(t: Tables) -> DataFrame:
 
 @bound("m8_forest_search")
 def m8(t: Tables) -> DataFrame:
-    return regression.search_forest(t.features[0], t.stats.names, GRID, FOLDS)
+    return t.spark.createDataFrame(_tuned(t)[1], "trees int, depth int, mean_mae double, n_folds int")
+
+
+@bound("m8_search_holds", on_curated(f"""
+    SELECT 3 AS n_sizes, 4 AS n_folds, true AS winner_is_least, true AS all_scored, (SELECT count(*) FROM train) AS n_train, true AS model_is_winner""", TRAIN_CTES))
+def m8_holds(t: Tables) -> DataFrame:
+    tuned, found = _tuned(t)
+    rows = t.spark.createDataFrame([(i, *f) for i, f in enumerate(found)], "place int, trees int, depth int, mean_mae double, n_folds int")
+    forest = regression.fitted(tuned.model)
+    deep = max(tree.depth for tree in forest.trees)
+    return t.features[0].agg(F.count(F.lit(1)).alias("n_train")).crossJoin(rows.agg(
+        F.count(F.lit(1)).alias("n_sizes"), F.max("n_folds").alias("n_folds"),
+        (F.min("mean_mae") == F.min_by("mean_mae", "place")).alias("winner_is_least"), F.every(F.col("mean_mae") > 0).alias("all_scored"),
+        F.min_by((F.lit(forest.getNumTrees) == F.col("trees")) & (F.lit(deep) <= F.col("depth")), "place").alias("model_is_winner"),
+    ))
+
+
+@bound("m8_folds", on_curated("""
+    SELECT i AS fold, CAST(sum(CASE WHEN place < cut THEN n ELSE 0 END) AS BIGINT) AS n_train,
+           CAST(sum(CASE WHEN place >= cut AND place < next THEN n ELSE 0 END) AS BIGINT) AS n_check
+    FROM (SELECT year, count(*) AS n, row_number() OVER (ORDER BY year) - 1 AS place, count(*) OVER () AS years FROM train GROUP BY year) y,
+         (SELECT i, (i + 1) * k // 5 AS cut, CASE WHEN i = 3 THEN k ELSE (i + 2) * k // 5 END AS next FROM range(4) r(i), (SELECT count(DISTINCT year) AS k FROM train) c) f
+    GROUP BY i""", TRAIN_CTES))
+def m8_folds(t: Tables) -> DataFrame:
+    told = []
+    for i, (train, check) in enumerate(search.year_folds(t.features[0])):
+        sides = train.agg(F.count(F.lit(1)).alias("n_train")).crossJoin(check.agg(F.count(F.lit(1)).alias("n_check")))
+        told.append(sides.withColumn("fold", F.lit(i)))
+    return reduce(DataFrame.unionByName, told)
+
+
+# The exact splits, and the root of the tree that MLlib grows with a bin for each value.
+
+_LONG_NAMES = ("year", "is_post_1990", "rainfall_mm_missing", "rainfall_mm", "avg_temp_c_missing", "pesticides_tonnes_missing", "pesticides_tonnes", "lag1_yield_missing")
+
+
+def _splits_sql(target: str, columns: str) -> str:
+    cells = " UNION ALL ".join(f"SELECT '{n}' AS feature, CAST({n} AS DOUBLE) AS v, CAST({target} AS DOUBLE) AS y FROM told" for n in _LONG_NAMES)
+    return f"""SELECT {columns} FROM (
+        SELECT *, row_number() OVER (PARTITION BY feature ORDER BY gain DESC, v) AS place FROM (
+            SELECT feature, v, nb, nt - nb AS nr, yb * yb / nb + (yt - yb) * (yt - yb) / (CAST(nt AS DOUBLE) - CAST(nb AS DOUBLE)) - yt * yt / nt AS gain FROM (
+                SELECT feature, v, sum(n) OVER w - n AS nb, sum(y) OVER w - y AS yb, sum(n) OVER (PARTITION BY feature) AS nt, sum(y) OVER (PARTITION BY feature) AS yt
+                FROM (SELECT feature, v, count(*) AS n, sum(y) AS y FROM ({cells}) c GROUP BY 1, 2) f
+                WINDOW w AS (PARTITION BY feature ORDER BY v ROWS UNBOUNDED PRECEDING)) s WHERE nb > 0) g) r WHERE place = 1"""
+
+
+_TOLD_YIELD = f"told AS (SELECT *, yield_hg_ha AS target FROM feat WHERE year < {CUTOFF})"
+_TOLD_RISK = f"""told AS (SELECT f.*, r.label AS target FROM feat f JOIN risk r ON f.area = r.area AND f.crop = r.crop AND f.year = r.year WHERE f.year < {CUTOFF})"""
+_SPLIT_COLUMNS = "feature, round(v, 6) AS split_value, CAST(nb AS BIGINT) AS n_left, CAST(nr AS BIGINT) AS n_right, round(gain / nt_all, {places}) AS gain"
+
+
+def _best(rows: DataFrame, target: str, places: int) -> DataFrame:
+    n = rows.count()
+    told = splits.best_splits(rows, _LONG_NAMES, target).withColumn("gain", F.col("gain") / n)
+    return rounded(rounded(told, 6, "split_value"), places, "gain")
+
+
+def _labelled_features(t: Tables) -> DataFrame:
+    return risk.label_risk(t.features[0], risk.risk_thresholds(t.split[0]))
+
+
+for _name, _told, _of, _target, _places in (
+    ("m7_best_splits", _TOLD_YIELD, lambda t: t.features[0], Y, 2),
+    ("m15_best_splits", _TOLD_RISK, _labelled_features, "label", 8),
+):
+    _columns = _SPLIT_COLUMNS.format(places=_places).replace("nt_all", "(SELECT count(*) FROM told)")
+
+    @bound(_name, on_curated(_splits_sql("target", _columns), TRAIN_CTES + ", " + _told))
+    def exact(t: Tables, of=_of, target=_target, places=_places) -> DataFrame:
+        return _best(of(t), target, places)
+
+
+_ROOT = "SELECT n_left, n_right FROM (SELECT *, row_number() OVER (ORDER BY gain DESC, feature) AS first FROM ({best}) b) a WHERE first = 1"
+
+
+def _root(model, rows: DataFrame) -> DataFrame:
+    """Rows on both sides of the first split of a fitted tree."""
+    top = search.nodes_of(model).iloc[0]
+    goes_left = F.col(f"`{_LONG_NAMES[int(top['feature'])]}`").cast("double") <= float(top["threshold"])
+    return rows.agg(F.count_if(goes_left).alias("n_left"), F.count_if(~goes_left).alias("n_right"))
+
+
+def _bins(rows: DataFrame) -> int:
+    """Enough for every value of every feature to be a bin of its own."""
+    return max(rows.agg(*[F.count_distinct(n).alias(n) for n in _LONG_NAMES]).first()) + 1
+
+
+@bound("m7_root_is_the_best_split", on_curated(_ROOT.format(best=_splits_sql("target", "feature, gain, CAST(nb AS BIGINT) AS n_left, CAST(nr AS BIGINT) AS n_right")), TRAIN_CTES + ", " + _TOLD_YIELD))
+def m7_root(t: Tables) -> DataFrame:
+    rows = t.features[0]
+    return _root(regression.tree(rows, _LONG_NAMES, 1, _bins(rows)), rows)
+
+
+@bound("m15_root_is_the_best_split", on_curated(_ROOT.format(best=_splits_sql("target", "feature, gain, CAST(nb AS BIGINT) AS n_left, CAST(nr AS BIGINT) AS n_right")), TRAIN_CTES + ", " + _TOLD_RISK))
+def m15_root(t: Tables) -> DataFrame:
+    # At its full depth: MLlib drops a split of a shallow tree if both sides predict alike.
+    rows = _labelled_features(t)
+    return _root(risk.tree(rows, _LONG_NAMES, bins=_bins(rows)), rows)
 
 
 @bound("m14_m15_risk_models")
@@ -315,13 +449,29 @@ def m14(t: Tables) -> DataFrame:
     names = t.stats.names
     models = {
         "logistic": risk.logistic(train, names), "logistic_balanced": risk.logistic(train, names, balanced=True),
-        "tree": risk.tree(train, names), "forest": risk.forest(train, names, TREES, DEPTH),
+        "tree": risk.tree(train, names), "forest": risk.forest(train, names),
     }
     told = [risk.summary_row("majority", risk.majority_class(train, test), with_auc=False)]
     told += [risk.summary_row(name, risk.score(model, test)) for name, model in models.items()]
     return reduce(DataFrame.unionByName, told)
 
 
+@bound("s14_risk_bundle", on_curated(f"""
+    SELECT area, crop, year, label, true AS same_risk FROM risk WHERE year >= {CUTOFF}""", TRAIN_CTES))
+def s14(t: Tables) -> DataFrame:
+    """The balanced classifier with its scaler, statistics and thresholds, saved, loaded and applied to new rows."""
+    thresholds = risk.risk_thresholds(t.split[0])
+    train = risk.label_risk(t.features[0], thresholds)
+    model = risk.logistic(train, t.stats.names, balanced=True)
+    path = scratch_path(t.spark, "risk-model")
+    bundle.save(bundle.Bundle("risk", model, t.stats, thresholds), t.spark, path)
+    again = bundle.load(t.spark, path, "risk")
+    before = risk.score(model, t.features[1]).select("area", "crop", "year", F.col("risk").alias("first"))
+    rows = t.settled.where(F.col("year") >= CUTOFF)
+    after = risk.score(again.model, risk.label_risk(again.stats.transform(rows, t.settled), again.thresholds))
+    return after.join(before, ["area", "crop", "year"]).select("area", "crop", "year", "label", (F.abs(F.col("risk") - F.col("first")) < 1e-9).alias("same_risk"))
+
+
 # With one feature the fits have a closed form that SQL can follow.
 
 _ONE = f"""one AS (SELECT regr_slope(yield_hg_ha, lag1_yield) AS slope, regr_intercept(yield_hg_ha, lag1_yield) AS intercept,
@@ -385,7 +535,7 @@ def v4_repeated(t: Tables) -> DataFrame:
     """Every row twice: each is explained on its own."""
     train, test = t.features
     model = regression.fitted(regression.linear(train, t.stats.names))
-    return _adds_up(explain.sampled_contributions(model, test.union(test), train, t.stats.names, draws=4))
+    return _adds_up(explain.sampled_contributions(model, test.union(test), train, t.stats.names))
 
 
 @bound("v1_v2_every_feature_is_weighed", on_curated("SELECT 12 + count(DISTINCT crop) AS n_features, true AS impurity_sums_to_one, true AS all_permuted FROM train", TRAIN_CTES))
@@ -508,18 +658,20 @@ def v6_refused(t: Tables) -> DataFrame:
 
 
 @bound("v7_spread_of_curves", on_curated("""
-    SELECT area, crop, CAST(1999 AS BIGINT) AS year, round(max(p) - min(p), 4) AS spread, round(max(CASE WHEN m = 1.0 THEN p END), 4) AS baseline,
-           round(100.0 * (max(p) - min(p)) / max(CASE WHEN m = 1.0 THEN p END), 6) AS spread_pct
-    FROM (SELECT area, crop, m, rainfall_mm * m + 7 AS p FROM curated, (VALUES (0.5), (1.0), (1.5)) v(m) WHERE year = 1999 AND rainfall_mm IS NOT NULL) x
-    GROUP BY area, crop"""))
+    SELECT area, crop, year, round(abs(s * rainfall_mm), 1) AS spread, round(c + s * rainfall_mm, 1) AS baseline,
+           round(100.0 * abs(s * rainfall_mm) / (c + s * rainfall_mm), 4) AS spread_pct
+    FROM asked WHERE rainfall_mm IS NOT NULL""", TRAIN_CTES + ", " + _RAIN))
 def v7(t: Tables) -> DataFrame:
-    # A straight line stands in for the model, so that SQL can follow the curve.
-    steps = t.curated.where("year = 1999 and rainfall_mm is not null").select(
-        F.concat_ws("/", "area", "crop").alias("request_id"), "area", "crop", "year", "rainfall_mm",
-        F.explode(F.array(F.lit(0.5), F.lit(1.0), F.lit(1.5))).alias("multiplier"),
+    curve, _ = _straight_engine(t).sensitivity(_requests(t), "rainfall_mm")
+    return rounded(rounded(curve_spread(curve).drop("request_id"), 1, "spread", "baseline"), 4, "spread_pct")
+
+
+@bound("v7_spread_of_forest_curves", on_curated(f"SELECT count(*) AS n, true AS never_negative, true AS all_based FROM curated WHERE year >= {CUTOFF} AND rainfall_mm IS NOT NULL"))
+def v7_forest(t: Tables) -> DataFrame:
+    curve, _ = _engine(t).sensitivity(_requests(t), "rainfall_mm")
+    return curve_spread(curve).agg(
+        F.count(F.lit(1)).alias("n"), F.every(F.col("spread") >= 0).alias("never_negative"), F.every(F.col("baseline").isNotNull()).alias("all_based")
     )
-    curve = steps.withColumn("predicted_yield_hg_ha", F.col("rainfall_mm") * F.col("multiplier") + 7)
-    return rounded(rounded(curve_spread(curve).drop("request_id"), 4, "spread", "baseline"), 6, "spread_pct")
 
 
 @bound("v8_actual_and_predicted")

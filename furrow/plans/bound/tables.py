@@ -12,9 +12,10 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
+from furrow.functions.text import AREA_ALIASES
 from furrow.operators.evaluation import temporal_split
 from furrow.operators.features import FeatureStats
-from furrow.operators.quality import inspect
+from furrow.operators.quality import KNOWN_CROPS, inspect
 from furrow.plans.curate import SOURCES, accepted_frames, curate
 from furrow.session import settle
 from furrow.sources.star import build_star
@@ -67,10 +68,11 @@ SOURCE_SQL = {
                      year(l_shipdate) AS yr, CAST(sum({QTY}) AS BIGINT) AS q
               FROM {LINES_PARTS} GROUP BY s_suppkey, s_name, p_type, year(l_shipdate)) cells""",
     "pesticides": f"""
-        SELECT 'Pesticides Use' AS domain, {FORMAL_NAME} AS area, 'Use' AS element, 'Pesticides (total)' AS item,
-               year(l_shipdate) AS yr, 'tonnes' AS unit, CAST(sum({QTY}) AS DOUBLE) / 4 - 1 AS val
-        FROM {LINES} WHERE l_returnflag = 'R' AND l_discount = 0.1
-        GROUP BY s_suppkey, s_name, year(l_shipdate)""",
+        SELECT domain, area, element, item, yr, unit,
+               CASE WHEN q % 4 = 0 THEN NULL WHEN q % 23 = 0 THEN CAST(-1 AS DOUBLE) ELSE CAST(q AS DOUBLE) / 4 - 1 END AS val
+        FROM (SELECT 'Pesticides Use' AS domain, {FORMAL_NAME} AS area, 'Use' AS element, 'Pesticides (total)' AS item,
+                     year(l_shipdate) AS yr, 'tonnes' AS unit, CAST(sum({QTY}) AS BIGINT) AS q
+              FROM {LINES} GROUP BY s_suppkey, s_name, year(l_shipdate)) cells""",
     "rainfall": f"""
         SELECT area, yr, CASE WHEN q % 5 = 0 THEN '..' WHEN q % 29 = 0 THEN 'n/a' WHEN q % 31 = 0 THEN '15001' ELSE CAST(q AS VARCHAR(20)) END AS txt
         FROM (SELECT {COMMON_NAME} AS area, year(l_shipdate) AS yr, CAST(sum({QTY}) AS BIGINT) AS q
@@ -194,21 +196,18 @@ def plain(text: str) -> str:
     return text.format(**{name: name for name in TABLE_NAMES})
 
 
-# The same path written in SQL: gate, clean, join.
-_ALIASES = {
-    "lao people''s democratic republic": "laos", "viet nam": "vietnam", "republic of korea": "south korea",
-    "iran (islamic republic of)": "iran", "russian federation": "russia", "united states of america": "united states",
-    "czechia": "czech republic",
-}
+# The same path written in SQL, from the library's fixed tables.
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
 
 
 def key_sql(name: str) -> str:
     key = f"lower(trim({name}))"
-    whens = " ".join(f"WHEN '{formal}' THEN '{common}'" for formal, common in _ALIASES.items())
+    whens = " ".join(f"WHEN {_quoted(formal)} THEN {_quoted(common)}" for formal, common in AREA_ALIASES.items())
     return f"CASE {key} {whens} ELSE {key} END"
 
 
-KNOWN_SQL = "('Maize', 'Potatoes', 'Rice, paddy', 'Wheat', 'Sorghum', 'Soybeans', 'Cassava', 'Yams', 'Sweet potatoes', 'Plantains and others')"
+KNOWN_SQL = "(" + ", ".join(map(_quoted, KNOWN_CROPS)) + ")"
 
 CURATED_CTES = f"""
 raw_yield AS ({plain(SOURCE_SQL["yield"])}),
@@ -216,7 +215,7 @@ raw_pest AS ({plain(SOURCE_SQL["pesticides"])}),
 raw_rain AS ({plain(SOURCE_SQL["rainfall"])}),
 raw_temp AS ({plain(SOURCE_SQL["temp"])}),
 ok_yield AS (SELECT DISTINCT * FROM raw_yield WHERE val > 0 AND val <= 800000 AND unit = 'hg/ha' AND item IN {KNOWN_SQL}),
-ok_pest AS (SELECT DISTINCT * FROM raw_pest WHERE NOT val < 0),
+ok_pest AS (SELECT DISTINCT * FROM raw_pest WHERE coalesce(NOT val < 0, true)),
 ok_rain AS (SELECT DISTINCT * FROM raw_rain WHERE coalesce(TRY_CAST(txt AS DOUBLE) BETWEEN 0 AND 15000, true)),
 ok_temp AS (SELECT DISTINCT * FROM raw_temp WHERE coalesce(avg_temp BETWEEN -90 AND 60, true)),
 mean_temp AS (SELECT {key_sql("country")} AS k, yr, avg(avg_temp) AS avg_temp_c FROM ok_temp GROUP BY 1, 2),

@@ -11,7 +11,7 @@ from furrow.session import settle, settled_for_a_while, use_checkpoint_folder
 from furrow.plans.batch import last_failure, latest_runs, read_history, record_run, run_batch
 from furrow.plans.curate import curate_unfiltered
 from furrow.sources.contracts import CONTRACTS
-from furrow.sources.files import land, land_all, read_raw, scan_text, scan_typed
+from furrow.sources.files import TORN, land, land_all, read_manifest, read_raw, read_torn, scan_records, scan_text, scan_typed
 from furrow.sources.star import build_star, read_star, star_violations
 
 YIELD = ",".join(CONTRACTS["yield"])
@@ -157,3 +157,58 @@ def test_star_reports_broken_constraints(star):
     told = {r["rule"]: r["violations"] for r in star_violations(broken).collect()}
     assert told["unique yield_observation(region_id, crop_id, year)"] == 5
     assert told["yield_observation.region_id in region.region_id"] == 1
+
+
+TORN_TEXT = (
+    ' Area,Year,average_rain_fall_mm_per_year\n"Viet\nNam",2000,15\nVietnam,2001\nVietnam,2002,1,2\n"He said ""hi""",2003,7\n\nVietnam,2004,9\n'
+)
+
+
+def test_torn_records_are_kept_apart_with_their_text(spark, tmp_path):
+    path = tmp_path / "rain.csv"
+    path.write_text(TORN_TEXT, encoding="utf-8")
+    names = [" Area", "Year", "average_rain_fall_mm_per_year"]
+    read = scan_records(spark, str(path), multiline=True)
+    assert read.columns == [*names, TORN]
+    raw = str(tmp_path / "raw")
+    receipt = land(spark, "rainfall", str(path), raw, multiline=True)
+    assert (receipt["record_count"], receipt["torn_count"], receipt["columns"]) == (3, 2, names)
+    sound = {tuple(r) for r in read_raw(spark, raw, "rainfall").collect()}
+    assert sound == {("Viet\nNam", "2000", "15"), ('He said "hi"', "2003", "7"), ("Vietnam", "2004", "9")}
+    torn = read_torn(spark, raw, "rainfall").collect()
+    assert sorted(r["record"].strip() for r in torn) == ["Vietnam,2001", "Vietnam,2002,1,2"]
+    assert {r["reject_reason"] for r in torn} == {"torn_record"}
+    # Line by line, the record with the break is two torn ones, not two wrong rows.
+    assert land(spark, "rainfall", str(path), raw)["torn_count"] == 4
+    assert read_raw(spark, raw, "rainfall").count() == 2
+
+
+def test_batch_counts_torn_records_as_rejected(spark, incoming, tmp_path):
+    with open(incoming["rainfall"], "a", encoding="utf-8") as out:
+        out.write("Vietnam\n")
+    home = str(tmp_path / "home")
+    batch = run_batch(spark, incoming, home, multiline=["yield"], load_id="one")
+    assert batch[0].detail["torn"] == {"rainfall": 1}
+    assert (batch.totals["records_received"], batch.totals["records_accepted"], batch.totals["records_rejected"]) == (16, 11, 5)
+    assert [r["record"] for r in spark.read.parquet(f"{home}/quarantine/_torn/rainfall").collect()] == ["Vietnam"]
+    run_batch(spark, incoming, home, load_id="one")
+    told = read_manifest(spark, f"{home}/raw").collect()
+    assert sorted((r["source_name"], r["record_count"], r["torn_count"]) for r in told) == [("pesticides", 2, 0), ("rainfall", 2, 1), ("temp", 5, 0), ("yield", 6, 0)]
+
+
+def test_a_repeated_run_is_one_row_of_the_history(spark, tmp_path):
+    history = str(tmp_path / "history")
+
+    def fails():
+        raise RuntimeError("no disk")
+
+    with pytest.raises(RuntimeError):
+        record_run(spark, history, fails, run_id="monday")
+    assert [r["status"] for r in read_history(spark, history).collect()] == ["FAILED"]
+    record_run(spark, history, lambda: [], run_id="monday")
+    record_run(spark, history, lambda: [], run_id="monday")
+    record_run(spark, history, lambda: [])
+    runs = read_history(spark, history)
+    assert runs.count() == 2 and runs.where("run_id = 'monday'").first()["status"] == "SUCCESS"
+    assert last_failure(runs).count() == 0
+    assert spark.read.parquet(history).count() == 4

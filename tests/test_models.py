@@ -5,7 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from furrow.models import clustering, explain, regression, risk
+from furrow.models import bundle, clustering, explain, regression, risk, search, splits
 from furrow.models.baseline import HistoricalMean
 from furrow.models.scenarios import MULTIPLIERS, WhatIf, curve_spread
 from furrow.operators.evaluation import regression_metrics, temporal_split
@@ -85,23 +85,72 @@ def test_unconstrained_tree_overfits_more(world):
 
 def test_folds_never_look_ahead(world):
     _, stats, train, _ = world
-    folds = regression.year_folds(train, 3)
+    folds = search.year_folds(train, 3)
     assert len(folds) == 3
     for fit, check in folds:
         assert fit.agg(F.max("year")).first()[0] < check.agg(F.min("year")).first()[0]
     assert folds[-1][1].agg(F.max("year")).first()[0] == train.agg(F.max("year")).first()[0]
-    best = regression.search_forest(train, stats.names, ((5, 2), (5, 5)), 3).collect()
-    assert [r["n_folds"] for r in best] == [3, 3] and best[0]["mean_mae"] <= best[1]["mean_mae"]
+    model, found = search.tuned_forest(train, stats.names, ((5, 2), (8, 5), (3, 5)), 3)
+    assert [f[3] for f in found] == [3, 3, 3] and [f[2] for f in found] == sorted(f[2] for f in found)
+    inner = regression.fitted(model)
+    assert inner.getNumTrees == found[0][0] and max(t.depth for t in inner.trees) <= found[0][1]
+
+
+def test_cuts_of_one_forest_are_the_smaller_forests(world):
+    """Errors of cuts, against trees walked node by node."""
+    _, stats, train, test = world
+    model = regression.forest(train, stats.names, trees=6, depth=7)
+    grid = ((6, 7), (6, 3), (2, 0), (4, 1))
+    got = search.mae_of_cuts(model, test, grid)
+    nodes = {t: own.set_index("id") for t, own in search.nodes_of(model).groupby("tree")}
+
+    def walk(x, tree, most):
+        own, i = nodes[tree], 0
+        for _ in range(most):
+            node = own.loc[i]
+            if node["leftChild"] < 0:
+                break
+            i = int(node["leftChild"] if x[int(node["feature"])] <= node["threshold"] else node["rightChild"])
+        return own.loc[i]["prediction"]
+
+    pdf = test.toPandas()
+    rows = pdf[stats.names].to_numpy(float)
+    for (trees, depth), mae in zip(grid, got, strict=True):
+        p = [np.mean([walk(x, t, depth) for t in range(trees)]) for x in rows]
+        assert abs(np.mean(np.abs(pdf["yield_hg_ha"] - p)) - mae) < 1e-6
+    whole = model.transform(test).agg(F.avg(F.abs(F.col("prediction") - F.col("yield_hg_ha")))).first()[0]
+    assert abs(got[0] - whole) < 1e-6
+
+
+def test_exact_splits_and_the_root_of_a_tree(world):
+    _, stats, train, _ = world
+    names = ["year", "rainfall_mm", "avg_temp_c", "lag1_yield", "region_mean_yield"]
+    pdf = train.toPandas()
+    want = {}
+    for name in names:
+        x, y = pdf[name].to_numpy(float), pdf["yield_hg_ha"].to_numpy(float)
+        cuts = [(((y - y.mean()) ** 2).sum() - sum(((s - s.mean()) ** 2).sum() for s in (y[x < v], y[x >= v])), v) for v in np.unique(x)[1:]]
+        want[name] = max(cuts, key=lambda c: (round(c[0], 3), -c[1]))
+    got = {r["feature"]: r for r in splits.best_splits(train, names).collect()}
+    for name in names:
+        assert got[name]["split_value"] == want[name][1] and abs(got[name]["gain"] - want[name][0]) < 1e-3 * want[name][0]
+    assert splits.best_splits(train.withColumn("flat", F.lit(1)), ["flat"]).count() == 0
+    root = search.nodes_of(regression.tree(train, names, 1, 400)).iloc[0]
+    best = max(names, key=lambda n: got[n]["gain"])
+    assert names[int(root["feature"])] == best and train.where(F.col(best) <= float(root["threshold"])).count() == got[best]["n_left"]
 
 
 def test_saved_model_predicts_the_same(world, forest, spark, tmp_path):
     _, stats, train, test = world
-    regression.save(forest, stats, spark, str(tmp_path))
-    again, again_stats = regression.load(spark, str(tmp_path))
-    assert again_stats.names == stats.names
+    folder = str(tmp_path)
+    bundle.save(bundle.Bundle("yield", forest, stats), spark, folder)
+    again = bundle.load(spark, folder, "yield")
+    assert again.stats.names == stats.names and again.thresholds is None
     want = [r["prediction"] for r in forest.transform(test).orderBy("area", "crop", "year").collect()]
-    got = [r["prediction"] for r in again.transform(test).orderBy("area", "crop", "year").collect()]
+    got = [r["prediction"] for r in again.model.transform(test).orderBy("area", "crop", "year").collect()]
     assert got == want and min(got) > 0
+    with pytest.raises(ValueError, match="not a risk one"):
+        bundle.load(spark, folder, "risk")
     card = regression.model_card(forest, stats, train, forest.transform(test)).first()
     assert card["training_year_range"] == [1988, 1998] and card["training_rows"] == train.count()
     assert card["feature_columns"] == stats.names and card["algorithm"] == "RandomForestRegressionModel"
@@ -260,3 +309,24 @@ def test_sensitivity(world, forest, spark):
     spread = curve_spread(curve).first()
     values = [r["predicted_yield_hg_ha"] for r in rows]
     assert spread["spread"] == pytest.approx(max(values) - min(values)) and spread["baseline"] == pytest.approx(values[5])
+
+
+def test_risk_bundle_scores_new_rows_alike_and_survives_a_half_written_save(world, spark, tmp_path):
+    curated, stats, train, test = world
+    raw_train, raw_test = temporal_split(curated, 1999)
+    thresholds = risk.risk_thresholds(raw_train)
+    model = risk.logistic(risk.label_risk(train, thresholds), stats.names, balanced=True)
+    folder = str(tmp_path)
+    first = bundle.save(bundle.Bundle("risk", model, stats, thresholds), spark, folder)
+    # A later save that died before its version entered the list.
+    model.write().save(f"{folder}/half/model")
+    assert [r["version"] for r in bundle.versions(spark, folder).collect()] == [first]
+    again = bundle.load(spark, folder, "risk")
+    assert sorted(map(tuple, again.thresholds.collect())) == sorted(map(tuple, thresholds.collect()))
+    keys = ["area", "crop", "year"]
+    want = risk.score(model, risk.label_risk(test, thresholds)).select(*keys, "label", "risk").orderBy(*keys).collect()
+    rows = again.stats.transform(raw_test, curated)
+    got = risk.score(again.model, risk.label_risk(rows, again.thresholds)).select(*keys, "label", "risk").orderBy(*keys).collect()
+    assert got == want
+    second = bundle.save(bundle.Bundle("yield", regression.linear(train, stats.names), stats), spark, folder)
+    assert bundle.versions(spark, folder).first()["version"] == second and bundle.load(spark, folder).kind == "yield"
