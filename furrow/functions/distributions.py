@@ -92,13 +92,46 @@ def kolmogorov_tail(x: float) -> float:
     return float(max(0.0, 2.0 * ((-1.0) ** (k - 1) * np.exp(-2.0 * (k * x) ** 2)).sum()))
 
 
-def ks_p_value(statistic: Column, n_left: Column, n_right: Column) -> Column:
-    """Asymptotic p-value of the two-sample Kolmogorov-Smirnov statistic."""
+def ks_exact_tail(distance: float, n: int, m: int) -> float:
+    """P(D >= ``distance``) for samples of ``n`` and ``m`` without ties.
+
+    Merging the samples is a walk from (0, 0) to (n, m) on a lattice, every walk alike likely.
+    The walks that stay nearer than the distance are counted diagonal by diagonal, as a
+    share of all walks to a point, so that no number grows."""
+    reach = round(distance * n * m)
+    if reach <= 0:
+        return 1.0
+    share = np.zeros(n + 2)  # share[i + 1]: walks to (i, s - i)
+    share[1] = 1.0
+    for s in range(1, n + m + 1):
+        i = np.arange(max(0, s - m), min(n, s) + 1)
+        j = s - i
+        inside = np.abs(i * m - j * n) < reach
+        new = np.zeros_like(share)
+        new[i + 1] = np.where(inside, (share[i] * i + share[i + 1] * j) / s, 0.0)
+        share = new
+    return float(min(1.0, max(0.0, 1.0 - share[n + 1])))
+
+
+#: Samples of at most so many rows get the exact p-value, larger ones the limit's.
+EXACT_UP_TO = 10_000
+
+
+def ks_p_value(statistic: Column, n_left: Column, n_right: Column, exact_up_to: int = EXACT_UP_TO) -> Column:
+    """P-value of the two-sample Kolmogorov-Smirnov statistic: exact if neither sample is
+    larger than ``exact_up_to``, else from the limit distribution."""
 
     @F.pandas_udf("double")
-    def tail(xs: pd.Series) -> pd.Series:
-        return pd.Series([kolmogorov_tail(x) for x in xs], dtype="float64")
+    def tail(ds: pd.Series, ns: pd.Series, ms: pd.Series) -> pd.Series:
+        def one(d: float, n: float, m: float) -> float:
+            # Also reached by rows that the condition below leaves out.
+            if not (d >= 0 and n > 0 and m > 0):
+                return math.nan
+            if max(n, m) <= exact_up_to:
+                return ks_exact_tail(d, int(n), int(m))
+            return kolmogorov_tail(d * math.sqrt(n * m / (n + m)))
+
+        return pd.Series([one(d, n, m) for d, n, m in zip(ds, ns, ms)], dtype="float64")
 
     left, right = n_left.cast("double"), n_right.cast("double")
-    scaled = statistic * F.sqrt(F.try_divide(left * right, left + right))
-    return F.when(scaled.isNotNull(), tail(scaled))
+    return F.when(statistic.isNotNull() & (left > 0) & (right > 0), tail(statistic, left, right))

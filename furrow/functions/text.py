@@ -51,6 +51,16 @@ def area_key(col: Column, aliases: dict[str, str] | None = None) -> Column:
     return F.coalesce(F.str_to_map(pairs, F.lit("\x02"), F.lit("\x01"))[plain], plain)
 
 
+def with_area_key(df: DataFrame, column: str, aliases: DataFrame, name: str = "area_key") -> DataFrame:
+    """As ``area_key``, with the aliases as a table (``formal``, ``common``), which may be long:
+    it is sent to every task if it is under the session's threshold, else both sides meet
+    by name. An alias given twice counts by its least common name."""
+    known = aliases.groupBy(F.lower(stripped(F.col("formal"))).alias("_formal")).agg(F.min("common").alias("_common"))
+    keyed = df.withColumn("_plain", F.lower(stripped(F.col(column))))
+    found = keyed.join(known, keyed["_plain"] == known["_formal"], "left")
+    return found.withColumn(name, F.coalesce("_common", "_plain")).drop("_plain", "_formal", "_common")
+
+
 def number_or_null(col: Column, sentinel: str | None = MISSING_SENTINEL) -> Column:
     """The number a text column holds; null for the sentinel and for anything unreadable."""
     text = stripped(col.cast("string"))

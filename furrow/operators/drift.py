@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from furrow.functions.distributions import ks_p_value
+from furrow.functions.distributions import EXACT_UP_TO, ks_p_value
 from furrow.functions.numeric import band, flag, safe_ratio
 from furrow.operators.features import long_form
 from furrow.operators.ordered import exact_quantiles, running_totals
@@ -57,8 +57,9 @@ def population_stability(counts: DataFrame, bins: int = 10) -> DataFrame:
     return full.groupBy("feature").agg(F.sum((cur - ref) * F.log(cur / ref)).alias("psi"))
 
 
-def ks_two_sample(counts: DataFrame) -> DataFrame:
-    """Largest distance between the two empirical distribution functions, per feature."""
+def ks_two_sample(counts: DataFrame, exact_up_to: int = EXACT_UP_TO) -> DataFrame:
+    """Largest distance between the two empirical distribution functions, per feature, and
+    its p-value: exact for samples up to a size, from the limit distribution beyond."""
     ranked = running_totals(counts, ["value"], ["n_ref", "n_cur"], ["feature"])
     left = F.try_divide((F.col("n_ref_before") + F.col("n_ref")).cast("double"), F.col("n_ref_total"))
     right = F.try_divide((F.col("n_cur_before") + F.col("n_cur")).cast("double"), F.col("n_cur_total"))
@@ -66,7 +67,7 @@ def ks_two_sample(counts: DataFrame) -> DataFrame:
         F.max(F.abs(left - right)).alias("ks_statistic"),
         F.max("n_ref_total").alias("n_reference"), F.max("n_cur_total").alias("n_current"),
     )
-    return gaps.withColumn("ks_pvalue", ks_p_value(F.col("ks_statistic"), F.col("n_reference"), F.col("n_current")))
+    return gaps.withColumn("ks_pvalue", ks_p_value(F.col("ks_statistic"), F.col("n_reference"), F.col("n_current"), exact_up_to))
 
 
 def sample_means(counts: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from furrow.functions.numeric import band, flag, hg_to_kg, one_hot, percent_change, period_start, safe_ratio, tier
-from furrow.functions.text import area_key, number_or_null
+from furrow.functions.text import AREA_ALIASES, area_key, number_or_null, with_area_key
 from furrow.operators.aggregates import lookup_rows, options
 from furrow.operators.cleaning import clean_pesticides, clean_rainfall, clean_temp, clean_yield, mean_temp_with_repeats
 from furrow.operators.evaluation import temporal_split
@@ -54,6 +54,13 @@ def p4(t: Tables) -> DataFrame:
     return names.groupBy("area").agg(F.count(F.lit(1)).alias("n")).withColumn("area_key", area_key(F.col("area")))
 
 
+@bound("p4_area_key_from_a_table", f"SELECT area, {key_sql('area')} AS area_key, count(*) AS n FROM (SELECT area FROM ({LINE_YIELD}) y UNION ALL SELECT area FROM ({LINE_RAIN}) r) x GROUP BY 1, 2")
+def p4_table(t: Tables) -> DataFrame:
+    aliases = t.spark.createDataFrame(list(AREA_ALIASES.items()), "formal string, common string")
+    names = t.raw_lines("yield").select(F.col("Area").alias("area")).unionByName(t.raw_lines("rainfall").select(F.col("` Area`").alias("area")))
+    return with_area_key(names.groupBy("area").agg(F.count(F.lit(1)).alias("n")), "area", aliases)
+
+
 @bound("p5_drop_helper_column", f"SELECT area, item AS crop, yr AS year, TRY_CAST(val AS BIGINT) AS yield_hg_ha FROM ({LINE_YIELD}) r")
 def p5(t: Tables) -> DataFrame:
     return clean_yield(t.raw_lines("yield")).drop("area_key")

@@ -15,6 +15,7 @@ from furrow.plans.bound.gate import _SCORES
 from furrow.plans.bound.registry import bound, rounded
 from furrow.plans.bound.tables import CUTOFF, SPLIT, TRAIN_CTES, Tables, on_curated
 from furrow.plans.curate import SOURCES
+from furrow.session import settle
 
 _SAMPLES = "samples AS (" + " UNION ALL ".join(
     f"SELECT '{c}' AS feature, CAST({c} AS DOUBLE) AS value, year >= {CUTOFF} AS cur FROM feat" for c in ("rainfall_mm", "pesticides_tonnes", "lag1_yield")
@@ -67,7 +68,7 @@ def x8(t: Tables) -> DataFrame:
           FROM ks k JOIN (SELECT feature, CAST(sum(r) AS DOUBLE) AS r, CAST(sum(c) AS DOUBLE) AS c FROM folded WHERE value IS NOT NULL GROUP BY feature) n USING (feature)) s,
          range(1, 101) g(i) GROUP BY feature""", _ctes(_SAMPLES)))
 def x8_series(t: Tables) -> DataFrame:
-    return rounded(d.ks_two_sample(d.value_counts(*_sides(t), d.DRIFT_FEATURES)).select("feature", "ks_pvalue"), 5, "ks_pvalue")
+    return rounded(d.ks_two_sample(d.value_counts(*_sides(t), d.DRIFT_FEATURES), exact_up_to=0).select("feature", "ks_pvalue"), 5, "ks_pvalue")
 
 
 @bound("x8_ks_p_values", on_curated("""
@@ -76,7 +77,38 @@ def x8_series(t: Tables) -> DataFrame:
           FROM ks k JOIN (SELECT feature, CAST(sum(r) AS DOUBLE) AS r, CAST(sum(c) AS DOUBLE) AS c FROM folded WHERE value IS NOT NULL GROUP BY feature) n USING (feature)) s,
          range(1, 101) g(i) GROUP BY feature""", _ctes(_SAMPLES)))
 def x8_p(t: Tables) -> DataFrame:
-    return rounded(d.ks_two_sample(d.value_counts(*_sides(t), d.DRIFT_FEATURES)).select("feature", "ks_statistic", "ks_pvalue"), 5, "ks_pvalue").withColumn("ks_statistic", F.round("ks_statistic", 8))
+    return rounded(d.ks_two_sample(d.value_counts(*_sides(t), d.DRIFT_FEATURES), exact_up_to=0).select("feature", "ks_statistic", "ks_pvalue"), 5, "ks_pvalue").withColumn("ks_statistic", F.round("ks_statistic", 8))
+
+
+# Balances of the suppliers of nation 0 against those of each other nation. The walk on the
+# lattice of ranks, diagonal by diagonal, as a share of all walks.
+_BALANCES = """vals AS (SELECT k AS f, s_acctbal AS v, 1 AS r, 0 AS c FROM supplier, range(1, 25) g(k) WHERE s_nationkey = 0
+    UNION ALL SELECT s_nationkey, s_acctbal, 0, 1 FROM supplier WHERE s_nationkey > 0),
+folded AS (SELECT f, v, sum(r) AS r, sum(c) AS c FROM vals GROUP BY 1, 2),
+placed AS (SELECT f, sum(r) OVER w AS r, sum(c) OVER w AS c, sum(r) OVER (PARTITION BY f) AS n, sum(c) OVER (PARTITION BY f) AS m
+    FROM folded WINDOW w AS (PARTITION BY f ORDER BY v ROWS UNBOUNDED PRECEDING)),
+asked AS (SELECT f, CAST(max(n) AS BIGINT) AS n, CAST(max(m) AS BIGINT) AS m, CAST(max(abs(r * m - c * n)) AS BIGINT) AS reach FROM placed GROUP BY f HAVING max(n) > 0 AND max(m) > 0),
+walk(f, s, i, share) AS (
+    SELECT f, CAST(0 AS BIGINT), CAST(0 AS BIGINT), CAST(1 AS DOUBLE) FROM asked
+    UNION ALL
+    SELECT f, s, i, sum(part) FROM (
+        SELECT w.f, w.s + 1 AS s, w.i + d.up AS i, w.share * CASE d.up WHEN 1 THEN w.i + 1 ELSE w.s + 1 - w.i END / (w.s + 1) AS part
+        FROM walk w JOIN asked a ON w.f = a.f, (VALUES (0), (1)) d(up)
+        WHERE w.s < a.n + a.m AND w.i + d.up <= a.n AND w.s + 1 - w.i - d.up <= a.m AND abs((w.i + d.up) * a.m - (w.s + 1 - w.i - d.up) * a.n) < a.reach) x
+    GROUP BY f, s, i)"""
+
+
+@bound("x8_exact_p_values", f"""WITH RECURSIVE {_BALANCES}
+    SELECT CAST(a.f AS VARCHAR) AS feature, n AS n_reference, m AS n_current, round(1 - coalesce(share, 0), 6) AS ks_pvalue
+    FROM asked a LEFT JOIN walk w ON w.f = a.f AND w.s = a.n + a.m AND w.i = a.n""")
+def x8_exact(t: Tables) -> DataFrame:
+    suppliers = t.table("supplier").select("s_nationkey", F.col("s_acctbal").cast("double").alias("value"))
+    none, one = F.lit(0).cast("long"), F.lit(1).cast("long")
+    ours = suppliers.where("s_nationkey = 0").select(F.explode(F.sequence(F.lit(1), F.lit(24))).alias("k"), "value", one.alias("r"), none.alias("c"))
+    theirs = suppliers.where("s_nationkey > 0").select(F.col("s_nationkey").cast("int").alias("k"), "value", none.alias("r"), one.alias("c"))
+    counts = ours.unionByName(theirs).groupBy(F.col("k").cast("string").alias("feature"), "value").agg(F.sum("r").alias("n_ref"), F.sum("c").alias("n_cur"))
+    told = d.ks_two_sample(settle(counts)).where("ks_statistic is not null").select("feature", "n_reference", "n_current", "ks_pvalue")
+    return rounded(told, 6, "ks_pvalue")
 
 
 @bound("x9_drift_report", on_curated(f"""

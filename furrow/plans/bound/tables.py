@@ -17,8 +17,8 @@ from furrow.operators.evaluation import temporal_split
 from furrow.operators.features import FeatureStats
 from furrow.operators.quality import KNOWN_CROPS, inspect
 from furrow.plans.curate import SOURCES, accepted_frames, curate
-from furrow.session import settle
-from furrow.sources.star import build_star
+from furrow.session import scratch_path, settle
+from furrow.sources.star import build_star, read_star, write_star
 
 CUTOFF = 2000  # first test year
 SPLIT = 1998  # first year of the later era
@@ -126,6 +126,10 @@ EVENT_SQL = """
 TABLE_NAMES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
 
+#: Folders of the stars that have been loaded.
+_STARS: dict[tuple[str, str], str] = {}
+
+
 class Tables:
     """The given tables and the frames derived from them, built on demand."""
 
@@ -167,7 +171,14 @@ class Tables:
 
     @cached_property
     def star(self) -> dict[str, DataFrame]:
-        return build_star(self.settled)
+        """The loaded star: written by the first question that this application asks of a
+        folder, read by all."""
+        key = (self.spark.sparkContext.applicationId, self.folder)
+        if key not in _STARS:
+            path = scratch_path(self.spark, "star")
+            write_star(build_star(self.settled), path)
+            _STARS[key] = path
+        return read_star(self.spark, _STARS[key])
 
     @cached_property
     def split(self) -> tuple[DataFrame, DataFrame]:

@@ -38,7 +38,8 @@ def scan_text(spark: SparkSession, path: str, multiline: bool = False) -> DataFr
 def scan_records(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
     """As ``scan_text``, with the whole text of a torn record in ``TORN`` beside whatever
     could be read of it: one with too few or too many fields, or a quote that never
-    closes. The column is null for a sound record."""
+    closes. The column is null for a sound record. Read line by line, a record with a line
+    break is cut; its first part is torn, the rest may pass for a record of its own."""
     names = scan_text(spark, path, multiline).columns
     shape = T.StructType([T.StructField(n, T.StringType()) for n in (*names, TORN)])
     return spark.read.csv(

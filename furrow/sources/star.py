@@ -6,6 +6,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from furrow.operators.integrity import constraint_violations
 from furrow.operators.ordered import dense_ids, running_totals
@@ -43,12 +44,23 @@ def number_facts(facts: DataFrame) -> DataFrame:
 
 
 def write_star(star: Mapping[str, DataFrame], folder: str) -> None:
+    """Facts lie in a folder per crop, as most questions name one, and by region and year
+    inside; a crop with very many of them is cut into several files by the range shuffle."""
     for name, table in star.items():
-        write_table(table, f"{folder}/{name}")
+        if name == "yield_observation":
+            table = table.repartitionByRange("crop_id", "region_id", "year").sortWithinPartitions("crop_id", "region_id", "year")
+            write_table(table, f"{folder}/{name}", ["crop_id"])
+        else:
+            write_table(table, f"{folder}/{name}")
 
 
 def read_star(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    return {name: spark.read.parquet(f"{folder}/{name}") for name in TABLES}
+    star = {name: spark.read.parquet(f"{folder}/{name}") for name in TABLES}
+    # A folder's name has no type of its own, so it is read as what the crops' ids are.
+    found = star["yield_observation"].schema
+    shape = T.StructType([T.StructField(f.name, star["crop"].schema["crop_id"].dataType if f.name == "crop_id" else f.dataType) for f in found])
+    facts = spark.read.schema(shape).parquet(f"{folder}/yield_observation")
+    return star | {"yield_observation": facts.select("region_id", "crop_id", "year", "yield_hg_ha")}
 
 
 def register_star(star: Mapping[str, DataFrame]) -> None:

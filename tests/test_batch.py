@@ -178,9 +178,9 @@ def test_torn_records_are_kept_apart_with_their_text(spark, tmp_path):
     torn = read_torn(spark, raw, "rainfall").collect()
     assert sorted(r["record"].strip() for r in torn) == ["Vietnam,2001", "Vietnam,2002,1,2"]
     assert {r["reject_reason"] for r in torn} == {"torn_record"}
-    # Line by line, the record with the break is two torn ones, not two wrong rows.
-    assert land(spark, "rainfall", str(path), raw)["torn_count"] == 4
-    assert read_raw(spark, raw, "rainfall").count() == 2
+    # Line by line, the record with the break is cut in two, and only its first half shows that.
+    assert land(spark, "rainfall", str(path), raw)["torn_count"] == 3
+    assert read_raw(spark, raw, "rainfall").count() == 3
 
 
 def test_batch_counts_torn_records_as_rejected(spark, incoming, tmp_path):
@@ -212,3 +212,18 @@ def test_a_repeated_run_is_one_row_of_the_history(spark, tmp_path):
     assert runs.count() == 2 and runs.where("run_id = 'monday'").first()["status"] == "SUCCESS"
     assert last_failure(runs).count() == 0
     assert spark.read.parquet(history).count() == 4
+
+
+def test_loaded_star_prunes_the_crops_folders(spark, curated_toy, tmp_path):
+    from furrow.sources.star import write_star
+
+    more = curated_toy.unionByName(curated_toy.withColumn("crop", F.lit("Wheat")))
+    write_star(build_star(more), str(tmp_path))
+    star = read_star(spark, str(tmp_path))
+    assert dict(star["yield_observation"].dtypes)["crop_id"] == dict(star["crop"].dtypes)["crop_id"]
+    assert sorted(map(tuple, star["yield_observation"].collect())) == sorted(map(tuple, build_star(more)["yield_observation"].collect()))
+    assert sorted(p for p in os.listdir(tmp_path / "yield_observation") if "=" in p) == ["crop_id=1", "crop_id=2"]
+    told = q.yield_in_context(star, region=None, crop="Maize", n=None)
+    plan = told._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan and "Exchange hashpartitioning" not in plan
+    assert told.count() == 4

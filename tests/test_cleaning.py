@@ -125,3 +125,20 @@ def test_small_context_is_broadcast_and_facts_stay(spark, tmp_path):
         assert joined._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 4
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_alias_table_gives_the_keys_of_the_alias_map(spark):
+    from furrow.functions.text import AREA_ALIASES, area_key, with_area_key
+
+    aliases = spark.createDataFrame([*AREA_ALIASES.items(), ("viet nam", "vietnam"), (None, "nowhere")], "formal string, common string")
+    names = spark.createDataFrame([(n,) for n in (" Viet Nam ", "LAOS", "Kenya", "", None, *AREA_ALIASES)], "area string")
+    wanted = names.withColumn("area_key", area_key(F.col("area")))
+    found = with_area_key(names, "area", aliases)
+    assert found.columns == wanted.columns and sorted(map(str, found.collect())) == sorted(map(str, wanted.collect()))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        plan = with_area_key(names, "area", aliases)._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" not in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

@@ -181,3 +181,39 @@ def test_t_tail_nears_the_normal_one(t):
     for df in (1e5, 1e7, 1e8, 1e10, 1e12):
         step = math.exp(-t * t / 2) / math.sqrt(2 * math.pi) * (t**3 + t) / (2 * df)
         assert student_t_two_sided(t, df) == pytest.approx(normal + step, rel=2e-6 if df < 1e8 else 1e-9)
+
+
+def test_exact_ks_tail_is_the_share_of_all_orders():
+    """Every way to merge two small samples, counted."""
+    from itertools import combinations
+    from math import comb
+
+    from furrow.functions.distributions import ks_exact_tail, kolmogorov_tail
+
+    for n, m in ((1, 1), (3, 4), (5, 5), (2, 7), (6, 3)):
+        gaps = []
+        for own in combinations(range(n + m), n):
+            i = j = best = 0
+            for k in range(n + m):
+                i, j = (i + 1, j) if k in own else (i, j + 1)
+                best = max(best, abs(i * m - j * n))
+            gaps.append(best)
+        assert len(gaps) == comb(n + m, n)
+        for reach in range(0, n * m + 1):
+            share = sum(g >= reach for g in gaps) / len(gaps)
+            assert abs(ks_exact_tail(reach / (n * m), n, m) - share) < 1e-12
+    near = kolmogorov_tail(0.05 * (3000 * 3000 / 6000) ** 0.5)
+    assert abs(ks_exact_tail(0.05, 3000, 3000) - near) < 5e-3
+
+
+def test_ks_p_values_are_exact_up_to_a_size(spark):
+    from furrow.functions.distributions import ks_exact_tail
+    from furrow.operators.drift import ks_two_sample
+
+    rows = [("a", float(v), int(v % 3 == 0), int(v % 3 != 0)) for v in range(30)] + [("b", 1.0, 0, 4), ("b", 2.0, 0, 1)]
+    counts = spark.createDataFrame(rows, "feature string, value double, n_ref long, n_cur long")
+    exact = {r["feature"]: r for r in ks_two_sample(counts).collect()}
+    assert exact["b"]["ks_statistic"] is None and exact["b"]["ks_pvalue"] is None
+    assert abs(exact["a"]["ks_pvalue"] - ks_exact_tail(exact["a"]["ks_statistic"], 10, 20)) < 1e-12
+    limit = {r["feature"]: r["ks_pvalue"] for r in ks_two_sample(counts, exact_up_to=19).collect()}
+    assert limit["a"] != exact["a"]["ks_pvalue"]
