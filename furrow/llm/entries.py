@@ -32,7 +32,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_join.jaccard_components(_table(spark, sf_dir, "documents"), k=3, percent=90).withColumnRenamed("id", "doc_id")
+    return ngram_join.jaccard_components(_table(spark, sf_dir, "documents"), k=3, percent=90, count_links=True).withColumnRenamed("id", "doc_id")
 
 
 def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -204,8 +204,11 @@ links AS (
 both_ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
 reach AS (
   SELECT a AS doc_id, a AS other FROM both_ways UNION SELECT r.doc_id, e.b FROM reach r JOIN both_ways e ON r.other = e.a)
-SELECT d.doc_id, coalesce(z.n, 0)::BIGINT AS n_shingles, least(d.doc_id, coalesce(min(r.other), d.doc_id)) AS component_id
-FROM documents d LEFT JOIN sizes z USING (doc_id) LEFT JOIN reach r USING (doc_id) GROUP BY d.doc_id, z.n""",
+SELECT d.doc_id, coalesce(z.n, 0)::BIGINT AS n_shingles, least(d.doc_id, coalesce(min(r.other), d.doc_id)) AS component_id,
+  coalesce(l.n, 0)::BIGINT AS n_links
+FROM documents d LEFT JOIN sizes z USING (doc_id) LEFT JOIN reach r USING (doc_id)
+  LEFT JOIN (SELECT a AS doc_id, count(*) AS n FROM both_ways GROUP BY a) l USING (doc_id)
+GROUP BY d.doc_id, z.n, l.n""",
     "op3_embedding_near_dedup": r"""
 WITH RECURSIVE good AS (
   SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings

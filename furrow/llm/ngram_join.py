@@ -2,7 +2,7 @@
 
 Two texts link when ``percent`` % of the union of their shingle sets is common.
 
-1. Texts with equal sets are collapsed to the one with the smallest id.
+1. Texts with equal sets are collapsed to one row of the smallest id.
 2. A global order of the shingles: first the shingles of one hash class (one in
    ``_share``), rarest first, then the others by hash. The frequencies are counted
    over all documents. Two linked sets share a shingle among the first
@@ -12,13 +12,17 @@ Two texts link when ``percent`` % of the union of their shingle sets is common.
    smallest document, so a set is sent once per block and not once per shingle.
 4. A block is a prefix tree of its ordered sets. Each set walks down the tree,
    shares the overlap counted so far between all sets below a node, and leaves a
-   subtree when the remaining lengths cannot reach the threshold or when all sets
-   below are already connected to it. Blocks over ``BLOCK_SETS`` sets are split,
-   each pair of parts being a task of its own.
+   subtree when the remaining lengths cannot reach the threshold or when no set
+   below is wanted. Blocks over ``BLOCK_SETS`` sets are split, each pair of parts
+   being a task of its own.
 5. The links that join up a block go to the distributed components.
 
-Only links that connect something new are emitted, at most one less than a block
-has sets; no link between different texts is lost to the components.
+A block never emits pairs: for the components at most one link less than it has sets,
+and, where links are counted, one sum for each of its sets. For the components alone
+a set looks only at sets that are not connected to it yet. To count links it looks at
+all sets that it has not met in an earlier block, so that each pair is compared and
+counted once: a set carries the homes of its blocks, and a pair belongs to the
+smallest home that both have.
 """
 
 from __future__ import annotations
@@ -65,8 +69,8 @@ def _scan(k: int, percent: int):
                 b = b.sum(dtype=np.uint64)
                 rows.append((len(s), a.astype(np.int64), b.astype(np.int64), picked.view(np.int64), rest.view(np.int64)))
             out = pd.DataFrame(rows, columns=["n", "s1", "s2", "picked", "rest"])
-            out.insert(0, "id", batch["id"].to_numpy())
-            out.insert(1, "void", batch["void"].to_numpy())
+            for at, name in enumerate(("node", "id", "void", "text_hash")):
+                out.insert(at, name, batch[name].to_numpy())
             yield out
 
     return run
@@ -76,7 +80,7 @@ def _sets(k: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             sets = [shingle_set(text, k).view(np.int64) for text in batch["text"]]
-            yield pd.DataFrame({"id": batch["id"], "groups": batch["groups"], "shingles": sets})
+            yield batch.drop(columns="text").assign(shingles=sets)
 
     return run
 
@@ -167,10 +171,38 @@ class PrefixTree:
         return np.concatenate(found) if found else np.array([], dtype=np.int64)
 
 
-def block_links(sets: list[np.ndarray], side: np.ndarray, across: bool, percent: int) -> np.ndarray:
-    """For each set of a block the smallest place it is connected to in the block.
+class Meetings:
+    """Which sets of a block have met in an earlier block, by the homes they share."""
 
-    ``across``: only sets of different sides are compared, else all."""
+    def __init__(self, homes: list[np.ndarray]):
+        sizes = np.array([len(h) for h in homes])
+        self.ends = np.cumsum(sizes)
+        self.starts = self.ends - sizes
+        every = np.concatenate(homes) if len(homes) else np.array([], dtype=np.int64)
+        values, self.which = np.unique(every, return_inverse=True)
+        self.members = np.repeat(np.arange(len(homes)), sizes)[np.argsort(self.which, kind="stable")]
+        self.to = np.cumsum(np.bincount(self.which, minlength=len(values)))
+        self.fro = np.concatenate([[0], self.to[:-1]])
+
+    def of(self, i: int) -> np.ndarray:
+        own = self.which[self.starts[i] : self.ends[i]]
+        return self.members[PrefixTree._ranges(self.fro[own], self.to[own])] if len(own) else own
+
+
+def block_links(
+    sets: list[np.ndarray],
+    side: np.ndarray,
+    across: bool,
+    percent: int,
+    weight: np.ndarray | None = None,
+    homes: list[np.ndarray] | None = None,
+) -> tuple[np.ndarray, np.ndarray]:
+    """For each set of a block the smallest place it is connected to in the block, and
+    the sum of the weights of the sets it links with.
+
+    ``across``: only sets of different sides are compared, else all. Without ``weight``
+    the sums are zero and sets that are already connected are not compared. With it
+    sets that share one of ``homes``, the earlier blocks of each, are left to those."""
     every = np.concatenate(sets) if sets else np.array([], dtype=np.int64)
     values, inverse, count = np.unique(every, return_inverse=True, return_counts=True)
     order = np.lexsort((values, count))
@@ -179,119 +211,160 @@ def block_links(sets: list[np.ndarray], side: np.ndarray, across: bool, percent:
     tree = PrefixTree(sets, rank_of, inverse, count > 1)
     side = side[tree.order]
     label, has = np.arange(len(sets)), np.zeros(len(values), dtype=bool)
-    place = np.arange(len(sets))
+    place, sums = np.arange(len(sets)), np.zeros(len(sets), dtype=np.int64)
+    if weight is not None:
+        heavy = np.asarray(weight, dtype=np.int64)[tree.order]
+        met = Meetings([homes[i] for i in tree.order])
     for i in range(len(sets)):
         if across and side[i] != side.min():
             continue
-        wanted = (label != label[i]) & ((side != side[i]) if across else (place > i))
+        wanted = (side != side[i]) if across else (place > i)
+        if weight is None:
+            wanted &= label != label[i]
+        else:
+            wanted[met.of(i)] = False
         if not wanted.any():
             continue
         found = tree.partners(i, wanted, percent, has)
-        joined = np.unique(label[found[wanted[found]]])
+        found = found[wanted[found]]
+        if weight is not None:
+            sums[i] += heavy[found].sum()
+            sums[found] += heavy[i]
+        joined = np.unique(label[found])
+        joined = joined[joined != label[i]]
         if len(joined):
             label[np.isin(label, joined) | (label == label[i])] = min(label[i], joined[0])
-    back = np.empty(len(sets), dtype=np.int64)
+    back, total = np.empty(len(sets), dtype=np.int64), np.empty(len(sets), dtype=np.int64)
     back[tree.order] = np.array(tree.order)[label]
-    return local_components(len(sets), np.arange(len(sets)), back)
+    total[tree.order] = sums
+    return local_components(len(sets), np.arange(len(sets)), back), total
 
 
-def _walk(percent: int):
+def _walk(percent: int, count_links: bool):
     def work(key: str, rows: pd.DataFrame) -> Iterator[pd.DataFrame]:
         _, i, j = key.split(":")
+        # Rows alike in id and text brought the same set along.
+        rows = rows.drop_duplicates("node")
         sets = [np.asarray(s) for s in rows["shingles"]]
-        ids = rows["id"].to_numpy()
-        root = ids[block_links(sets, rows["part"].to_numpy(), i != j, percent)]
-        yield pd.DataFrame({"a": ids, "b": root})[ids != root]
+        ids, weight, homes = rows["id"].to_numpy(), None, None
+        if count_links:
+            weight, homes = rows["copies"].to_numpy(), [np.asarray(h, dtype=np.int64) for h in rows["homes"]]
+        root, sums = block_links(sets, rows["part"].to_numpy(), i != j, percent, weight, homes)
+        out = pd.DataFrame({"node": rows["node"].to_numpy(), "links": sums, "a": ids, "b": ids[root]})
+        yield out[(out["links"] > 0) | (out["a"] != out["b"])]
 
     return work
 
 
-def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80) -> DataFrame:
+def jaccard_components(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80, count_links: bool = False
+) -> DataFrame:
     """One row per row of ``docs``: ``id``, ``n_shingles`` and ``component_id``, the
-    smallest id reachable over links between shingle sets.
+    smallest id reachable over links between shingle sets. With ``count_links`` also
+    ``n_links``, the number of other rows that the row links with directly, copies
+    counted one by one.
 
     A null, empty or wordless text has an empty set and links with nothing. A row
-    without an id keeps a null component and takes no part. Rows that share an id
-    are one node with the links of all of them. Texts with equal sets are linked.
-    An empty table gives an empty one. Words are separated by ASCII white space,
-    with A-Z in lower case; shingles are compared by 64-bit hashes.
+    without an id keeps a null component, takes no part and has no links. Rows that
+    share an id are one node of the components, tied even where their texts do not
+    link; ``n_links`` is counted for each of them alone, over all rows. Texts with
+    equal sets are linked. An empty table gives an empty one, and further columns are
+    left behind. Words are separated by ASCII white space, with A-Z in lower case;
+    shingles are compared by 64-bit hashes.
     """
     # A null id is carried as a flag: pandas would turn the whole column to floats.
-    base = narrow(docs, id=id_col, text=text_col)
+    base = narrow(docs, id=id_col, text=text_col).select(
+        F.coalesce("id", F.lit(0)).cast("long").alias("id"), F.col("id").isNull().alias("void"), F.xxhash64("text").alias("text_hash"), "text"
+    )
     scanned = settle(
-        base.select(F.coalesce("id", F.lit(0)).cast("long").alias("id"), F.col("id").isNull().alias("void"), "text").mapInPandas(
-            _scan(k, percent), "id long, void boolean, n int, s1 long, s2 long, picked array<long>, rest array<long>"
+        base.select(F.monotonically_increasing_id().alias("node"), "*").mapInPandas(
+            _scan(k, percent),
+            "node long, id long, void boolean, text_hash long, n int, s1 long, s2 long, picked array<long>, rest array<long>",
         )
     )
     sets = scanned.where("not void and n > 0")
+    equal = ["n", "s1", "s2"]
     copies = settle(
-        sets.groupBy("n", "s1", "s2").agg(F.min("id").alias("rep"), F.count("*").alias("c")).where("c > 1").drop("c")
+        sets.groupBy(*equal).agg(F.min(F.struct("id", "node")).alias("first"), F.count("*").alias("copies")).where("copies > 1")
     )
-    placed = scanned.select("id", "void", "n", "s1", "s2").join(copies, ["n", "s1", "s2"], "left").select(
-        "id", "void", "n", F.when(~F.col("void"), F.coalesce("rep", "id")).alias("rep")
+    placed = scanned.select("id", "void", "node", *equal).join(copies, equal, "left").select(
+        "id",
+        "void",
+        "node",
+        "n",
+        F.when(~F.col("void"), F.coalesce("first.id", "id")).alias("rep"),
+        F.coalesce("first.node", "node").alias("own"),
+        F.coalesce("copies", F.lit(1)).alias("copies"),
     )
-    # Of texts with equal sets one is compared. An id that is a copy on one row and a
-    # text of its own on another keeps all its rows, and ties their texts together.
-    status = settle(
-        placed.where("not void")
-        .groupBy("id")
-        .agg(F.max(F.col("id") == F.col("rep")).alias("own"), F.min("rep").alias("low"), F.max("rep").alias("high"))
-        .where("not own or low != high")
-    )
-    left = broadcast_if_small(status.where("not own").select("id"))
-    kept = sets.join(left, "id", "left_anti")
-    spread = kept.select("id", F.explode("picked").alias("g"))
+    # Of rows with equal sets one is compared, as a node of its own.
+    left = broadcast_if_small(settle(placed.where("not void and n > 0 and own != node").select("node")))
+    kept = sets.join(left, "node", "left_anti")
+    spread = kept.select("node", F.explode("picked").alias("g"))
     common = spread.groupBy("g").agg(F.count("*").alias("df")).where("df > 1")
-    meta = kept.groupBy("id").agg(
-        F.count("*").alias("rows"), F.max("n").alias("n"), F.sum(F.size("picked")).alias("counted")
-    )
-    by_rank = Window.partitionBy("id").orderBy("df", "g")
+    meta = kept.select("node", "n", F.size("picked").alias("counted"))
+    by_rank = Window.partitionBy("node").orderBy("df", "g")
     ranked = spread.join(common, "g").select(
-        "id", "g", F.row_number().over(by_rank).alias("place"), F.count("*").over(Window.partitionBy("id")).alias("met")
+        "node", "g", F.row_number().over(by_rank).alias("place"), F.count("*").over(Window.partitionBy("node")).alias("met")
     )
     need = F.col("n") - F.floor((F.col("n") * percent + 99) / 100) + 1
-    first = (
-        ranked.join(meta, "id")
-        .where((F.col("rows") > 1) | (F.col("place") <= need - (F.col("counted") - F.col("met"))))
-        .select("id", "g", "n")
-    )
-    postings = settle(first.union(kept.select("id", F.explode("rest").alias("g"), "n")))
-    homes = postings.groupBy("g").agg(F.min("id").alias("home"), F.max("id").alias("far")).where("home < far").drop("far")
-    met = settle(postings.join(homes, "g").groupBy("home", "id").agg(F.max("n").alias("n")))
+    first = ranked.join(meta, "node").where(F.col("place") <= need - (F.col("counted") - F.col("met"))).select("node", "g", "n")
+    postings = settle(first.union(kept.select("node", F.explode("rest").alias("g"), "n")))
+    homes = postings.groupBy("g").agg(F.min("node").alias("home"), F.max("node").alias("far")).where("home < far").drop("far")
+    met = settle(postings.join(homes, "g").groupBy("home", "node").agg(F.max("n").alias("n")))
     sizes = met.groupBy("home").agg(
         F.greatest(F.ceil(F.count("*") / BLOCK_SETS), F.ceil(F.sum("n") / BLOCK_SHINGLES)).alias("parts")
     )
-    part = F.pmod(F.xxhash64("id"), F.col("parts")).cast("long")
+    part = F.pmod(F.xxhash64("node"), F.col("parts")).cast("long")
     dealt = (
         met.join(sizes, "home")
-        .select("home", "id", part.alias("part"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("with"))
+        .select("home", "node", part.alias("part"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("with"))
         .select(
-            "id",
+            "node",
+            "home",
             F.concat_ws(":", "home", F.least("part", "with"), F.greatest("part", "with"), "part").alias("group"),
         )
     )
-    groups = settle(dealt.groupBy("id").agg(F.collect_list("group").alias("groups")))
+    met_in = F.collect_set("home") if count_links else F.array().cast("array<long>")
+    grouped = dealt.groupBy("node").agg(F.collect_list("group").alias("groups"), met_in.alias("met_in"))
+    owners = kept.select("node", "id", "text_hash", *equal).join(copies.drop("first"), equal, "left")
+    groups = settle(
+        owners.select("node", "id", "text_hash", F.coalesce("copies", F.lit(1)).alias("copies")).join(grouped, "node")
+    )
+    home = F.substring_index("group", ":", 1).cast("long")
     blocks = (
-        base.join(broadcast_if_small(groups, 200_000), "id")
-        .select("id", "text", "groups")
-        .mapInPandas(_sets(k), "id long, groups array<string>, shingles array<long>")
-        .select("id", "shingles", F.explode("groups").alias("group"))
+        base.drop("void")
+        .join(broadcast_if_small(groups, 200_000), ["id", "text_hash"])
+        .select("node", "id", "copies", "met_in", "groups", "text")
+        .mapInPandas(_sets(k), "node long, id long, copies long, met_in array<long>, groups array<string>, shingles array<long>")
+        .select("node", "id", "copies", "met_in", "shingles", F.explode("groups").alias("group"))
         .select(
+            "node",
             "id",
+            "copies",
+            F.filter("met_in", lambda other: other < home).alias("homes"),
             "shingles",
             F.substring_index("group", ":", 3).alias("block"),
             F.substring_index("group", ":", -1).cast("int").alias("part"),
         )
     )
-    links = segments(blocks, "block", _walk(percent), "a long, b long")
-    several = status.where("low != high").select("id")
-    tied = placed.where("not void").join(broadcast_if_small(several), "id", "left_semi").select("id", "rep")
-    roots = connected_components(links.union(tied)).select(F.col("node").alias("rep"), "component")
-    return placed.join(roots, "rep", "left").select(
+    links = segments(blocks, "block", _walk(percent, count_links), "node long, links long, a long, b long")
+    if count_links:
+        links = settle(links)
+    ids = placed.where("not void and n > 0").groupBy("id").agg(F.min("rep").alias("low"), F.max("rep").alias("high"))
+    several = settle(ids.where("low != high").select("id"))
+    tied = placed.where("not void and n > 0").join(broadcast_if_small(several), "id", "left_semi").select("id", "rep")
+    roots = connected_components(links.where("a != b").select("a", "b").union(tied)).select(F.col("node").alias("rep"), "component")
+    rooted = placed.join(roots, "rep", "left")
+    found = [
         F.when(~F.col("void"), F.col("id")).alias("id"),
         F.col("n").cast("long").alias("n_shingles"),
         F.coalesce("component", "rep").alias("component_id"),
-    )
+    ]
+    if not count_links:
+        return rooted.select(*found)
+    counted = links.groupBy("node").agg(F.sum("links").alias("links")).where("links > 0").withColumnRenamed("node", "own")
+    n_links = F.when(~F.col("void") & (F.col("n") > 0), F.col("copies") - 1 + F.coalesce("links", F.lit(0))).otherwise(0)
+    return rooted.join(counted, "own", "left").select(*found, n_links.cast("long").alias("n_links"))
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80) -> DataFrame:
