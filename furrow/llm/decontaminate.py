@@ -9,7 +9,8 @@ equal ones.
 
 Only built-in functions; a text's positions are exploded, hashed and probed in one
 stage against the seeds of the benchmark, and only hits are shuffled, folded by
-diagonal.
+diagonal. A seed is a hash, an item's number, a place and the item's length; the words
+of an item join what is folded, so an item of many words is not repeated for each place.
 """
 
 from __future__ import annotations
@@ -30,6 +31,8 @@ MASKS = ("1110111", "11000101101", "11001001011")
 #: stand in the item whichever fifth of its words differs.
 SHORT = {1: 1, 2: 2, 3: 3, 4: 4, 5: 2, 6: 3, 7: 3, 8: 4, 9: 4, 10: 3, 11: 3, 12: 4}
 GAP = 2
+#: Items of so many bytes together are broadcast; beyond that they are joined by shuffle.
+BROADCAST_BYTES = 64_000_000
 #: Words that an overlap has at least, and the share of equal ones among them.
 LEAST_WORDS, LEAST_SHARE = 13, 0.8
 
@@ -111,15 +114,17 @@ def overlaps(
     one row too, the longest overlap. Words are those of letters, digits and characters
     beyond ASCII, in lower case.
     """
-    items = settle(narrow(benchmark, item_id=item_col, text=item_text_col).select("item_id", native_words(F.col("text")).alias("item")))
+    items = settle(narrow(benchmark, item_id=item_col, text=item_text_col).distinct().select(
+        F.monotonically_increasing_id().alias("item_key"), "item_id", native_words(F.col("text")).alias("item"), F.octet_length("text").alias("bytes")
+    ))
     lengths = {r["n"] for r in items.where(F.size("item").between(1, max(SHORT))).select(F.size("item").alias("n")).distinct().collect()}
     short = {n: "1" * SHORT[n] for n in sorted(lengths)}
     own = F.when(F.size("item") > max(SHORT), _hashes(F.col("item"), F.col("at"), masks))
     for n, mask in short.items():
         own = own.when(F.size("item") == n, _hashes(F.col("item"), F.col("at"), [mask]))
     seeds = settle(
-        items.select("item_id", "item", F.posexplode(_positions(F.col("item"))).alias("_", "at"))
-        .select("item_id", "item", "at", F.explode(own).alias("seed"))
+        items.select("item_key", "item", F.posexplode(_positions(F.col("item"))).alias("_", "at"))
+        .select("item_key", F.size("item").alias("n_item"), "at", F.explode(own).alias("seed"))
         .where("seed is not null")
     )
     masks = [*masks, *sorted(set(short.values()))]
@@ -135,13 +140,15 @@ def overlaps(
     # All hits of one overlap lie on one diagonal and carry the same stretch of the text.
     # They are folded before the comparison, whose lambda would end code generation and
     # make Spark copy the word array for each position.
-    beside = F.slice(w, F.greatest(diagonal, F.lit(0)) + 1, F.size("item") - first)
-    folded = (
-        hits.select("doc_id", "text_hash", "item_id", "item", diagonal.alias("diagonal"), first.alias("first"), beside.alias("beside"))
-        .groupBy("doc_id", "text_hash", "item_id", "diagonal", "first")
-        .agg(F.max(F.struct("beside", "item")).alias("pair"))
-        .select("doc_id", "text_hash", "item_id", "diagonal", "first", "pair.*")
+    beside = F.slice(w, F.greatest(diagonal, F.lit(0)) + 1, F.col("n_item") - first)
+    met = (
+        hits.select("doc_id", "text_hash", "item_key", diagonal.alias("diagonal"), first.alias("first"), beside.alias("beside"))
+        .groupBy("doc_id", "text_hash", "item_key", "diagonal", "first")
+        .agg(F.max("beside").alias("beside"))
     )
+    whole = items.select("item_key", "item_id", "item")
+    small = (items.agg(F.sum("bytes")).first()[0] or 0) <= BROADCAST_BYTES
+    folded = met.join(F.broadcast(whole) if small else whole, "item_key").drop("item_key")
     ones = F.filter(F.sequence(F.lit(0), F.size("beside") - 1), lambda i: F.get("beside", i) == F.get("item", F.col("first") + i))
     cuts = F.filter(
         F.sequence(F.lit(0), F.size("ones") - 1), lambda i: (i == 0) | (F.get("ones", i) - F.get("ones", i - 1) > GAP + 1)

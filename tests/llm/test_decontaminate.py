@@ -59,6 +59,24 @@ def test_no_python_on_the_way(spark):
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
 
 
+def test_long_and_repeated_items_give_the_same_either_way(spark, monkeypatch):
+    long, other = prose(80, 4000, 3000), prose(7, 30)
+    words = long.split()
+    texts = [f"{other} {' '.join(words[a:b])} {other}" for a, b in ((0, 20), (3970, 4000), (1000, 1900), (500, 512))]
+    items = spark.createDataFrame([(1, long), (1, long), (2, long), (1, ITEM), (None, ITEM), (3, None)], "item_id long, text string")
+    df = awkward(spark, [*texts, ITEM])
+    want = {(100 + i, item, 30, 30 + n) for i, n in ((0, 20), (1, 30), (2, 900)) for item in (1, 2)}
+    want |= {(104, item, 0, 30) for item in (1, None)}
+
+    def spans():
+        rows = decontaminate.overlaps(df, items).collect()
+        return sorted(((r.doc_id, r.item_id, r.start_word, r.end_word) for r in rows), key=str)
+
+    assert spans() == sorted(want, key=str)
+    monkeypatch.setattr(decontaminate, "BROADCAST_BYTES", 0)
+    assert spans() == sorted(want, key=str)
+
+
 def laid_over(pattern, item, n=0):
     """The words of the item where the pattern has a 1, others where it has a 0."""
     return " ".join(w if bit == "1" else f"other{n}x{i}" for i, (bit, w) in enumerate(zip(pattern, item.split(), strict=False)))
