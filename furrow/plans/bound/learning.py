@@ -8,8 +8,9 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark.ml import Model
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from furrow.models import bundle, clustering, explain, regression, risk, search, splits
@@ -332,12 +333,31 @@ def m10(t: Tables) -> DataFrame:
     return _fits(t)
 
 
-@bound("m6_ridge_shrinks")
+def _both_predictions(plain: Model, flat: Model, rows: DataFrame) -> DataFrame:
+    once = plain.transform(rows).withColumnRenamed("prediction", "linear").drop("features")
+    return flat.transform(once).withColumnRenamed("prediction", "ridge")
+
+
+@bound("m6_ridge_shrinks", on_curated("""
+    SELECT count(*) AS n_train, true AS shrunk, true AS linear_is_centred, true AS ridge_is_centred, true AS linear_fits_closer FROM train""", TRAIN_CTES))
 def m6(t: Tables) -> DataFrame:
+    """Both fits scored on their training rows: no penalty fits closer, and as the intercept
+    is not penalised neither fit errs to one side."""
     train, _ = t.features
-    plain = regression.coefficient_norm(regression.linear(train, t.stats.names))
-    shrunk = regression.coefficient_norm(regression.ridge(train, t.stats.names))
-    return train.agg(F.lit(plain).alias("linear_norm"), F.lit(shrunk).alias("ridge_norm"), F.lit(shrunk <= plain).alias("shrunk"))
+    plain, flat = regression.linear(train, t.stats.names), regression.ridge(train, t.stats.names)
+    shrunk = regression.coefficient_norm(flat) <= regression.coefficient_norm(plain)
+    linear_error, ridge_error = F.col(Y) - F.col("linear"), F.col(Y) - F.col("ridge")
+
+    def centred(error: Column) -> Column:
+        return F.abs(F.avg(error)) <= 1e-6 * F.avg(Y)
+
+    return _both_predictions(plain, flat, train).agg(
+        F.count(F.lit(1)).alias("n_train"),
+        F.lit(shrunk).alias("shrunk"),
+        centred(linear_error).alias("linear_is_centred"),
+        centred(ridge_error).alias("ridge_is_centred"),
+        (F.sum(linear_error * linear_error) <= F.sum(ridge_error * ridge_error) * (1 + 1e-9)).alias("linear_fits_closer"),
+    )
 
 
 @bound("m8_forest_search")
@@ -480,11 +500,13 @@ _ONE = f"""one AS (SELECT regr_slope(yield_hg_ha, lag1_yield) AS slope, regr_int
 
 @bound("m5_one_feature_regression", on_curated("SELECT round(slope, 6) AS slope, round(intercept, 1) AS intercept, round(shrunk, 6) AS shrunk FROM one", TRAIN_CTES + ", " + _ONE))
 def m5(t: Tables) -> DataFrame:
+    """The lines are read off what the fitted models predict for the training rows."""
     train, _ = t.features
-    line = regression.fitted(regression.linear(train, ["lag1_yield"]))
-    flat = regression.fitted(regression.ridge(train, ["lag1_yield"], alpha=1e10))
-    told = train.agg(
-        F.lit(float(line.coefficients[0])).alias("slope"), F.lit(float(line.intercept)).alias("intercept"), F.lit(float(flat.coefficients[0])).alias("shrunk")
+    line, flat = regression.linear(train, ["lag1_yield"]), regression.ridge(train, ["lag1_yield"], alpha=1e10)
+    told = _both_predictions(line, flat, train).agg(
+        F.regr_slope("linear", "lag1_yield").alias("slope"),
+        F.regr_intercept("linear", "lag1_yield").alias("intercept"),
+        F.regr_slope("ridge", "lag1_yield").alias("shrunk"),
     )
     return rounded(rounded(told, 6, "slope", "shrunk"), 1, "intercept")
 
