@@ -186,7 +186,8 @@ def overlaps(
 
 def clean_rows(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **settings) -> DataFrame:
     """The rows of ``docs`` without a verified overlap, all columns kept. Rows with a null
-    id or text are judged like others: by their text."""
+    id or text are judged like others: by their text; a null or empty text stays. An empty
+    table gives an empty one."""
     found = overlaps(docs, benchmark, id_col=id_col, text_col=text_col, **settings)
     gone = broadcast_if_small(settle(found.select("doc_id", "text_hash").distinct()))
     alike = docs[id_col].eqNullSafe(gone["doc_id"]) & (F.xxhash64(docs[text_col]) == gone["text_hash"])

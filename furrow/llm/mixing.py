@@ -134,7 +134,8 @@ def mix(
 def mixed_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **settings) -> DataFrame:
     """The rows of ``docs`` that the mix takes, each as often as it is taken, all
     columns kept. Rows alike in id, source and size share their copies evenly, the odd
-    ones going to the first rows in the order of the text."""
+    ones going to the first rows in the order of the text. Null and empty texts have size 0
+    and cost nothing. An empty table gives an empty one."""
     taken = mix(docs, id_col=id_col, text_col=text_col, source_col=source_col, **settings)
     per = broadcast_if_small(
         settle(taken.groupBy("doc_id", "source", "size").agg(F.sum("copies").alias("copies"), F.count("*").alias("rows")).where("copies > 0"))

@@ -370,7 +370,8 @@ def jaccard_components(
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80) -> DataFrame:
     """The rows of ``docs`` whose id is the smallest of its component, all columns kept.
 
-    Rows without an id stay. Of rows that share an id, all stay or all go."""
+    Rows without an id and texts without words stay. Of rows that share an id, all stay or
+    all go. An empty table gives an empty one."""
     groups = jaccard_components(docs, id_col, text_col, k, percent)
     gone = broadcast_if_small(settle(groups.where("id != component_id").select("id").distinct()))
     return docs.join(gone, docs[id_col] == gone["id"], "left_anti")

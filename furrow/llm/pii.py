@@ -293,7 +293,8 @@ def mask(text: str | None, classifier: Classifier) -> str | None:
 
 def masked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length_col: str = "n_chars") -> DataFrame:
     """All rows and columns of ``docs``, each found span in the text replaced by its kind in
-    brackets; ``length_col``, if there, follows the text unless that is null."""
+    brackets; ``length_col``, if there, follows the text unless that is null. A null text stays
+    null, an empty one empty, and an empty table gives an empty one."""
     classifier = fit(scan(docs, id_col, text_col))
 
     @F.pandas_udf("string")

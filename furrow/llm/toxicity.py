@@ -473,7 +473,7 @@ def _scorer(docs: DataFrame, model: Model, columns: list[str]):
 
 def clean_rows(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that score under 0.5, all columns kept. A text is judged once for
-    all its rows."""
+    all its rows. Rows with a null text stay, and null ids make no difference."""
     keyed = narrow(docs, text=text_col).where("text is not null").withColumns({"h": F.xxhash64("text"), "g": F.xxhash64(F.lit(1), "text")})
     scored = keyed.mapInPandas(_scorer(docs, model, ["h", "g"]), "h long, g long, score double")
     gone = broadcast_if_small(settle(scored.where("score >= 0.5").select("h", "g").distinct()))
