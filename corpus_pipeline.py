@@ -1,4 +1,9 @@
-"""The corpus pipeline: five stages over ``documents``, each written and read again."""
+"""The corpus pipeline: five stages over ``documents``, each written and read again.
+
+Each stage keeps all columns. Null and empty texts pass the first four unchanged unless
+the toxicity model scores an empty text 0.5 or more; null ids are no ground to drop a
+row. An empty table gives an empty one in the stages that learn nothing from labels.
+"""
 
 from __future__ import annotations
 
