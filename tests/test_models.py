@@ -263,6 +263,40 @@ def test_importances(world, forest, spark):
     assert explain.top_feature_agreement(spark.createDataFrame(both)).first()["top_permutation"] == both[0]["feature"]
 
 
+class Counting:
+    """Stands for a model: predicts the number of the task, and counts what it scores."""
+
+    def __init__(self, spark):
+        self.scored = spark.sparkContext.accumulator(0)
+
+    def transform(self, rows):
+        counted = self.scored
+
+        @F.udf("int")
+        def count(_):
+            counted.add(1)
+            return 0
+
+        return rows.withColumn("prediction", (F.spark_partition_id() + count.asNondeterministic()(F.lit(0))).cast("double"))
+
+
+def test_a_small_table_is_explained_by_several_tasks(spark):
+    """Each row of some bytes is scored hundreds of times: not all of them by one task."""
+    rows = spark.range(40).selectExpr("string(id) AS area", "'m' AS crop", "2000 AS year", "id AS yield_hg_ha", "double(id) AS a", "double(id % 2) AS b", "1D AS c")
+    told = explain.sampled_contributions(Counting(spark), rows, rows, ["a", "b", "c"], draws=4).collect()
+    assert len(told) == 40 and len({r["prediction"] for r in told}) > 1
+    # Drops in R2 differ as the tasks do, whatever is shuffled.
+    assert explain.permutation_importance(Counting(spark), rows, ["a", "b", "c"], repeats=2).count() == 3
+
+
+def test_switches_between_equal_values_are_not_scored(spark):
+    rows = spark.range(10).selectExpr("string(id) AS area", "'m' AS crop", "2000 AS year", "double(id) AS a", "1D AS b", "double('NaN') AS c")
+    model = Counting(spark)
+    explain.sampled_contributions(model, rows, rows.where("a = 3"), ["a", "b", "c"], draws=4).collect()
+    # The base, then the start of each walk and the switch of a; row 3 walks from itself.
+    assert model.scored.value == 1 + 10 * 4 + 9 * 4
+
+
 def test_low_and_high_examples(world):
     rows = explain.low_and_high_examples(world[0].where("year = 2000")).collect()
     values = sorted(r["yield_hg_ha"] for r in world[0].where("year = 2000").collect())
