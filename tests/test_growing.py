@@ -53,3 +53,23 @@ def test_a_tree_grown_to_the_end_tells_its_own_rows():
     y = draw.normal(size=200)
     told = growing.grow(b, np.ones(200), y, b, [200, 3], 0, [0, 30])
     assert told[:, 0] == pytest.approx(y.mean()) and told[:, 1] == pytest.approx(y)
+
+
+def test_folds_are_told_their_candidates_together(rows, spark):
+    """Each fold used to be told its own by passes of its own."""
+    cuts = [(1992, 1993), (1994, 1996)]
+    group = "folds told together"
+    spark.sparkContext.setJobGroup(group, group)
+    told = growing.candidates(rows, NAMES, cuts, 32)
+    many = len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    spark.sparkContext.setJobGroup(group + ", one", group)
+    for place, cut in enumerate(cuts):
+        learned = [r for r in rows.collect() if r["year"] < cut[0]]
+        edges, n, mean = told[place]
+        assert n == len(learned) and mean == pytest.approx(np.mean([r["yield_hg_ha"] for r in learned]))
+        assert list(edges[0]) == [y + 0.5 for y in range(1990, cut[0] - 1)] and list(edges[2]) == [0.5]
+        assert np.array_equal(edges[1], growing.candidates(rows.where(F.col("year") < cut[0]), NAMES, [cut], 32)[0][0][1]) and len(edges[1]) == 31
+    spark.sparkContext.setJobGroup(group + ", four", group)
+    growing.candidates(rows, NAMES, [(y, y + 1) for y in (1992, 1993, 1994, 1995)], 32)
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(group + ", four")) == many
+    spark.sparkContext._jsc.clearJobGroup()
