@@ -297,6 +297,38 @@ def test_switches_between_equal_values_are_not_scored(spark):
     assert model.scored.value == 1 + 10 * 4 + 9 * 4
 
 
+def test_shuffles_that_change_nothing_are_not_scored(spark):
+    rows = spark.range(10).selectExpr("string(id) AS area", "'m' AS crop", "2000 AS year", "id AS yield_hg_ha", "double(id) AS a", "1D AS b", "double('NaN') AS c")
+    model = Counting(spark)
+    told = {r["feature"]: r for r in explain.permutation_importance(model, rows, ["a", "b", "c"], repeats=4).collect()}
+    # The untouched rows, then a of each row and repeat; no row is its own donor.
+    assert model.scored.value == 10 + 10 * 4
+    assert set(told) == {"a", "b", "c"} and told["b"]["permutation_importance"] == told["c"]["permutation_std"] == 0.0
+
+
+def test_permutation_importance_is_the_drop_in_r2(spark):
+    """Against the definition, over the pairs that the hashed order and the drawn steps give."""
+    names = ["a", "b"]
+    rows = spark.range(12).selectExpr("string(id) AS area", "'m' AS crop", "2000 AS year", "3 * id + id % 3 AS yield_hg_ha", "double(id) AS a", "double(id % 3) AS b")
+    model = regression.fitted(regression.linear(rows, names))
+    told = {r["feature"]: r["permutation_importance"] for r in explain.permutation_importance(model, rows, names, repeats=3).collect()}
+    by_hash = rows.select("yield_hg_ha", *names, F.xxhash64(F.lit(42), "area", "crop", "year").alias("h")).orderBy("h").collect()
+    x, y = np.array([[r["a"], r["b"]] for r in by_hash]), np.array([r["yield_hg_ha"] for r in by_hash], dtype=float)
+    draw = __import__("random").Random(42)
+    steps = [1 + int(draw.random() * 11) for _ in range(3)]
+
+    def r2(x):
+        return 1 - np.mean((y - x @ model.coefficients.toArray() - model.intercept) ** 2) / np.var(y)
+
+    for f, name in enumerate(names):
+        drops = []
+        for step in steps:
+            mixed = x.copy()
+            mixed[:, f] = np.roll(x[:, f], -step)
+            drops.append(r2(x) - r2(mixed))
+        assert told[name] == pytest.approx(np.mean(drops))
+
+
 def test_low_and_high_examples(world):
     rows = explain.low_and_high_examples(world[0].where("year = 2000")).collect()
     values = sorted(r["yield_hg_ha"] for r in world[0].where("year = 2000").collect())
