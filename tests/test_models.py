@@ -1,5 +1,7 @@
 """MLlib fits, their explanations and what-if batches on generated series."""
 
+import random
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -314,7 +316,7 @@ def test_permutation_importance_is_the_drop_in_r2(spark):
     told = {r["feature"]: r["permutation_importance"] for r in explain.permutation_importance(model, rows, names, repeats=3).collect()}
     by_hash = rows.select("yield_hg_ha", *names, F.xxhash64(F.lit(42), "area", "crop", "year").alias("h")).orderBy("h").collect()
     x, y = np.array([[r["a"], r["b"]] for r in by_hash]), np.array([r["yield_hg_ha"] for r in by_hash], dtype=float)
-    draw = __import__("random").Random(42)
+    draw = random.Random(42)
     steps = [1 + int(draw.random() * 11) for _ in range(3)]
 
     def r2(x):
