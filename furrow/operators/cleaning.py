@@ -43,15 +43,19 @@ def clean_rainfall(raw: DataFrame) -> DataFrame:
 
 def clean_temp(raw: DataFrame) -> DataFrame:
     """The mean reading of each area key and year. Equal rows are one reading; of several
-    spellings of a key the first in order names it."""
+    spellings of a key the first in order names it. Readings are added up by the country as
+    it is written, so that a key is made once for each and not for every reading."""
     named = strip_headers(raw)
-    once = named.distinct().select(
+    reading = number_in(named, "avg_temp")
+    written = named.distinct().groupBy("country", "year").agg(F.sum(reading).alias("_sum"), F.count(reading).alias("_n"))
+    keyed = written.select(
         F.col("country").alias("area"),
-        whole(number_in(named, "year"), "int").alias("year"),
-        number_in(named, "avg_temp").alias("avg_temp_c"),
+        whole(number_in(written, "year"), "int").alias("year"),
+        "_sum", "_n",
         area_key(F.col("country")).alias("area_key"),
     )
-    return once.groupBy("area_key", "year").agg(F.min("area").alias("area"), F.avg("avg_temp_c").alias("avg_temp_c"))
+    mean = F.try_divide(F.sum("_sum"), F.sum("_n"))
+    return keyed.groupBy("area_key", "year").agg(F.min("area").alias("area"), mean.alias("avg_temp_c"))
 
 
 def mean_temp_with_repeats(raw: DataFrame) -> DataFrame:

@@ -9,9 +9,11 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from furrow.functions.text import MISSING_SENTINEL, number_in
 from furrow.sources.contracts import check_contract
@@ -57,6 +59,9 @@ class Fields:
         parsed = _parsed_name(name, sentinel)
         return F.col(f"`{parsed}`") if parsed in self.names else number_in(self.rows, self.names[name], sentinel)
 
+    def is_text(self, name: str) -> bool:
+        return not isinstance(self.rows.schema[self.names[name]].dataType, T.NumericType)
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -161,9 +166,18 @@ class Inspection:
     def _drops_copies(self) -> bool:
         return not self.missing and any(r.invalid is None for r in self.rules)
 
+    def _sound(self) -> Column:
+        """No reason applies, said of the columns, so that what is asked of numeric ones
+        is asked before the rows are folded."""
+        if self.missing:
+            return F.lit(False)
+        fields = Fields(self.rows)
+        held = [~F.coalesce(r.invalid(fields), F.lit(False)) for r in self.rules if r.invalid is not None]
+        return reduce(Column.__and__, held, F.lit(True))
+
     def accepted(self) -> DataFrame:
         """Valid rows with their original columns."""
-        valid = self.rows.where(F.col("_reasons") == "")
+        valid = self.rows.where(self._sound())
         if self._drops_copies:
             return valid.select(*_quoted(self.columns))
         return repeat_rows(valid.select(*_quoted(self.columns), "_copies"), "_copies")
@@ -261,12 +275,13 @@ def inspect(df: DataFrame, source: str, rules: Sequence[Rule] | None = None) ->
     if not contract.passed:
         folded = df.groupBy(*_quoted(columns)).agg(copies)
         return Inspection(source, columns, rules, folded.withColumn("_reasons", F.lit(BROKEN_CONTRACT)), contract.missing)
-    # A number is parsed once a row, inside the fold. As an aggregate it also keeps a filter
+    # A text is parsed once a row, inside the fold. As an aggregate it also keeps a filter
     # on the reasons above the fold, where it would otherwise be pushed down with every
-    # parse written out again.
+    # parse written out again. A numeric column is read off the folded row: nothing of it is
+    # shuffled twice, and filters on it go below the fold.
     fields = Fields(df)
     reasons(rules, fields, is_copy=False)
-    parsed = [F.max(fields.number(n, sentinel)).alias(_parsed_name(n, sentinel)) for n, sentinel in list(fields.asked)]
+    parsed = [F.max(fields.number(n, sentinel)).alias(_parsed_name(n, sentinel)) for n, sentinel in list(fields.asked) if fields.is_text(n)]
     folded = df.groupBy(*_quoted(columns)).agg(copies, *parsed)
     return Inspection(source, columns, rules, folded.withColumn("_reasons", reasons(rules, Fields(folded), is_copy=False)))
 
