@@ -266,8 +266,10 @@ def quality_status(accepted: Column, total: Column, contract_met: bool = True) -
     return F.when(score >= PASS_AT, "PASSED").when(score >= WARN_AT, "PASSED_WITH_WARNINGS").otherwise("FAILED")
 
 
-def inspect(df: DataFrame, source: str, rules: Sequence[Rule] | None = None) -> Inspection:
-    """Hold every row of ``df`` against the contract and rules of ``source``."""
+def inspect(df: DataFrame, source: str, rules: Sequence[Rule] | None = None, to_settle: bool = False) -> Inspection:
+    """Hold every row of ``df`` against the contract and rules of ``source``. An outcome that
+    is ``to_settle`` is written whole, so its texts are parsed once a distinct row, after the
+    fold."""
     rules = (*RULES[source], *MORE_RULES.get(source, ())) if rules is None else tuple(rules)
     columns = tuple(df.columns)
     copies = F.count(F.lit(1)).alias("_copies")
@@ -281,8 +283,12 @@ def inspect(df: DataFrame, source: str, rules: Sequence[Rule] | None = None) ->
     # shuffled twice, and filters on it go below the fold.
     fields = Fields(df)
     reasons(rules, fields, is_copy=False)
-    parsed = [F.max(fields.number(n, sentinel)).alias(_parsed_name(n, sentinel)) for n, sentinel in list(fields.asked) if fields.is_text(n)]
-    folded = df.groupBy(*_quoted(columns)).agg(copies, *parsed)
+    parsed = {_parsed_name(n, sentinel): (fields.names[n], sentinel) for n, sentinel in fields.asked if fields.is_text(n)}
+    if to_settle:
+        folded = df.groupBy(*_quoted(columns)).agg(copies)
+        folded = folded.withColumns({name: number_in(folded, *of) for name, of in parsed.items()})
+    else:
+        folded = df.groupBy(*_quoted(columns)).agg(copies, *[F.max(number_in(df, *of)).alias(name) for name, of in parsed.items()])
     return Inspection(source, columns, rules, folded.withColumn("_reasons", reasons(rules, Fields(folded), is_copy=False)))
 
 

@@ -93,7 +93,7 @@ def _run_batch(spark: SparkSession, incoming: Mapping[str, str], home: str, mult
         for source in SOURCES:
             # The folded rows feed the quarantine, the report and the next
             # stage, so they are written once and read back.
-            checked = inspect(read_raw(spark, raw, source), source).settled(f"{processed}/_checked/{source}")
+            checked = inspect(read_raw(spark, raw, source), source, to_settle=True).settled(f"{processed}/_checked/{source}")
             write_table(checked.rejected(), f"{quarantine}/{source}")
             reports.append(checked.report())
             accepted[source] = checked.accepted()

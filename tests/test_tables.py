@@ -33,3 +33,15 @@ def test_rules_on_numeric_columns_are_asked_below_the_fold(spark):
     assert kept == sorted(map(repr, rows.where("coalesce(avg_temp < 60 or isnan(avg_temp), true) and coalesce(year > 1600, true)").distinct().collect()))
     told = checked.report().first()
     assert (told["total_records"], told["accepted_records"]) == (8, 4) and told["rejection_reason_counts"] == {"duplicate_row": 2, "year_out_of_range": 1, "implausible_temp": 1}
+
+
+def test_an_outcome_to_settle_parses_after_the_fold(spark, tmp_path):
+    rows = spark.createDataFrame([("2000", "Chad", " 20.5 ")] * 3 + [("x", "Chad", "1e400"), ("1500", "Chad", None), (None, "Mali", "70")], "year string, country string, avg_temp string")
+    early, late = inspect(rows, "temp"), inspect(rows, "temp", to_settle=True)
+    plans = [one.rows._jdf.queryExecution().executedPlan().toString() for one in (early, late)]
+    assert ["partial_max" in plan for plan in plans] == [True, False]
+    again = late.settled(str(tmp_path / "checked"))
+    for one in (late, again):
+        assert sorted(map(repr, one.rows.select(*early.rows.columns).collect())) == sorted(map(repr, early.rows.collect()))
+        for part in ("accepted", "rejected", "report", "reason_counts"):
+            assert sorted(map(repr, getattr(one, part)().collect())) == sorted(map(repr, getattr(early, part)().collect()))
