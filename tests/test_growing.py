@@ -73,3 +73,37 @@ def test_folds_are_told_their_candidates_together(rows, spark):
     growing.candidates(rows, NAMES, [(y, y + 1) for y in (1992, 1993, 1994, 1995)], 32)
     assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(group + ", four")) == many
     spark.sparkContext._jsc.clearJobGroup()
+
+
+def test_large_nodes_take_no_job_of_their_own(rows, spark):
+    """Each level of large nodes used to be a job over all rows, which every tree then was dealt anew."""
+    many = []
+    for limit in (10_000, 5):
+        group = f"nodes of {limit}"
+        spark.sparkContext.setJobGroup(group, group)
+        growing.fold_errors(rows, NAMES, [(1994, 1996)], GRID, node_rows=limit)
+        many.append(len(spark.sparkContext.statusTracker().getJobIdsForGroup(group)))
+    spark.sparkContext._jsc.clearJobGroup()
+    assert many[0] == many[1]
+
+
+def test_only_nodes_that_rows_are_asked_of_are_grown(monkeypatch):
+    draw = np.random.default_rng(5)
+    b, y, kept, nodes = draw.integers(8, size=(400, 3)), draw.normal(size=400), growing._gains, []
+    monkeypatch.setattr(growing, "_gains", lambda cells, *more: nodes.append(cells.shape[-1]) or kept(cells, *more))
+    whole = growing.grow(b, np.ones(400), y, b, [8, 8, 8], 0, [0, 30])
+    every = sum(nodes)
+    nodes.clear()
+    assert np.array_equal(growing.grow(b, np.ones(400), y, b[:1], [8, 8, 8], 0, [0, 30]), whole[:1])
+    assert sum(nodes) < every / 4
+
+
+def test_rows_of_a_task_are_read_in_the_order_of_their_ids():
+    held = growing.Rows(2, "u1")
+    for first in (20, 0, 10):
+        ids = np.arange(first, first + 10)
+        held.add(first, True, 10, growing._packed(ids, ids / 2, np.stack([ids, ids + 1]).astype("u1")))
+    held.add(5, False, 1, growing._packed(np.array([5]), np.array([1.5]), np.array([[1], [2]], dtype="u1")))
+    ids, y, b = (np.concatenate(part, axis=-1) for part in zip(*held.blocks(True)))
+    assert list(ids) == list(range(30)) and list(y) == [i / 2 for i in range(30)] and list(b[1]) == list(range(1, 31))
+    assert [list(b.ravel()) for _, _, b in held.blocks(False)] == [[1, 2]]
