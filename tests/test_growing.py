@@ -98,12 +98,12 @@ def test_only_nodes_that_rows_are_asked_of_are_grown(monkeypatch):
     assert sum(nodes) < every / 4
 
 
-def test_rows_of_a_task_are_read_in_the_order_of_their_ids():
+def test_rows_of_a_task_are_read_in_the_order_of_their_places():
     held = growing.Rows(2, "u1")
-    for first in (20, 0, 10):
-        ids = np.arange(first, first + 10)
-        held.add(first, True, 10, growing._packed(ids, ids / 2, np.stack([ids, ids + 1]).astype("u1")))
-    held.add(5, False, 1, growing._packed(np.array([5]), np.array([1.5]), np.array([[1], [2]], dtype="u1")))
+    for place in (2, 0, 1):
+        ids = np.arange(10 * place, 10 * place + 10)
+        held.add(place, True, 10, growing._packed(ids, ids / 2, np.stack([ids, ids + 1]).astype("u1")))
+    held.add(0, False, 1, growing._packed(np.array([5]), np.array([1.5]), np.array([[1], [2]], dtype="u1")))
     ids, y, b = (np.concatenate(part, axis=-1) for part in zip(*held.blocks(True)))
     assert list(ids) == list(range(30)) and list(y) == [i / 2 for i in range(30)] and list(b[1]) == list(range(1, 31))
     assert [list(b.ravel()) for _, _, b in held.blocks(False)] == [[1, 2]]
